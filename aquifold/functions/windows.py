@@ -16,6 +16,11 @@ def by_bore(order: str = "reading_date") -> WindowSpec:
     return Window.partitionBy("well_id").orderBy(order)
 
 
+def newest_first(order: str = "reading_date") -> WindowSpec:
+    """Ranks under a small limit on this window are cut before the exchange as well."""
+    return Window.partitionBy("well_id").orderBy(F.col(order).desc())
+
+
 def trailing(window: WindowSpec, rows: int) -> WindowSpec:
     """The last ``rows`` rows, the current one included."""
     return window.rowsBetween(-(rows - 1), Window.currentRow)

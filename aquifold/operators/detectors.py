@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aquifold import schemas
-from aquifold.functions import as_double, fixed, rounded, snap
+from aquifold.functions import as_double, fixed, newest_first, rounded, snap
 
 RAPID_CHANGE = "RapidLevelChange"
 LOW_RECHARGE = "LowRechargeResponse"
@@ -24,8 +24,6 @@ SALINITY = "SalinityIntrusionRisk"
 
 Detector = Callable[[DataFrame, DataFrame], DataFrame]
 
-_NEWEST_FIRST = Window.partitionBy("well_id").orderBy(F.col("reading_date").desc())
-
 
 def rapid_level_change(
     readings: DataFrame,
@@ -43,7 +41,7 @@ def rapid_level_change(
         .filter(F.col("observations") >= min_observations)
     )
     newest = (
-        series.withColumn("age", F.row_number().over(_NEWEST_FIRST))
+        series.withColumn("age", F.row_number().over(newest_first()))
         .filter(F.col("age") <= baseline_rows + 1)
     )
     is_last = F.col("age") == 1
@@ -184,7 +182,7 @@ def salinity_intrusion(
     # distinct dates; dense_rank keeps every row of those dates.
     newest = (
         series.drop("coastal_flag")
-        .withColumn("age", F.dense_rank().over(_NEWEST_FIRST))
+        .withColumn("age", F.dense_rank().over(newest_first()))
         .filter(F.col("age") <= window_days + 1)
         .withColumn("last_date", F.max("reading_date").over(Window.partitionBy("well_id")))
         .filter((F.col("reading_date") >= F.date_sub("last_date", window_days)) & F.col("tds").isNotNull())

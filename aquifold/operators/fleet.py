@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aquifold.functions import AsOf, as_date, as_double, days_before, rounded
+from aquifold.functions import AsOf, as_date, as_double, days_before, newest_first, rounded
 
 
 def bore_status_now(wells: DataFrame, events: DataFrame, latest: AsOf) -> DataFrame:
@@ -31,9 +31,8 @@ def latest_reading(readings: DataFrame) -> DataFrame:
 
 def last_issued_forecast(forecasts: DataFrame) -> DataFrame:
     """Points of each bore's newest issue, by target date."""
-    newest_issue = Window.partitionBy("well_id").orderBy(F.col("reading_date").desc())
     return (
-        forecasts.withColumn("place", F.rank().over(newest_issue))
+        forecasts.withColumn("place", F.rank().over(newest_first()))
         .filter(F.col("place") == 1)
         .select(
             "well_id", "target_date",
@@ -105,9 +104,8 @@ def bore_detail(
 
     Each list is limited by rows or days before it is gathered.
     """
-    newest_first = Window.partitionBy("well_id").orderBy(F.col("reading_date").desc())
     history = (
-        readings.withColumn("place", F.row_number().over(newest_first))
+        readings.withColumn("place", F.row_number().over(newest_first()))
         .filter(F.col("place") <= history_rows)
         .select(
             "well_id", "reading_date",

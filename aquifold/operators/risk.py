@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aquifold import schemas
-from aquifold.functions import AsOf, as_date, as_double, days_before, drop_suspect, latest_date, rounded
+from aquifold.functions import AsOf, as_date, as_double, days_before, drop_suspect, latest_date, newest_first, rounded
 
 # Two-sided 80 % normal quantile used for the projection interval (fixed value).
 INTERVAL_Z_80 = 1.281552
@@ -84,12 +84,11 @@ def trend_projection(
     z: float = INTERVAL_Z_80,
 ) -> DataFrame:
     """Linear level trend of each bore's newest days, projected with an interval."""
-    newest_first = Window.partitionBy("well_id").orderBy(F.col("reading_date").desc())
     recent = (
         drop_suspect(readings)
         .select("well_id", "reading_date", as_double("water_level_mbgl").alias("level"))
         # window_days calendar days hold at most that many distinct dates.
-        .withColumn("age", F.dense_rank().over(newest_first))
+        .withColumn("age", F.dense_rank().over(newest_first()))
         .filter(F.col("age") <= window_days)
         .withColumn("last_date", F.max("reading_date").over(Window.partitionBy("well_id")))
         .filter(

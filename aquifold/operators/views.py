@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aquifold import schemas
-from aquifold.functions import AsOf, as_double, days_before
+from aquifold.functions import AsOf, as_double, days_before, newest_first
 
 
 def well_status(wells: DataFrame, readings: DataFrame, events: DataFrame, as_of: AsOf) -> DataFrame:
@@ -59,9 +59,8 @@ def rainfall_recharge(readings: DataFrame, wells: DataFrame, rainfall: DataFrame
 
 def latest_risk_snapshot(snapshots: DataFrame) -> DataFrame:
     """Newest snapshot of each bore."""
-    newest_first = Window.partitionBy("well_id").orderBy(F.col("risk_snapshot_date").desc())
     return (
-        snapshots.withColumn("place", F.row_number().over(newest_first))
+        snapshots.withColumn("place", F.row_number().over(newest_first("risk_snapshot_date")))
         .filter(F.col("place") == 1)
         .select(*schemas.names(schemas.SNAPSHOTS))
     )
