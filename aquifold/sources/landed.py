@@ -17,16 +17,15 @@ from pyspark.sql import types as T
 from aquifold import schemas
 from aquifold.functions import AsOf, as_date
 
-RAW_WELLS = T.StructType([
-    T.StructField(name, T.StringType())
-    for name in (
-        "DHNO", "NAME", "LAT", "LON", "AQUIFER",
-    )
-])
-RAW_READINGS = T.StructType([
-    T.StructField(name, T.StringType())
-    for name in ("OBS_DATE", "DTW", "TDS", "PUMPING", "water_level")
-])
+# Field names of the delivered records, newest interface first (fixed values).
+WELL_FIELDS = {
+    "DHNO": ["DHNO", "dh_no"], "NAME": ["NAME", "dh_name"], "LAT": ["LAT", "lat"],
+    "LON": ["LON", "lon"], "AQUIFER": ["AQUIFER", "aquifer"],
+}
+READING_FIELDS = {
+    "OBS_DATE": ["OBS_DATE", "obs_date"], "DTW": ["DTW", "water_level"], "TDS": ["TDS", "tds"],
+    "PUMPING": ["PUMPING"],
+}
 
 WELL_COLUMNS = [n for n in schemas.names(schemas.WELLS) if n != "well_id"]
 READING_COLUMNS = ["source_dh_no"] + [n for n in schemas.names(schemas.READINGS) if n != "well_id"]
@@ -53,11 +52,24 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType, fmt: str
         return spark.createDataFrame([], schema)
 
 
-def read_json_records(spark: SparkSession, path: str | list[str], array_files: bool = False) -> DataFrame:
-    """Records with every field as text; ``array_files`` for one JSON array per file."""
-    return (
-        spark.read.option("primitivesAsString", True).option("multiLine", array_files).json(path)
-    )
+def read_json_records(
+    spark: SparkSession, path: str | list[str], fields: dict[str, list[str]], array_files: bool = False
+) -> DataFrame:
+    """Records as text columns named by ``fields``; each takes its first name that a record has.
+
+    One record per line, or one JSON array per file with ``array_files``. Records
+    are parsed as maps, so no pass over the data is spent on inferring a schema.
+    """
+    if array_files:
+        text = spark.read.text(path, wholetext=True)
+        record = F.explode(F.from_json("value", "array<map<string,string>>"))
+    else:
+        text = spark.read.text(path)
+        record = F.from_json("value", "map<string,string>")
+    records = text.select(record.alias("record")).filter(F.col("record").isNotNull())
+    return records.select(*[
+        F.coalesce(*[F.col("record")[name] for name in names]).alias(column) for column, names in fields.items()
+    ])
 
 
 def _first_present(df: DataFrame, *names: str) -> Column:

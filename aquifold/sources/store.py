@@ -41,6 +41,9 @@ class KeyedTable:
     def __init__(
         self, spark: SparkSession, root: str, schema: T.StructType, keys: list[str], month_of: str | None = None
     ) -> None:
+        # A key must always fall into the same month, else its old row would survive a load.
+        if month_of and month_of not in keys:
+            raise ValueError(f"{month_of} must be one of the keys {keys}")
         self.spark, self.root, self.schema, self.keys = spark, root.rstrip("/"), schema, keys
         self._part = F.date_format(month_of, "yyyy-MM") if month_of else F.lit("all")
 
@@ -127,13 +130,18 @@ class KeyedTable:
 
     def insert_new(self, source: DataFrame) -> int:
         """Add rows whose key is absent; existing rows stay. Returns how many were added."""
-        rest = [c for c in source.columns if c not in self.keys]
+        rest = [c for c in self.schema.names if c not in self.keys]
         first = Window.partitionBy(*self.keys).orderBy(*rest)
-        candidates = source.withColumn("place", F.row_number().over(first)).filter("place = 1").drop("place")
-        new = stage(self._typed(candidates).join(self.read().select(*self.keys), self.keys, "left_anti"), "insert")
+        candidates = stage(
+            self._typed(source).withColumn("place", F.row_number().over(first)).filter("place = 1").drop("place"),
+            "candidates",
+        )
+        parts = self._parts(candidates)
+        absent = candidates.join(self.read(parts).select(*self.keys), self.keys, "left_anti")
+        new = stage(absent.select(*self.schema.names), "insert")
         rows = new.count()
         if rows:
-            self._write(new.select(*schemas.names(self.schema)), self._parts(new), replaces=False)
+            self._write(new, self._parts(new), replaces=False)
         return rows
 
     def overwrite(self, source: DataFrame) -> int:
@@ -143,6 +151,12 @@ class KeyedTable:
         return staged.count()
 
 
+    def clear(self) -> None:
+        """Empty the table by a commit alone; nothing is rewritten."""
+        rows = [(self._last_version() + 1, _EVERYTHING, True)]
+        self.spark.createDataFrame(rows, _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+
+
 # surrogate keys -----------------------------------------------------------
 
 
@@ -233,7 +247,7 @@ def reload_all(tables: dict[str, KeyedTable], frames: dict[str, DataFrame]) -> D
     # An emptied child can never point at a parent that is being replaced.
     for name in reversed(LOAD_ORDER):
         if name in tables:
-            tables[name].overwrite(tables[name].read().limit(0))
+            tables[name].clear()
     for name in LOAD_ORDER:
         if name in tables and name in frames:
             tables[name].overwrite(frames[name])

@@ -217,7 +217,6 @@ def reload_all(t: StarTables) -> DataFrame:
     }
     folder = new_folder(t.spark, "tables")
     tables = {name: KeyedTable.named(t.spark, folder, name) for name in frames}
-    store.reload_all(tables, frames)
     broken = store.reload_all(tables, frames).agg(F.count(F.lit(1)).alias("broken_references"))
     counts = constraints._union([
         table.read().agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"))
@@ -737,7 +736,8 @@ def fleet_summary(t: StarTables) -> DataFrame:
 def _tag_stream(t: StarTables) -> DataFrame:
     """The event table as a stream of notifications."""
     schema = t.raw("events").schema
-    return tag_events_of(jobs.file_stream(t.spark, f"{t.folder}/events.parquet", schema))
+    # A pattern matches the table whether it is one file or a folder of files.
+    return tag_events_of(jobs.file_stream(t.spark, f"{t.folder}/event[s].parquet", schema))
 
 
 def _tag_state(t: StarTables) -> DataFrame:
