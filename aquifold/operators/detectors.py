@@ -81,26 +81,29 @@ def latest_rain_event(
 ) -> DataFrame:
     """Newest heavy-rain day of each bore's area up to the bore's ``cutoff`` date.
 
-    ``bores`` holds well_id, area, cutoff. Cutoffs and event days of an area are
-    laid on one calendar and looked up there, so the work per area is bounded by
-    its number of days, not by bores times events.
+    ``bores`` holds well_id, area, cutoff. Each area's calendar is laid out with
+    the event in force on every day, and bores look their cutoff up by equality:
+    the work per area is bounded by its number of days, not by bores times events.
     """
     per_area = Window.partitionBy("area").orderBy("day")
+    last_day = rainfall.agg(F.max("day").alias("day")).scalar()
     event_days = (
         rainfall.withColumn("mm", as_double("rainfall_mm"))
         .withColumn("total", F.sum("mm").over(per_area.rowsBetween(-(window_rows - 1), 0)))
         .filter(snap(F.col("total")) > threshold_mm)
-        .select("area", "day", F.col("day").alias("event_day"))
     )
-    cutoffs = bores.select("area", F.col("cutoff").alias("day")).distinct()
-    lookup = (
-        event_days.unionByName(cutoffs.withColumn("event_day", F.lit(None).cast("date")))
-        .groupBy("area", "day").agg(F.max("event_day").alias("event_day"))
-        .withColumn("event_date", F.max("event_day").over(per_area))
-        .filter(F.col("event_date").isNotNull())
-        .select("area", F.col("day").alias("cutoff"), "event_date")
+    in_force = (
+        event_days.select("area", "day").distinct()
+        .select(
+            "area", F.col("day").alias("event_date"),
+            F.coalesce(F.date_sub(F.lead("day").over(per_area), 1), last_day).alias("until"),
+        )
+        .select("area", "event_date", F.explode(F.sequence("event_date", "until")).alias("day"))
+    )
+    return (
+        bores.withColumn("day", F.least(F.col("cutoff"), last_day)).join(in_force, ["area", "day"])
+        .select("well_id", "event_date")
     )
-    return bores.join(lookup, ["area", "cutoff"]).select("well_id", "event_date")
 
 
 def low_recharge_response(

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 
 from aquifold.operators import curated, detectors
-from aquifold.session import stage
+from aquifold.session import Staging, placed_by
 from aquifold.sources.store import KeyedTable, insert_new_events
 
 
@@ -17,18 +17,25 @@ class DetectionCounts:
     inserted: int
 
 
-def detect(readings: DataFrame, wells: DataFrame, rainfall: DataFrame) -> DataFrame:
+def detect(
+    readings: DataFrame, wells: DataFrame, rainfall: DataFrame, staging: Staging | None = None
+) -> DataFrame:
     """Events of all detectors over trusted readings and area rainfall.
 
-    The joined readings are written once, bucketed by bore: the five passes the
-    detectors make over them then run without exchanging readings again.
+    Readings are exchanged once, by bore, then joined with their bores and written
+    bucketed: the passes the detectors make over them need no further exchange.
     """
-    trusted = stage(curated.trusted_readings(readings, wells), "trusted", "well_id", "reading_date")
-    return detectors.run_all_detectors(trusted, curated.area_rainfall(rainfall))
+    staging = staging or Staging(readings.sparkSession)
+    trusted = staging.write(
+        curated.trusted_readings(placed_by(readings, "well_id"), wells), "trusted", "well_id", "reading_date"
+    )
+    rain = staging.write(curated.area_rainfall(rainfall), "area_rain")
+    return detectors.run_all_detectors(trusted, rain)
 
 
 def detect_and_store(
     readings: DataFrame, wells: DataFrame, rainfall: DataFrame, events: KeyedTable, detected_at: Column | None = None
 ) -> DetectionCounts:
-    found = stage(detect(readings, wells, rainfall), "detected")
-    return DetectionCounts(found.count(), insert_new_events(events, found, detected_at))
+    with Staging(readings.sparkSession) as staging:
+        found = staging.write(detect(readings, wells, rainfall, staging), "detected")
+        return DetectionCounts(found.count(), insert_new_events(events, found, detected_at))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from aquifold.functions import drop_suspect
 from aquifold.operators import curated, features, forecast, forest
-from aquifold.session import stage
+from aquifold.session import broadcast_if_small, stage
 from aquifold.sources.store import write_output
 
 
@@ -21,6 +21,11 @@ class ForecastRun:
     metrics: DataFrame
 
 
+def _daily_rain(rainfall: DataFrame) -> DataFrame:
+    """Rain per area and day, broadcast while that is small so that readings stay where they are."""
+    return broadcast_if_small(stage(curated.area_rainfall_unfiltered(rainfall), "daily_rain"))
+
+
 def run_forecast(
     wells: DataFrame, readings: DataFrame, rainfall: DataFrame, horizon: int = 30, **model_options
 ) -> ForecastRun:
@@ -28,7 +33,7 @@ def run_forecast(
 
     Boosting reads the features once per tree level, so they are written first.
     """
-    rain = curated.area_rainfall_unfiltered(rainfall)
+    rain = _daily_rain(rainfall)
     frame = stage(features.forecast_features(wells, drop_suspect(readings), rain, horizon), "features")
     train, test, _ = features.purged_time_split(frame)
     model = forecast.fit_forecast(train, **model_options)
@@ -49,6 +54,6 @@ def score_anomalies(
     wells: DataFrame, readings: DataFrame, rainfall: DataFrame, **forest_options
 ) -> DataFrame:
     """Isolation-forest score of every reading with complete features."""
-    rain = curated.area_rainfall_unfiltered(rainfall)
+    rain = _daily_rain(rainfall)
     frame = stage(features.anomaly_features(wells, drop_suspect(readings), rain), "anomaly_features")
     return forest.isolation_forest_score(frame, features.ANOMALY_FEATURES, **forest_options)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from aquifold.functions import AsOf
 from aquifold.operators import constraints, risk
-from aquifold.session import stage
+from aquifold.session import Staging
 from aquifold.sources.store import KeyedTable
 
 
@@ -16,11 +16,12 @@ class AmbiguousLicence(ValueError):
 
 def store_snapshot(table: KeyedTable, snapshot: DataFrame) -> int:
     """Store a snapshot after checking that it holds every bore once."""
-    staged = stage(snapshot, "snapshot")
-    repeated = constraints.unique_violations(staged, ["risk_snapshot_date", "well_id"]).limit(3).collect()
-    if repeated:
-        raise AmbiguousLicence(f"bores with several rows, e.g. {[r['well_id'] for r in repeated]}")
-    return table.upsert(staged)
+    with Staging(snapshot.sparkSession) as staging:
+        staged = staging.write(snapshot, "snapshot")
+        repeated = constraints.unique_violations(staged, ["risk_snapshot_date", "well_id"]).limit(3).collect()
+        if repeated:
+            raise AmbiguousLicence(f"bores with several rows, e.g. {[r['well_id'] for r in repeated]}")
+        return table.upsert(staged)
 
 
 def build_and_store(

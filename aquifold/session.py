@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -57,31 +58,74 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str, cluster_by: str | None = None, sort_by: str | None = None) -> DataFrame:
-    """Write ``df`` once to the shared folder and return a scan of it.
+class Staging:
+    """Intermediate tables of one job, written to the shared folder.
 
     Used where several operators read the same derived table: the expensive part
-    runs once, lineage ends at a file that outlives lost executors, and each
-    reader still prunes columns and pushes filters into the parquet scan.
+    runs once, lineage ends at files that outlive lost executors, and each reader
+    still prunes columns and pushes filters into the parquet scan. As a context
+    manager it removes the tables at the end; a job that returns lazy results on
+    top of them leaves them to the folder's own clean-up.
+    """
 
-    With ``cluster_by`` the table is bucketed on that key (one file per bucket, as
-    many buckets as shuffle partitions), so later windows, aggregates and joins
-    on the key need no further exchange.
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
+        self.folder = new_folder(spark, "job")
+        self._tables: list[str] = []
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
+    def write(self, df: DataFrame, label: str, cluster_by: str | None = None, sort_by: str | None = None) -> DataFrame:
+        """Write ``df`` once and return a scan of it.
+
+        With ``cluster_by`` the table is bucketed on that key, with as many buckets
+        as shuffle partitions, so later windows, aggregates and joins on the key
+        need no further exchange. Such a frame must already be placed by
+        ``placed_by`` (so that each task holds few buckets).
+        """
+        path = f"{self.folder}/{label}-{uuid.uuid4().hex}"
+        if cluster_by is None:
+            df.write.parquet(path)
+            return self._spark.read.schema(df.schema).parquet(path)
+        table = f"aquifold_{label}_{uuid.uuid4().hex[:12]}"
+        (
+            df.write.bucketBy(_buckets(self._spark), cluster_by)
+            .sortBy(*[c for c in (cluster_by, sort_by) if c])
+            .option("path", path).format("parquet").saveAsTable(table)
+        )
+        self._tables.append(table)
+        return self._spark.table(table)
+
+    def close(self) -> None:
+        for table in self._tables:
+            self._spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self._tables.clear()
+        path = self._spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self._spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def _buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def placed_by(df: DataFrame, key: str) -> DataFrame:
+    """``df`` distributed as a table bucketed on ``key`` is.
+
+    Place a fact table before joining its dimensions: the joins on the key and
+    the bucketed write then share this one exchange.
     """
-    spark = df.sparkSession
-    path = new_folder(spark, label)
-    if cluster_by is None:
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = f"aquifold_{label}_{uuid.uuid4().hex[:12]}"
-    (
-        df.repartition(buckets, cluster_by)
-        .write.bucketBy(buckets, cluster_by)
-        .sortBy(*[c for c in (cluster_by, sort_by) if c])
-        .option("path", path)
-        .format("parquet")
-        .saveAsTable(table)
-    )
-    return spark.table(table)
+    return df.repartition(_buckets(df.sparkSession), key)
+
+
+def stage(df: DataFrame, label: str, cluster_by: str | None = None, sort_by: str | None = None) -> DataFrame:
+    """Stage one table that stays until the shared folder is cleaned."""
+    return Staging(df.sparkSession).write(df, label, cluster_by, sort_by)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """Mark a stored table of few narrow rows for broadcast; a larger one keeps its shuffle join."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

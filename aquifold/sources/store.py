@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from aquifold import schemas
 from aquifold.operators import constraints
-from aquifold.session import stage
+from aquifold.session import Staging
 
 _COMMITS = "version long, part string, replaces boolean"
 _EVERYTHING = "*"
@@ -110,17 +110,18 @@ class KeyedTable:
 
     def upsert(self, source: DataFrame) -> int:
         """Replace rows with equal keys, add the others; returns the source's row count."""
-        staged = stage(self._typed(source), "upsert")
-        rows = staged.count()
-        if rows == 0:
-            return 0
-        repeated = constraints.unique_violations(staged, self.keys).limit(3).collect()
-        if repeated:
-            raise DuplicateKeyError(f"{self.root}: keys held more than once, e.g. {[tuple(r) for r in repeated]}")
-        parts = self._parts(staged)
-        kept = self.read(parts).join(staged.select(*self.keys), self.keys, "left_anti").select(*staged.columns)
-        self._write(kept.unionByName(staged), parts, replaces=True)
-        return rows
+        with Staging(self.spark) as staging:
+            staged = staging.write(self._typed(source), "upsert")
+            rows = staged.count()
+            if rows == 0:
+                return 0
+            repeated = constraints.unique_violations(staged, self.keys).limit(3).collect()
+            if repeated:
+                raise DuplicateKeyError(f"{self.root}: keys held more than once, e.g. {[tuple(r) for r in repeated]}")
+            parts = self._parts(staged)
+            kept = self.read(parts).join(staged.select(*self.keys), self.keys, "left_anti").select(*staged.columns)
+            self._write(kept.unionByName(staged), parts, replaces=True)
+            return rows
 
     def upsert_latest(self, source: DataFrame, order: str) -> int:
         """Upsert a source that may hold a key several times: the highest ``order`` wins."""
@@ -132,24 +133,26 @@ class KeyedTable:
         """Add rows whose key is absent; existing rows stay. Returns how many were added."""
         rest = [c for c in self.schema.names if c not in self.keys]
         first = Window.partitionBy(*self.keys).orderBy(*rest)
-        candidates = stage(
-            self._typed(source).withColumn("place", F.row_number().over(first)).filter("place = 1").drop("place"),
-            "candidates",
-        )
-        parts = self._parts(candidates)
-        absent = candidates.join(self.read(parts).select(*self.keys), self.keys, "left_anti")
-        new = stage(absent.select(*self.schema.names), "insert")
-        rows = new.count()
-        if rows:
-            self._write(new, self._parts(new), replaces=False)
-        return rows
+        with Staging(self.spark) as staging:
+            candidates = staging.write(
+                self._typed(source).withColumn("place", F.row_number().over(first)).filter("place = 1").drop("place"),
+                "candidates",
+            )
+            present = self.read(self._parts(candidates)).select(*self.keys)
+            new = staging.write(
+                candidates.join(present, self.keys, "left_anti").select(*self.schema.names), "insert"
+            )
+            rows = new.count()
+            if rows:
+                self._write(new, self._parts(new), replaces=False)
+            return rows
 
     def overwrite(self, source: DataFrame) -> int:
         """Replace the whole table."""
-        staged = stage(self._typed(source), "overwrite")
-        self._write(staged, self._parts(staged), replaces=True, emptied=True)
-        return staged.count()
-
+        with Staging(self.spark) as staging:
+            staged = staging.write(self._typed(source), "overwrite")
+            self._write(staged, self._parts(staged), replaces=True, emptied=True)
+            return staged.count()
 
     def clear(self) -> None:
         """Empty the table by a commit alone; nothing is rewritten."""

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from aquifold.functions import as_double, latest_date
 from aquifold.operators import curated, features, risk
 from aquifold.plans import detection
-from aquifold.session import stage
+from aquifold.session import broadcast_if_small, placed_by, stage
 
 # Share of the projected extraction that each region's allocation covers, by region key.
 PROJECTED_USE = {0: 1.03, 1: 0.92, 2: 0.76, 3: 1.03, 4: 0.92}
@@ -83,7 +83,7 @@ class StarTables:
                 "data_quality_flag", F.when(F.col("water_level_mbgl") > 48, "suspect").otherwise("measured")
             )
         )
-        return stage(daily, "readings", "well_id", "reading_date")
+        return stage(placed_by(daily, "well_id"), "readings", "well_id", "reading_date")
 
     @cached_property
     def rainfall(self) -> DataFrame:
@@ -138,7 +138,7 @@ class StarTables:
             F.struct(F.lit("2001").alias("y"), F.lit("2001-07-01").alias("s"), F.lit("2002-06-30").alias("e")),
             F.struct(F.lit("2000").alias("y"), F.lit("2000-07-01").alias("s"), F.lit("2001-06-30").alias("e")),
         )
-        return (
+        periods_of_areas = (
             self.raw("region").join(used, F.col("r_name") == F.col("management_area"))
             .select("r_name", allocation.alias("allocation"), F.inline(periods))
             .select(
@@ -148,6 +148,7 @@ class StarTables:
                 F.col("allocation").alias("annual_allocation_ml"), F.lit(100.0).alias("compliance_limit_pct"),
             )
         )
+        return stage(periods_of_areas, "licences")
 
     @cached_property
     def as_of(self) -> Column:
@@ -195,21 +196,25 @@ class StarTables:
         )
         return self.snapshot.filter(F.col("well_id") % 3 != 0).unionByName(earlier)
 
+    @cached_property
+    def daily_rain(self) -> DataFrame:
+        return broadcast_if_small(stage(curated.area_rainfall_unfiltered(self.rainfall), "daily_rain"))
+
     @cached_property
     def forecast_frame(self) -> DataFrame:
         frame = features.forecast_features(
             self.wells, self.trusted.drop("coastal_flag", "management_area"),
-            curated.area_rainfall_unfiltered(self.rainfall), 30,
+            self.daily_rain, 30,
         )
-        return stage(frame, "forecast_frame", "well_id", "reading_date")
+        return stage(frame, "forecast_frame")
 
     @cached_property
     def anomaly_frame(self) -> DataFrame:
         frame = features.anomaly_features(
             self.wells, self.trusted.drop("coastal_flag", "management_area"),
-            curated.area_rainfall_unfiltered(self.rainfall),
+            self.daily_rain,
         )
-        return stage(frame, "anomaly_frame", "well_id", "reading_date")
+        return stage(frame, "anomaly_frame")
 
     @cached_property
     def forecasts(self) -> DataFrame:
