@@ -51,14 +51,14 @@ def with_rain(readings: DataFrame, wells: DataFrame, rainfall: DataFrame) -> Dat
     )
 
 
-def forecast_features(
+def history_features(
     wells: DataFrame,
     readings: DataFrame,
     rainfall: DataFrame,
-    horizon: int = 30,
+    horizons: tuple[int, ...],
     areas: list[str] | None = None,
 ) -> DataFrame:
-    """Features known at each reading and the level ``horizon`` rows later."""
+    """Features known at each reading, and the level each of ``horizons`` rows later as target_<rows>."""
     bore = by_bore()
     level, mm = F.col("water_level_mbgl"), F.col("rainfall_mm")
     angle = 2 * math.pi * F.dayofyear("reading_date") / 365.25
@@ -74,19 +74,38 @@ def forecast_features(
         "season_sin": F.sin(angle),
         "season_cos": F.cos(angle),
         "level_now": level,
-        "target": F.lead(level, horizon).over(bore),
-        "target_date": F.date_add("reading_date", horizon),
     }
+    columns |= {f"target_{h}": F.lead(level, h).over(bore) for h in horizons}
     for area in area_names(wells) if areas is None else areas:
         columns[f"area_{area}"] = F.coalesce(F.col("management_area") == area, F.lit(False)).cast("int")
     return (
-        with_rain(readings, wells, rainfall)
-        .withColumns(columns)
-        .drop("management_area")
-        .na.drop(subset=["target", f"level_lag_{max(LAGS)}"])
+        with_rain(readings, wells, rainfall).withColumns(columns).drop("management_area")
+        .filter(F.col(f"level_lag_{max(LAGS)}").isNotNull())
     )
 
 
+def at_horizon(frame: DataFrame, horizon: int) -> DataFrame:
+    """Rows of ``history_features`` that have a target at ``horizon``, with that target alone."""
+    target = F.col(f"target_{horizon}")
+    others = [c for c in frame.columns if c.startswith("target_")]
+    return (
+        frame.filter(target.isNotNull())
+        .withColumns({"target": target, "target_date": F.date_add("reading_date", horizon)})
+        .drop(*[c for c in others if c != "target_date"])
+    )
+
+
+def forecast_features(
+    wells: DataFrame,
+    readings: DataFrame,
+    rainfall: DataFrame,
+    horizon: int = 30,
+    areas: list[str] | None = None,
+) -> DataFrame:
+    """Features known at each reading and the level ``horizon`` rows later."""
+    return at_horizon(history_features(wells, readings, rainfall, (horizon,), areas), horizon)
+
+
 def feature_columns(df: DataFrame) -> list[str]:
     """Model inputs: everything but identifiers, the raw level and the target."""
     return [c for c in df.columns if c not in _NOT_FEATURES]

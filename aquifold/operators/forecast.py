@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aquifold import schemas
 from aquifold.functions import as_double, by_bore, rounded
 from aquifold.operators import features as feat
-from aquifold.session import shared_folder
+from aquifold.session import Staging, shared_folder
 
 SWEEP_HORIZONS = (7, 14, 30, 45, 60)
 
@@ -91,20 +89,26 @@ def horizon_targets(readings: DataFrame, horizons: tuple[int, ...] = SWEEP_HORIZ
 def persistence_baseline(
     readings: DataFrame, horizons: tuple[int, ...] = SWEEP_HORIZONS, test_fraction: float = 0.2
 ) -> DataFrame:
-    """Test-set error of "no change" per horizon."""
-    rows = horizon_targets(readings, horizons)
-    dates = F.sort_array(F.collect_set("reading_date"))
-    position = F.floor(F.size(dates) * F.lit(1 - test_fraction)).cast("int") + 1
-    cutoffs = rows.groupBy("horizon_days").agg(F.element_at(dates, position).alias("cutoff"))
+    """Test-set error of "no change" per horizon.
+
+    Errors are summed per horizon and day in one pass over the readings; the split
+    then works on that small table.
+    """
     error = F.col("actual") - F.col("level_now")
+    daily = horizon_targets(readings, horizons).groupBy("horizon_days", "reading_date").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.abs(error)).alias("absolute"), F.sum(error * error).alias("squared")
+    )
+    of_horizon = Window.partitionBy("horizon_days")
+    first_test = F.floor(F.count(F.lit(1)).over(of_horizon) * F.lit(1 - test_fraction)) + 1
     return (
-        rows.join(cutoffs, "horizon_days")
-        .filter(F.col("reading_date") >= F.col("cutoff"))
+        daily.withColumn("first_test", first_test)
+        .withColumn("place", F.row_number().over(of_horizon.orderBy("reading_date")))
+        .filter(F.col("place") >= F.col("first_test"))
         .groupBy("horizon_days")
         .agg(
-            F.count(F.lit(1)).alias("n_test"),
-            rounded(F.avg(F.abs(error)), 4).alias("baseline_mae_m"),
-            rounded(F.sqrt(F.avg(error * error)), 4).alias("baseline_rmse_m"),
+            F.sum("rows").alias("n_test"),
+            rounded(F.sum("absolute") / F.sum("rows"), 4).alias("baseline_mae_m"),
+            rounded(F.sqrt(F.sum("squared") / F.sum("rows")), 4).alias("baseline_rmse_m"),
         )
     )
 
@@ -116,18 +120,19 @@ def horizon_sweep(
     horizons: tuple[int, ...] = SWEEP_HORIZONS,
     **model_options,
 ) -> DataFrame:
-    """Model against persistence for each horizon; one model fit per horizon."""
-    areas = feat.area_names(wells)
+    """Model against persistence for each horizon: one feature pass, one model fit per horizon."""
     outcomes = []
-    for horizon in horizons:
-        frame = feat.forecast_features(wells, readings, rainfall, horizon, areas)
-        train, test, _ = feat.purged_time_split(frame)
-        metrics = forecast_metrics(predict(fit_forecast(train, **model_options), test))
-        outcomes.append(metrics.select(
-            F.lit(horizon).alias("horizon_days"), "model_mae_m", "baseline_mae_m",
-            F.col("mae_improvement_pct").alias("improvement_pct"),
-        ))
-    return reduce(DataFrame.unionByName, outcomes)
+    with Staging(readings.sparkSession) as staging:
+        frame = staging.write(feat.history_features(wells, readings, rainfall, horizons), "history")
+        for horizon in horizons:
+            train, test, _ = feat.purged_time_split(feat.at_horizon(frame, horizon))
+            metrics = forecast_metrics(predict(fit_forecast(train, **model_options), test)).first()
+            outcomes.append(
+                (horizon, metrics.model_mae_m, metrics.baseline_mae_m, metrics.mae_improvement_pct)
+            )
+    return readings.sparkSession.createDataFrame(
+        outcomes, "horizon_days int, model_mae_m double, baseline_mae_m double, improvement_pct double"
+    )
 
 
 def feature_importance(model: PipelineModel, top: int = 6) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql.types import DoubleType
 
 from aquifold import schemas
 from aquifold.functions.quantiles import unit_quantile
+from aquifold.session import Staging, stage
 
 _TREE_SCHEMA = "tree int, feature array<int>, threshold array<double>, path array<double>"
 _OVERSAMPLING = 1.5
@@ -101,7 +102,7 @@ class IsolationForestModel:
     threshold: float | None = None
 
     def raw_score(self, df: DataFrame) -> Column:
-        """Anomaly score in (0, 1], larger is more anomalous."""
+        """Anomaly score in (0, 1] to nine digits, larger is more anomalous."""
         rows = self.trees.orderBy("tree").collect()
         packed = df.sparkSession.sparkContext.broadcast((
             np.array([r["feature"] for r in rows], dtype=np.int32),
@@ -126,28 +127,30 @@ class IsolationForestModel:
                 total += p[node - inner]
             return pd.Series(np.exp2(-total / len(path) / scale))
 
-        return score(*[F.col(name).cast("double") for name in self.features])
+        return F.round(score(*[F.col(name).cast("double") for name in self.features]), 9)
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Add anomaly_score (0 at the threshold) and is_anomaly."""
+    def judged(self, scored: DataFrame) -> DataFrame:
+        """Add anomaly_score (0 at the threshold) and is_anomaly to rows with a raw score."""
         if self.threshold is None:
             raise ValueError("the model has no threshold; fit it with a contamination")
         return (
-            df.withColumn("anomaly_score", F.round(self.raw_score(df), 9) - F.lit(self.threshold))
-            .withColumn("is_anomaly", F.col("anomaly_score") > 0)
+            scored.withColumn("anomaly_score", F.col("raw") - F.lit(self.threshold))
+            .withColumn("is_anomaly", F.col("anomaly_score") > 0).drop("raw")
         )
 
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.judged(df.withColumn("raw", self.raw_score(df)))
 
-def fit_isolation_forest(
+
+def fit_trees(
     df: DataFrame,
     features: list[str],
     keys: tuple[str, ...] = ("well_id", "reading_date"),
     trees: int = 300,
-    contamination: float = 0.01,
     max_samples: int = 256,
     seed: int = 0,
 ) -> IsolationForestModel:
-    """Fit on ``df`` (a stored table: it is counted, sampled and scored)."""
+    """Grow the trees on samples of ``df`` (a stored table: it is counted, then sampled)."""
     rows = df.count()
     if rows == 0:
         raise ValueError("cannot fit on an empty table")
@@ -164,20 +167,29 @@ def fit_isolation_forest(
             "tree": [tree], "feature": [feature], "threshold": [threshold], "path": [path],
         })
 
-    spark = df.sparkSession
     grown = samples.groupBy("tree").applyInPandas(grow, _TREE_SCHEMA).collect()
-    model = IsolationForestModel(spark.createDataFrame(grown, _TREE_SCHEMA), features, size)
-    scored = df.select(F.round(model.raw_score(df), 9).alias("score")).persist()
-    try:
-        model.threshold = unit_quantile(scored, "score", 1 - contamination)
-    finally:
-        scored.unpersist()
+    return IsolationForestModel(df.sparkSession.createDataFrame(grown, _TREE_SCHEMA), features, size)
+
+
+def fit_isolation_forest(
+    df: DataFrame, features: list[str], contamination: float = 0.01, **options
+) -> IsolationForestModel:
+    """Trees plus the threshold above which the worst ``contamination`` of ``df`` lies."""
+    model = fit_trees(df, features, **options)
+    with Staging(df.sparkSession) as staging:
+        scored = staging.write(df.select(model.raw_score(df).alias("raw")), "forest_scores")
+        model.threshold = unit_quantile(scored, "raw", 1 - contamination)
     return model
 
 
-def isolation_forest_score(df: DataFrame, features: list[str], **options) -> DataFrame:
-    """Every row of the feature table with its score and flag."""
-    return fit_isolation_forest(df, features, **options).transform(df).select(*schemas.names(schemas.SCORES))
+def isolation_forest_score(
+    df: DataFrame, features: list[str], contamination: float = 0.01, **options
+) -> DataFrame:
+    """Every row of the feature table with its score and flag; each row is scored once."""
+    model = fit_trees(df, features, **options)
+    scored = stage(df.withColumn("raw", model.raw_score(df)), "forest_scores")
+    model.threshold = unit_quantile(scored, "raw", 1 - contamination)
+    return model.judged(scored).select(*schemas.names(schemas.SCORES))
 
 
 def top_anomalies(scores: DataFrame, top: int = 10) -> DataFrame:

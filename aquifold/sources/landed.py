@@ -110,10 +110,15 @@ def flag_rain_quality(mm: Column) -> Column:
     return F.when(mm < 0, "suspect").otherwise("measured")
 
 
+# Name patterns of coastal aquifers and districts (fixed values).
+COASTAL_AQUIFER = "coast"
+COASTAL_AREA = "McLaren|Willunga"
+
+
 def coastal_flag(aquifer: Column, area: Column) -> Column:
-    """1 for an aquifer named after the coast or an area of the coastal districts."""
-    by_aquifer = F.coalesce(aquifer, F.lit("")).rlike("(?i)coast")
-    by_area = F.coalesce(area, F.lit("")).rlike("(?i)McLaren|Willunga")
+    """1 for a coastal aquifer or an area of the coastal districts, in any letter case."""
+    by_aquifer = F.coalesce(aquifer, F.lit("")).rlike(f"(?i){COASTAL_AQUIFER}")
+    by_area = F.coalesce(area, F.lit("")).rlike(f"(?i){COASTAL_AREA}")
     return (by_aquifer | by_area).cast("int")
 
 

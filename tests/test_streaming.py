@@ -17,17 +17,17 @@ def notification(i, second, bore, tag, value):
 
 
 FIRST = [
-    notification(1, 1, "Bore_1_Maslin_Beach", "WaterLevel_mBGL", 5.0),
-    notification(2, 2, "Bore_1_Maslin_Beach", "WaterLevel_mBGL", 6.0),
+    notification(1, 1, "Bore_1_North_Shore", "WaterLevel_mBGL", 5.0),
+    notification(2, 2, "Bore_1_North_Shore", "WaterLevel_mBGL", 6.0),
     notification(3, 1, "Bore_2", "TDS_mg_per_L", 700),
     notification(4, 1, "Pump_1_x", "WaterLevel_mBGL", 1),
     notification(5, 1, "Bore_x_y", "WaterLevel_mBGL", 1),
-    notification(6, 1, "Bore_1_Maslin_Beach", "Heartbeat", 1),
+    notification(6, 1, "Bore_1_North_Shore", "Heartbeat", 1),
 ]
 SECOND = [
-    notification(7, 1, "Bore_1_Maslin_Beach", "WaterLevel_mBGL", 9.0),
-    notification(8, 2, "Bore_1_Maslin_Beach", "WaterLevel_mBGL", 6.5),
-    notification(9, 3, "Bore_1_Maslin_Beach", "SignalQuality", "Good"),
+    notification(7, 1, "Bore_1_North_Shore", "WaterLevel_mBGL", 9.0),
+    notification(8, 2, "Bore_1_North_Shore", "WaterLevel_mBGL", 6.5),
+    notification(9, 3, "Bore_1_North_Shore", "SignalQuality", "Good"),
     notification(10, 3, "Bore_2", "PumpSpeed_RPM", 1450.9),
 ]
 
@@ -41,7 +41,7 @@ def test_tag_state_over_two_runs_equals_batch(spark, tmp_path):
         jobs.start_tag_state(stream, state, checkpoint, NOW).awaitTermination()
     rows = {r.well_id: r for r in state.read().collect()}
     # Event time decides: the late notification 7 loses; at equal time the higher id wins.
-    assert (rows[1].level, rows[1].quality, rows[1].location) == (6.5, "Good", "Maslin Beach")
+    assert (rows[1].level, rows[1].quality, rows[1].location) == (6.5, "Good", "North Shore")
     assert (rows[2].level, rows[2].tds, rows[2].pump, rows[2].location) == (None, 700.0, 1450.9, "Bore 2")
     batch = tags.tag_last_value(tags.parse_tags(spark.createDataFrame(FIRST + SECOND, schemas.TAG_EVENTS)))
     assert {tuple(r) for r in batch.select(*state.read().columns).collect()} == {tuple(r) for r in state.read().collect()}
