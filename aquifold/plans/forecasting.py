@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from aquifold.functions import drop_suspect
 from aquifold.operators import curated, features, forecast, forest
-from aquifold.session import broadcast_if_small, stage
+from aquifold.session import Staging, broadcast_if_small, stage
 from aquifold.sources.store import write_output
 
 
@@ -21,9 +21,9 @@ class ForecastRun:
     metrics: DataFrame
 
 
-def _daily_rain(rainfall: DataFrame) -> DataFrame:
+def _daily_rain(rainfall: DataFrame, staging: Staging) -> DataFrame:
     """Rain per area and day, broadcast while that is small so that readings stay where they are."""
-    return broadcast_if_small(stage(curated.area_rainfall_unfiltered(rainfall), "daily_rain"))
+    return broadcast_if_small(staging.write(curated.area_rainfall_unfiltered(rainfall), "daily_rain"))
 
 
 def run_forecast(
@@ -33,13 +33,17 @@ def run_forecast(
 
     Boosting reads the features once per tree level, so they are written first.
     """
-    rain = _daily_rain(rainfall)
-    frame = stage(features.forecast_features(wells, drop_suspect(readings), rain, horizon), "features")
-    train, test, _ = features.purged_time_split(frame)
-    model = forecast.fit_forecast(train, **model_options)
-    predictions = stage(forecast.predict(model, test), "predictions")
+    with Staging(readings.sparkSession) as staging:
+        rain = _daily_rain(rainfall, staging)
+        frame = staging.write(
+            features.forecast_features(wells, drop_suspect(readings), rain, horizon), "features"
+        )
+        train, test, _ = features.purged_time_split(frame)
+        model = forecast.fit_forecast(train, **model_options)
+        predictions = stage(forecast.predict(model, test), "predictions")
+        n_train = train.count()
     metrics = forecast.forecast_metrics(predictions).select(
-        F.lit(horizon).alias("horizon_days"), F.lit(train.count()).alias("n_train"), "*"
+        F.lit(horizon).alias("horizon_days"), F.lit(n_train).alias("n_train"), "*"
     )
     return ForecastRun(model, predictions, metrics)
 
@@ -54,6 +58,7 @@ def score_anomalies(
     wells: DataFrame, readings: DataFrame, rainfall: DataFrame, **forest_options
 ) -> DataFrame:
     """Isolation-forest score of every reading with complete features."""
-    rain = _daily_rain(rainfall)
-    frame = stage(features.anomaly_features(wells, drop_suspect(readings), rain), "anomaly_features")
-    return forest.isolation_forest_score(frame, features.ANOMALY_FEATURES, **forest_options)
+    with Staging(readings.sparkSession) as staging:
+        rain = _daily_rain(rainfall, staging)
+        frame = staging.write(features.anomaly_features(wells, drop_suspect(readings), rain), "anomaly_features")
+        return forest.isolation_forest_score(frame, features.ANOMALY_FEATURES, **forest_options)

@@ -62,27 +62,35 @@ class KeyedTable:
                 raise
             return self.spark.createDataFrame([], _COMMITS)
 
-    def _last_version(self) -> int:
-        return self._commits().agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
-
-    def _live(self) -> list[tuple[int, str]]:
-        """(version, month) pairs that make up the table: a few per month."""
-        commits = self._commits()
-        emptied = commits.filter(F.col("part") == _EVERYTHING).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
-        base = F.max(F.when(F.col("replaces"), F.col("version"))).over(Window.partitionBy("part"))
-        rows = (
-            commits.filter((F.col("version") >= emptied) & (F.col("part") != _EVERYTHING))
-            .withColumn("base", base)
-            .filter(F.col("version") >= F.coalesce("base", F.lit(0)))
-            .select("version", "part").distinct().collect()
+    def _state(self) -> tuple[int, dict[str, list[int]]]:
+        """Last version, and per month the versions that make it up: one row per month is collected."""
+        months = (
+            self._commits().groupBy("part")
+            .agg(
+                F.max(F.when(F.col("replaces"), F.col("version"))).alias("base"),
+                F.collect_set("version").alias("versions"),
+            )
+            .collect()
         )
-        return sorted((r["version"], r["part"]) for r in rows)
-
-    def read(self, parts: set[str] | None = None) -> DataFrame:
-        """The current table, or only the given months of it."""
+        emptied = max((max(m["versions"]) for m in months if m["part"] == _EVERYTHING), default=0)
+        live = {
+            m["part"]: sorted(v for v in m["versions"] if v >= max(m["base"] or 0, emptied))
+            for m in months if m["part"] != _EVERYTHING
+        }
+        return max((max(m["versions"]) for m in months), default=0), {p: v for p, v in live.items() if v}
+
+    def read(self, parts: set[str] | None = None, since: dt.date | None = None) -> DataFrame:
+        """The current table; only the files of the given months, or of those from ``since`` on."""
+        return self._scan(self._state()[1], parts, since)
+
+    def _scan(
+        self, live: dict[str, list[int]], parts: set[str] | None = None, since: dt.date | None = None
+    ) -> DataFrame:
         paths = [
             f"{self.root}/data/v={version}/part={part}"
-            for version, part in self._live() if parts is None or part in parts
+            for part, versions in sorted(live.items())
+            if (parts is None or part in parts) and (since is None or part >= f"{since:%Y-%m}")
+            for version in versions
         ]
         if not paths:
             return self.spark.createDataFrame([], self.schema)
@@ -93,34 +101,39 @@ class KeyedTable:
     def _typed(self, source: DataFrame) -> DataFrame:
         return source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
 
-    def _parts(self, df: DataFrame) -> set[str]:
-        return {row[0] for row in df.select(self._part.alias("part")).distinct().collect()}
+    def _summary(self, df: DataFrame) -> tuple[int, int, set[str]]:
+        """Rows, the most rows any key has, and the months of a typed frame, in one pass."""
+        per_key = df.groupBy(*self.keys, self._part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+        row = per_key.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.max("n"), F.lit(0)).alias("most"),
+            F.collect_set("part").alias("parts"),
+        ).first()
+        return row["rows"], row["most"], set(row["parts"])
 
-    def _write(self, df: DataFrame, parts: set[str], replaces: bool, emptied: bool = False) -> None:
-        version = self._last_version() + 1
+    def _write(self, df: DataFrame, version: int, parts: set[str], replaces: bool) -> None:
         # Rebalancing gathers a month's rows yet splits a month that is too big for one task.
         (
             df.withColumn("part", self._part).hint("rebalance", "part")
             .write.mode("overwrite").partitionBy("part").parquet(f"{self.root}/data/v={version}")
         )
-        rows = [(version, part, replaces) for part in sorted(parts)]
-        if emptied:
-            rows.append((version, _EVERYTHING, True))
+        self._commit([(version, part, replaces) for part in sorted(parts)])
+
+    def _commit(self, rows: list[tuple[int, str, bool]]) -> None:
         self.spark.createDataFrame(rows, _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
     def upsert(self, source: DataFrame) -> int:
         """Replace rows with equal keys, add the others; returns the source's row count."""
         with Staging(self.spark) as staging:
             staged = staging.write(self._typed(source), "upsert")
-            rows = staged.count()
-            if rows == 0:
-                return 0
-            repeated = constraints.unique_violations(staged, self.keys).limit(3).collect()
-            if repeated:
+            rows, most, parts = self._summary(staged)
+            if most > 1:
+                repeated = constraints.unique_violations(staged, self.keys).limit(3).collect()
                 raise DuplicateKeyError(f"{self.root}: keys held more than once, e.g. {[tuple(r) for r in repeated]}")
-            parts = self._parts(staged)
-            kept = self.read(parts).join(staged.select(*self.keys), self.keys, "left_anti").select(*staged.columns)
-            self._write(kept.unionByName(staged), parts, replaces=True)
+            if rows:
+                last, live = self._state()
+                old = self._scan(live, parts)
+                kept = old.join(staged.select(*self.keys), self.keys, "left_anti").select(*staged.columns)
+                self._write(kept.unionByName(staged), last + 1, parts, replaces=True)
             return rows
 
     def upsert_latest(self, source: DataFrame, order: str) -> int:
@@ -138,26 +151,27 @@ class KeyedTable:
                 self._typed(source).withColumn("place", F.row_number().over(first)).filter("place = 1").drop("place"),
                 "candidates",
             )
-            present = self.read(self._parts(candidates)).select(*self.keys)
+            last, live = self._state()
+            present = self._scan(live, self._summary(candidates)[2]).select(*self.keys)
             new = staging.write(
                 candidates.join(present, self.keys, "left_anti").select(*self.schema.names), "insert"
             )
-            rows = new.count()
+            rows, _, parts = self._summary(new)
             if rows:
-                self._write(new, self._parts(new), replaces=False)
+                self._write(new, last + 1, parts, replaces=False)
             return rows
 
     def overwrite(self, source: DataFrame) -> int:
         """Replace the whole table."""
         with Staging(self.spark) as staging:
             staged = staging.write(self._typed(source), "overwrite")
-            self._write(staged, self._parts(staged), replaces=True, emptied=True)
-            return staged.count()
+            rows, _, parts = self._summary(staged)
+            self._write(staged, self._state()[0] + 1, parts | {_EVERYTHING}, replaces=True)
+            return rows
 
     def clear(self) -> None:
         """Empty the table by a commit alone; nothing is rewritten."""
-        rows = [(self._last_version() + 1, _EVERYTHING, True)]
-        self.spark.createDataFrame(rows, _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+        self._commit([(self._state()[0] + 1, _EVERYTHING, True)])
 
 
 # surrogate keys -----------------------------------------------------------

@@ -87,16 +87,18 @@ class StarTables:
 
     @cached_property
     def rainfall(self) -> DataFrame:
-        station = F.concat_ws("-", "r_name", (F.col("o_orderkey") % 2).cast("string"))
-        mm = F.floor(F.sum(_cents("o_totalprice")) / (F.count(F.lit(1)) * 50000.0) + 0.5) / 100.0
+        # Orders shrink to days per customer before customers join, so a busy customer
+        # is as small as any other.
+        per_customer = self.raw("orders").groupBy(
+            "o_custkey", F.to_date("o_orderdate").alias("obs_date"), (F.col("o_orderkey") % 2).alias("station")
+        ).agg(F.sum(_cents("o_totalprice")).alias("cents"), F.count(F.lit(1)).alias("orders"))
+        station = F.concat_ws("-", "r_name", F.col("station").cast("string"))
+        mm = F.floor(F.sum("cents") / (F.sum("orders") * 50000.0) + 0.5) / 100.0
         daily = (
-            self.raw("orders")
+            per_customer
             .join(self.raw("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
             .join(self.areas, F.col("c_nationkey") == F.col("n_nationkey"))
-            .groupBy(
-                station.alias("station_id"), F.col("r_name").alias("management_area"),
-                F.to_date("o_orderdate").alias("obs_date"),
-            )
+            .groupBy(station.alias("station_id"), F.col("r_name").alias("management_area"), "obs_date")
             .agg(mm.alias("rainfall_mm"))
             .select(
                 "station_id", F.col("station_id").alias("station_name"), "management_area", "obs_date", "rainfall_mm",

@@ -190,6 +190,27 @@ def test_forest_separates_an_outlier_and_repeats(spark):
     assert again.threshold == model.threshold
 
 
+def test_scores_against_a_row_by_row_walk(spark):
+    rng = np.random.default_rng(8)
+    points = [(i, START, float(rng.normal()), float(rng.normal())) for i in range(300)]
+    df = spark.createDataFrame(points, "well_id int, reading_date date, a double, b double")
+    model = forest.fit_trees(df, ["a", "b"], trees=12, max_samples=64)
+    trees = model.trees.orderBy("tree").collect()
+    scale = 2 * (math.log(63) + np.euler_gamma) - 2 * 63 / 64
+
+    def walk(row):
+        lengths = []
+        for tree in trees:
+            node = 0
+            while node < len(tree.feature):
+                node = 2 * node + (2 if row[2 + tree.feature[node]] > tree.threshold[node] else 1)
+            lengths.append(tree.path[node - len(tree.feature)])
+        return round(2 ** (-np.mean(lengths) / scale), 9)
+
+    got = {r.well_id: r.raw for r in df.select("well_id", model.raw_score(df).alias("raw")).collect()}
+    assert got == pytest.approx({p[0]: walk(p) for p in points}, abs=2e-9)
+
+
 def test_tree_samples_have_the_asked_size(spark):
     df = spark.range(5000).select(F.col("id").cast("int").alias("well_id"), F.lit(START).alias("reading_date"))
     sizes = forest.tree_samples(df, ["well_id", "reading_date"], 20, 64, 5000, 0).groupBy("tree").count().collect()

@@ -130,8 +130,9 @@ def test_upsert_updates_inserts_and_repeats(spark, tmp_path):
         ]
     assert table.upsert(newer.limit(0)) == 0
     # Only the touched months were rewritten: February still comes from the first version.
-    assert (1, "2024-02") in table._live()
+    assert table._state()[1]["2024-02"] == [1]
     assert table.read({"2024-03"}).count() == 1
+    assert table.read(since=dt.date(2024, 2, 15)).count() == 2
 
 
 def test_duplicate_source_keys_are_refused(spark, tmp_path):
