@@ -25,9 +25,10 @@ def fit_forecast(
     seed: int = 0,
 ) -> PipelineModel:
     """Fit the model; a missing feature value is an error, not a guess."""
-    spark = train.sparkSession
     # Boosting cuts its lineage every few trees, which needs the shared folder.
-    spark.sparkContext.setCheckpointDir(shared_folder(spark))
+    context = train.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(train.sparkSession))
     assembler = VectorAssembler(
         inputCols=feat.feature_columns(train), outputCol="features", handleInvalid="error"
     )

@@ -109,7 +109,11 @@ class Staging:
 
 
 def _buckets(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """As many buckets as shuffle partitions, up to the number Spark allows."""
+    return min(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")),
+    )
 
 
 def placed_by(df: DataFrame, key: str) -> DataFrame:
