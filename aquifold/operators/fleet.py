@@ -29,8 +29,7 @@ def latest_reading(readings: DataFrame) -> DataFrame:
     )
 
 
-def last_issued_forecast(forecasts: DataFrame) -> DataFrame:
-    """Points of each bore's newest issue, by target date."""
+def _last_issue(forecasts: DataFrame) -> DataFrame:
     return (
         forecasts.withColumn("place", F.rank().over(newest_first()))
         .filter(F.col("place") == 1)
@@ -39,26 +38,33 @@ def last_issued_forecast(forecasts: DataFrame) -> DataFrame:
             rounded(as_double("predicted"), 3).alias("predicted"),
             rounded(as_double("actual"), 3).alias("actual"),
         )
-        .orderBy("well_id", "target_date")
+    )
+
+
+def last_issued_forecast(forecasts: DataFrame) -> DataFrame:
+    """Points of each bore's newest issue, by target date."""
+    return _last_issue(forecasts).orderBy("well_id", "target_date")
+
+
+def _recent_scores(scores: DataFrame, latest: AsOf, days: int) -> DataFrame:
+    return scores.filter(F.col("reading_date") >= days_before(latest, days)).select(
+        "well_id", "reading_date", rounded(F.col("anomaly_score"), 4).alias("anomaly_score"), "is_anomaly"
     )
 
 
 def anomaly_trend(scores: DataFrame, latest: AsOf, days: int = 30) -> DataFrame:
-    return (
-        scores.filter(F.col("reading_date") >= days_before(latest, days))
-        .select(
-            "well_id", "reading_date", rounded(F.col("anomaly_score"), 4).alias("anomaly_score"), "is_anomaly"
-        )
-        .orderBy("well_id", "reading_date")
+    return _recent_scores(scores, latest, days).orderBy("well_id", "reading_date")
+
+
+def _recent_events(events: DataFrame, latest: AsOf, days: int) -> DataFrame:
+    return events.filter(F.col("event_date") >= days_before(latest, days)).select(
+        "well_id", "event_date", "anomaly_type", "severity", "detail"
     )
 
 
 def active_alerts(events: DataFrame, latest: AsOf, days: int = 3) -> DataFrame:
-    return (
-        events.filter(F.col("event_date") >= days_before(latest, days))
-        .select("well_id", "event_date", "anomaly_type", "severity", "detail")
-        .orderBy(F.col("event_date").desc(), "well_id", "anomaly_type")
-    )
+    """Recent events of the whole fleet, newest first."""
+    return _recent_events(events, latest, days).orderBy(F.col("event_date").desc(), "well_id", "anomaly_type")
 
 
 def fleet_snapshot(
@@ -99,6 +105,8 @@ def bore_detail(
     scores: DataFrame,
     latest: AsOf,
     history_rows: int = 90,
+    trend_days: int = 30,
+    alert_days: int = 3,
 ) -> DataFrame:
     """Nested detail of every bore: attributes, status, last rows, forecast, trend, alerts.
 
@@ -117,15 +125,15 @@ def bore_detail(
     lists = [
         _listed(history, "history", [date_then], ["reading_date", "level_mbgl", "tds_mg_per_l"]),
         _listed(
-            last_issued_forecast(forecasts), "forecast_series", [F.col("target_date")],
+            _last_issue(forecasts), "forecast_series", [F.col("target_date")],
             ["target_date", "predicted", "actual"],
         ),
         _listed(
-            anomaly_trend(scores, latest), "anomaly_trend", [date_then],
+            _recent_scores(scores, latest, trend_days), "anomaly_trend", [date_then],
             ["reading_date", "anomaly_score", "is_anomaly"],
         ),
         _listed(
-            active_alerts(events, latest), "active_alerts",
+            _recent_events(events, latest, alert_days), "active_alerts",
             [F.datediff(F.lit("1970-01-01").cast("date"), "event_date"), F.col("anomaly_type")],
             ["event_date", "anomaly_type", "severity", "detail"],
         ),

@@ -45,7 +45,7 @@ def rainfall_recharge(readings: DataFrame, wells: DataFrame, rainfall: DataFrame
     does not depend on how many stations report a value, so stations are reduced
     to distinct values and never multiply readings.
     """
-    level = F.col("water_level_mbgl").cast("decimal(18,3)")
+    level = F.col("water_level_mbgl").cast("decimal(8,3)")
     daily = (
         readings.join(wells.select("well_id", "management_area"), "well_id")
         .groupBy("management_area", F.col("reading_date").alias("obs_date"))
@@ -144,8 +144,8 @@ def level_moving_average(readings: DataFrame, wells: DataFrame, rainfall: DataFr
 
     Works on the daily area series, whose windows are bounded by the calendar.
     """
-    level = F.col("water_level_mbgl").cast("decimal(18,3)")
-    mm = F.col("rainfall_mm").cast("decimal(18,4)")
+    level = F.col("water_level_mbgl").cast("decimal(8,3)")
+    mm = F.col("rainfall_mm").cast("decimal(7,2)")
     daily = (
         readings.join(wells.select("well_id", "management_area"), "well_id")
         .groupBy("management_area", F.col("reading_date").alias("obs_date"))

@@ -1,12 +1,39 @@
-"""Loads of the landed sources into the stored tables."""
+"""Loads of the landed sources into the stored tables.
+
+Landed layout, one folder per request the collector makes::
+
+    wells/area=<area>/*.json             bores of an area, one JSON record per line
+    readings/dh_no=<drillhole>/*.json    its readings, one JSON record per line
+    rainfall/station_id=<id>/*.csv       a station's days
+    surface/site_id=<id>/metric=<m>/*.csv   a site's values of one metric
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import logging
 
-from aquifold.sources import landed
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from aquifold import schemas
+from aquifold.functions import AsOf
+from aquifold.sources import landed, store
 from aquifold.sources.store import KeyedTable, assign_surrogate_keys, resolve_keys
 
+logger = logging.getLogger(__name__)
+
+# Station or site settings: (id, name, area) and (id, name, metric).
+Station = tuple[str, str, str]
+Site = tuple[str, str, str]
+
+
+def load(table: KeyedTable, rows: DataFrame) -> int:
+    """Upsert; of several deliveries of a key the last to arrive wins."""
+    if "arrived_at" in rows.columns:
+        return table.upsert_latest(rows, "arrived_at")
+    return table.upsert(rows)
+
 
 def load_wells(table: KeyedTable, wells: DataFrame) -> int:
     """Upsert bores under stable ids; a drillhole reported by two areas is stored once."""
@@ -14,12 +41,65 @@ def load_wells(table: KeyedTable, wells: DataFrame) -> int:
 
 
 def load_readings(table: KeyedTable, readings: DataFrame, wells: DataFrame) -> int:
-    return table.upsert(resolve_keys(readings, wells))
+    return load(table, resolve_keys(readings, wells))
 
 
 def load_rainfall(table: KeyedTable, rainfall: DataFrame) -> int:
-    return table.upsert(rainfall)
+    return load(table, rainfall)
 
 
 def load_surface(table: KeyedTable, surface: DataFrame) -> int:
-    return table.upsert(surface)
+    return load(table, surface)
+
+
+def _collect_csv(spark: SparkSession, paths: dict[str, tuple], normalise, empty) -> DataFrame:
+    """Normalised rows of every folder; one that is missing or unusable is logged and left out."""
+    frames = []
+    for path, settings in paths.items():
+        try:
+            frames.append(normalise(landed.read_csv_records(spark, path), *settings))
+        except (AnalysisException, ValueError) as error:
+            logger.warning("skipped %s: %s", path, error)
+    return landed.collect_all(spark, frames, empty)
+
+
+def run_ingestion(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    stations: list[Station],
+    sites: list[Site],
+    as_of: AsOf,
+    years: int = 5,
+    skip_surface: bool = False,
+    run_id: str = "manual",
+) -> tuple[DataFrame, int]:
+    """Load everything landed under ``source`` into the tables under ``target``.
+
+    Sources are independent: each one's outcome is reported, failures are recorded
+    in the audit table, and the exit code says whether any failed.
+    """
+    tables = {name: KeyedTable.named(spark, target, name) for name in ("wells", "readings", "rainfall", "surface")}
+
+    def groundwater() -> int:
+        raw = landed.read_json_records(spark, f"{source}/wells", landed.WELL_FIELDS, folders=("area",))
+        load_wells(tables["wells"], landed.normalise_wells(raw, F.col("area")))
+        raw = landed.read_json_records(spark, f"{source}/readings", landed.READING_FIELDS, folders=("dh_no",))
+        readings = landed.normalise_readings(raw, F.col("dh_no"))
+        recent = landed.history_window(readings, "reading_date", as_of, years)
+        return load_readings(tables["readings"], recent, tables["wells"].read())
+
+    def rainfall() -> int:
+        paths = {f"{source}/rainfall/station_id={s[0]}": s for s in stations}
+        rows = _collect_csv(spark, paths, landed.normalise_rainfall, schemas.RAINFALL)
+        return load_rainfall(tables["rainfall"], landed.history_window(rows, "obs_date", as_of, years))
+
+    def surface() -> int:
+        paths = {f"{source}/surface/site_id={s[0]}/metric={s[2]}": s for s in sites}
+        rows = _collect_csv(spark, paths, landed.normalise_surface, schemas.SURFACE)
+        return load_surface(tables["surface"], landed.history_window(rows, "reading_datetime", as_of, years))
+
+    loaders = {"groundwater": groundwater, "rainfall": rainfall}
+    if not skip_surface:
+        loaders["surface"] = surface
+    return store.run_sources(spark, loaders, f"{target}/audit", run_id)

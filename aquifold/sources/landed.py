@@ -52,24 +52,46 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType, fmt: str
         return spark.createDataFrame([], schema)
 
 
+def folder_value(name: str) -> Column:
+    """Value of a ``name=value`` folder in the path a row was read from, as text."""
+    return F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), f"/{name}=([^/]+)/", 1))
+
+
+def arrival_time() -> Column:
+    return F.col("_metadata.file_modification_time").alias("arrived_at")
+
+
 def read_json_records(
-    spark: SparkSession, path: str | list[str], fields: dict[str, list[str]], array_files: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    fields: dict[str, list[str]],
+    array_files: bool = False,
+    folders: tuple[str, ...] = (),
 ) -> DataFrame:
     """Records as text columns named by ``fields``; each takes its first name that a record has.
 
     One record per line, or one JSON array per file with ``array_files``. Records
     are parsed as maps, so no pass over the data is spent on inferring a schema.
+    ``folders`` names ``key=value`` folders to keep as columns.
     """
+    text = spark.read.text(path, wholetext=array_files)
     if array_files:
-        text = spark.read.text(path, wholetext=True)
         record = F.explode(F.from_json("value", "array<map<string,string>>"))
     else:
-        text = spark.read.text(path)
         record = F.from_json("value", "map<string,string>")
-    records = text.select(record.alias("record")).filter(F.col("record").isNotNull())
-    return records.select(*[
-        F.coalesce(*[F.col("record")[name] for name in names]).alias(column) for column, names in fields.items()
-    ])
+    records = text.select(
+        record.alias("record"), arrival_time(), *[folder_value(name).alias(f"folder_{name}") for name in folders]
+    ).filter(F.col("record").isNotNull())
+    return records.select(
+        *[F.coalesce(*[F.col("record")[n] for n in names]).alias(column) for column, names in fields.items()],
+        *[F.col(f"folder_{name}").alias(name) for name in folders],
+        "arrived_at",
+    )
+
+
+def read_csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of header-bearing CSV files as text, with their arrival time."""
+    return spark.read.option("header", True).csv(path).select("*", arrival_time())
 
 
 def _first_present(df: DataFrame, *names: str) -> Column:
@@ -165,6 +187,7 @@ def normalise_readings(raw: DataFrame, source_dh_no: str | Column) -> DataFrame:
 def _header(df: DataFrame, wanted: tuple[str, ...], position: int | None) -> Column:
     """Column whose header matches one of ``wanted`` in any case, else the one at ``position``."""
     by_name = {name.strip().lower(): name for name in df.columns}
+    by_name.pop("arrived_at", None)
     for name in wanted:
         if name in by_name:
             return F.col(f"`{by_name[name]}`").cast("string")

@@ -14,6 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from aquifold.operators import views
 from aquifold.plans import detection
+from aquifold.plans.ingest import load
+from aquifold.sources import landed
 from aquifold.sources.store import KeyedTable
 from aquifold.streaming import tags as tag_ops
 
@@ -22,7 +24,7 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     """Stream of the files that land at ``path``, with their arrival time."""
     return (
         spark.readStream.format(fmt).schema(schema).options(**options).load(path)
-        .select("*", F.col("_metadata.file_modification_time").alias("arrived_at"))
+        .select("*", landed.arrival_time())
     )
 
 
@@ -122,11 +124,7 @@ def start_ingest(
 
     A key delivered by several files of one batch takes the value that arrived last.
     """
-    def apply(batch: DataFrame, _: int) -> None:
-        rows = normalise(batch)
-        if "arrived_at" in rows.columns:
-            target.upsert_latest(rows, "arrived_at")
-        else:
-            target.upsert(rows)
-
-    return _start(raw_stream, apply, checkpoint, "append", trigger or {"availableNow": True})
+    return _start(
+        raw_stream, lambda batch, _: load(target, normalise(batch)), checkpoint, "append",
+        trigger or {"availableNow": True},
+    )

@@ -99,13 +99,10 @@ def telemetry_window(tags: DataFrame, window: str = "5 minutes", delay: str = "1
     """Mean numeric value per bore, field and time window; late data is accepted up to ``delay``."""
     return (
         tags.withWatermark("ts", delay)
-        .withColumn("number", F.col("value").try_cast("decimal(18,6)"))
+        .withColumn("number", F.col("value").try_cast("double"))
         .filter(F.col("number").isNotNull())
         .groupBy(F.window("ts", window).alias("slot"), "well_id", "field")
-        .agg(
-            F.count("number").alias("n"),
-            (F.sum("number").cast("double") / F.count("number")).alias("mean_value"),
-        )
+        .agg(F.count("number").alias("n"), F.avg("number").alias("mean_value"))
         .select(
             F.col("slot.start").alias("window_start"), F.col("slot.end").alias("window_end"),
             "well_id", "field", "n", "mean_value",
