@@ -186,8 +186,8 @@ CTES |= {
               FROM anomalies, as_of WHERE event_date >= d - 29) WHERE k = 1""",
     "snapshot": "",  # filled below
     "snapshots": """
-        SELECT * FROM snapshot WHERE well_id % 3 <> 0
-        UNION ALL SELECT * REPLACE (risk_snapshot_date - 30 AS risk_snapshot_date, 0 AS risk_score) FROM snapshot""",
+        SELECT * FROM snapshot WHERE risk_status <> 'Normal'
+        UNION ALL SELECT * REPLACE (risk_snapshot_date - 30 AS risk_snapshot_date, CAST(0 AS BIGINT) AS risk_score) FROM snapshot""",
     "status": """
         SELECT w.*, last_reading_date, last_water_level_mbgl, last_tds_mg_per_l,
                CASE coalesce(sev, 0) WHEN 3 THEN 'Critical' WHEN 2 THEN 'Watch' ELSE 'Normal' END AS status
@@ -285,10 +285,10 @@ def _classified(source: str) -> str:
     return f"""
         SELECT *, CASE WHEN risk_score >= 60 THEN 'Critical' WHEN risk_score >= 25 THEN 'Watch' ELSE 'Normal' END AS risk_status
         FROM (SELECT *,
-            least(CASE sev WHEN 'CRITICAL' THEN 60 WHEN 'WARNING' THEN 25 ELSE 0 END
+            CAST(least(CASE sev WHEN 'CRITICAL' THEN 60 WHEN 'WARNING' THEN 25 ELSE 0 END
                 + CASE WHEN use_pct > 100 THEN 50 WHEN use_pct >= 85 THEN 25 ELSE 0 END
                 + CASE WHEN change >= 0.3e0 THEN 20 WHEN change >= 0.15e0 THEN 10 ELSE 0 END
-                + CASE WHEN complete < 95 THEN 20 ELSE 0 END, 100) AS risk_score,
+                + CASE WHEN complete < 95 THEN 20 ELSE 0 END, 100) AS BIGINT) AS risk_score,
             coalesce(nullif(concat_ws('; ',
                 CASE sev WHEN 'CRITICAL' THEN concat_ws(' ', 'critical', anomaly, 'event')
                          WHEN 'WARNING' THEN concat_ws(' ', 'warning', anomaly, 'event') END,
@@ -404,10 +404,10 @@ def _domain() -> str:
 
 
 CTES["bad"] = """
-        SELECT well_id, CASE WHEN well_id % 7 > 0 THEN reading_date END AS reading_date,
-               CASE WHEN well_id % 5 = 0 THEN water_level_mbgl * 10000 ELSE water_level_mbgl END AS water_level_mbgl,
+        SELECT well_id, CASE WHEN water_level_mbgl > 2 THEN reading_date END AS reading_date,
+               CASE WHEN pumping_event = 1 THEN water_level_mbgl * 10000 ELSE water_level_mbgl END AS water_level_mbgl,
                tds_mg_per_l, pumping_event,
-               CASE WHEN well_id % 3 = 0 THEN repeat(data_quality_flag, 3) ELSE data_quality_flag END AS data_quality_flag
+               CASE WHEN data_quality_flag = 'suspect' THEN repeat(data_quality_flag, 3) ELSE data_quality_flag END AS data_quality_flag
         FROM readings"""
 
 # The stored anomaly events; the plain name belongs to the given event table.
@@ -424,7 +424,7 @@ def _uniques() -> str:
     parts = []
     for name, keys in _UNIQUES:
         source = (
-            "(SELECT * FROM extraction UNION ALL SELECT * FROM extraction WHERE well_id % 5 = 0)"
+            "(SELECT * FROM extraction UNION ALL SELECT * FROM extraction WHERE extraction_ml > 200)"
             if name == "extraction" else _SOURCE.get(name, name)
         )
         parts.append(
@@ -435,7 +435,7 @@ def _uniques() -> str:
 
 
 def _orphans() -> str:
-    parents = {"wells": "(SELECT * FROM wells WHERE well_id % 10 <> 0)", "licences": "licences"}
+    parents = {"wells": "(SELECT * FROM wells WHERE coastal_flag = 1)", "licences": "licences"}
     refs = [
         ("readings", "well_id", "wells"), ("events", "well_id", "wells"), ("extraction", "well_id", "wells"),
         ("snapshots", "well_id", "wells"), ("snapshots", "licence_id", "licences"),
@@ -466,11 +466,11 @@ ORACLES: dict[str, str] = {
                CASE WHEN l_quantity * 8 - 20 < 0 OR l_quantity * 8 - 20 > 300 THEN 'suspect' ELSE 'measured' END AS data_quality_flag
         FROM lineitem WHERE l_linenumber <> 7""",
     "normalise_rainfall": """
-        SELECT CAST(k % 3 AS VARCHAR) AS station_id, 'Station ' || CAST(k % 3 AS VARCHAR) AS station_name,
-               'Area ' || CAST(k % 3 AS VARCHAR) AS management_area, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS obs_date,
-               CASE WHEN k % 13 <> 0 THEN CAST(k % 60 - 5 AS DOUBLE) END AS rainfall_mm,
-               CASE WHEN k % 13 <> 0 AND k % 60 < 5 THEN 'suspect' ELSE 'measured' END AS data_quality_flag
-        FROM (SELECT *, o_orderkey AS k FROM orders) WHERE k % 11 <> 0""",
+        SELECT o_orderstatus AS station_id, 'Station ' || o_orderstatus AS station_name,
+               'Area ' || o_orderstatus AS management_area, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS obs_date,
+               mm AS rainfall_mm, CASE WHEN mm < 0 THEN 'suspect' ELSE 'measured' END AS data_quality_flag
+        FROM (SELECT *, CASE WHEN o_orderpriority <> '5-LOW' THEN floor(o_totalprice / 10000) - 3 END AS mm FROM orders)
+        WHERE o_orderpriority <> '1-URGENT'""",
     "normalise_surface": f"""
         SELECT CAST(user_id AS VARCHAR) AS site_id, 'Site ' || CAST(user_id AS VARCHAR) AS site_name,
                {ts("ts")} AS reading_datetime, event_type AS metric_name,
@@ -488,19 +488,19 @@ ORACLES: dict[str, str] = {
     "upsert": """
         SELECT well_id, CAST(reading_date AS VARCHAR) AS reading_date, water_level_mbgl,
                CASE WHEN reading_date < DATE '2000-07-01' THEN tds_mg_per_l
-                    WHEN well_id % 2 = 0 THEN CAST(tds_mg_per_l + 1 AS DECIMAL(10,2))::DOUBLE END AS tds_mg_per_l,
+                    WHEN pumping_event = 1 THEN CAST(tds_mg_per_l + 1 AS DECIMAL(10,2))::DOUBLE END AS tds_mg_per_l,
                pumping_event, data_quality_flag FROM readings""",
     "assign_surrogate_keys": """
-        SELECT count(*) AS bores, count(*) AS ids, max(well_id) FILTER (well_id % 3 = 0)
-               + count(*) FILTER (well_id % 3 <> 0) AS highest_id, count(*) FILTER (well_id % 3 = 0) AS kept_ids FROM wells""",
+        SELECT count(*) AS bores, count(*) AS ids, coalesce(max(well_id) FILTER (coastal_flag = 1), 0)
+               + count(*) FILTER (coastal_flag = 0) AS highest_id, count(*) FILTER (coastal_flag = 1) AS kept_ids FROM wells""",
     "resolve_keys": """
-        SELECT well_id, CAST(reading_date AS VARCHAR) AS reading_date, water_level_mbgl FROM readings
-        WHERE well_id IN (SELECT well_id FROM wells WHERE well_id % 2 = 1)""",
+        SELECT well_id, CAST(reading_date AS VARCHAR) AS reading_date, water_level_mbgl
+        FROM readings WHERE well_id IN (SELECT well_id FROM wells)""",
     "unresolved_keys": """
-        SELECT source_dh_no, count(*) AS "rows" FROM readings JOIN wells USING (well_id) WHERE well_id % 2 = 0 GROUP BY 1""",
+        SELECT source_dh_no, count(*) AS "rows" FROM readings JOIN wells USING (well_id) WHERE coastal_flag = 0 GROUP BY 1""",
     "insert_new_events": """
         SELECT * REPLACE (CAST(event_date AS VARCHAR) AS event_date,
-                          CASE WHEN well_id % 2 = 0 THEN 'INFO' ELSE severity END AS severity),
+                          CASE severity WHEN 'CRITICAL' THEN 'INFO' ELSE severity END AS severity),
                CAST(0 AS BIGINT) AS alert_sent FROM detected""",
     "reload_all": """
         SELECT 'wells' AS table_name, count(*) AS "rows" FROM wells UNION ALL SELECT 'licences', count(*) FROM licences
@@ -519,8 +519,9 @@ ORACLES: dict[str, str] = {
     "area_rainfall_unfiltered": f"SELECT management_area, CAST(obs_date AS VARCHAR) AS obs_date, {r('rainfall_mm', 6)} AS rainfall_mm FROM area_rain_all",
     "regional_rainfall": f"SELECT CAST(obs_date AS VARCHAR) AS obs_date, {r('rainfall_mm', 6)} AS rainfall_mm FROM region_rain",
     "readings_with_well": """
-        SELECT a.well_id, CAST(reading_date AS VARCHAR) AS reading_date, water_level_mbgl, coastal_flag, management_area
-        FROM readings a LEFT JOIN (SELECT * FROM wells WHERE well_id % 10 <> 0) w ON a.well_id = w.well_id""",
+        SELECT a.well_id, CAST(reading_date AS VARCHAR) AS reading_date, water_level_mbgl,
+               CAST(coastal_flag AS DOUBLE) AS coastal_flag, management_area
+        FROM readings a LEFT JOIN (SELECT * FROM wells WHERE coastal_flag = 1) w ON a.well_id = w.well_id""",
     # detectors
     "rapid_level_change": f"{_EVENT_OUT} rapid",
     "low_recharge_response": f"{_EVENT_OUT} recharge",
@@ -697,7 +698,7 @@ ORACLES: dict[str, str] = {
     "top_anomalies": """
         SELECT well_id, CAST(reading_date AS VARCHAR) AS reading_date, anomaly_score FROM (
           SELECT * FROM scores WHERE is_anomaly ORDER BY anomaly_score DESC, well_id, reading_date LIMIT 10)""",
-    "rediscovered_bores": "SELECT DISTINCT well_id FROM scores WHERE is_anomaly AND well_id IN (SELECT well_id FROM wells WHERE well_id IN (1, 5))",
+    "rediscovered_bores": "SELECT DISTINCT well_id FROM scores WHERE is_anomaly AND well_id IN (SELECT well_id FROM wells WHERE coastal_flag = 1)",
     # fleet
     "bore_status_now": "SELECT * FROM status_now",
     "latest_reading": "SELECT * REPLACE (CAST(reading_date AS VARCHAR) AS reading_date) FROM latest",
@@ -733,7 +734,7 @@ ORACLES: dict[str, str] = {
                CAST(CASE WHEN level IS NOT NULL THEN trunc(coalesce(pump, 0)) ELSE 0 END AS BIGINT) AS tag_pump_rpm,
                CAST(CASE WHEN level IS NOT NULL THEN trunc(coalesce(valve, 0)) ELSE 0 END AS BIGINT) AS tag_valve_pct,
                CASE WHEN level IS NOT NULL THEN 'Good' ELSE 'Uncertain' END AS quality, 'OPC-UA' AS source
-        FROM wells w LEFT JOIN (SELECT * FROM tag_state WHERE well_id % 2 = 0) s USING (well_id)
+        FROM wells w LEFT JOIN (SELECT * FROM tag_state WHERE level >= tds) s USING (well_id)
         LEFT JOIN latest USING (well_id)""",
     "tag_health": f"SELECT CAST(count(*) > 0 AS BIGINT) AS connected, {ts('max(last_update)')} AS last_update, count(level) AS tag_count FROM tag_state",
     "alert_stream": """

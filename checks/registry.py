@@ -61,6 +61,10 @@ def _six(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(F.round(c, 9), 6) for c in columns})
 
 
+def _coastal(t: StarTables) -> DataFrame:
+    return t.wells.filter(F.col("coastal_flag") == 1)
+
+
 def _bores(t: StarTables) -> DataFrame:
     """Readings as delivered, keyed by drillhole number."""
     return t.readings.join(t.wells.select("well_id", "source_dh_no"), "well_id").drop("well_id")
@@ -112,11 +116,12 @@ def normalise_readings(t: StarTables) -> DataFrame:
 
 @query
 def normalise_rainfall(t: StarTables) -> DataFrame:
-    key = F.col("o_orderkey")
+    """Orders as rain rows: urgent ones carry a bad date, low-priority ones a word instead of an amount."""
+    priority, mm = F.col("o_orderpriority"), F.floor(F.col("o_totalprice") / 10000) - 3
     raw = t.raw("orders").select(
-        F.when(key % 11 == 0, "?").otherwise(F.date_format("o_orderdate", "yyyyMMdd")).alias(" Date "),
-        F.when(key % 13 == 0, "trace").otherwise((key % 60 - 5).cast("string")).alias("Daily_Rain"),
-        (key % 3).cast("string").alias("station"),
+        F.when(priority == "1-URGENT", "?").otherwise(F.date_format("o_orderdate", "yyyyMMdd")).alias(" Date "),
+        F.when(priority == "5-LOW", "trace").otherwise(mm.cast("string")).alias("Daily_Rain"),
+        F.col("o_orderstatus").alias("station"),
     )
     station = F.col("station")
     return landed.normalise_rainfall(raw, station, F.concat(F.lit("Station "), station), F.concat(F.lit("Area "), station))
@@ -166,7 +171,7 @@ def upsert(t: StarTables) -> DataFrame:
     table = KeyedTable.named(t.spark, new_folder(t.spark, "tables"), "readings")
     table.upsert(t.readings.filter(F.col("reading_date") <= "2000-12-31"))
     newer = t.readings.filter(F.col("reading_date") >= "2000-07-01").withColumn(
-        "tds_mg_per_l", F.when(F.col("well_id") % 2 == 0, F.col("tds_mg_per_l") + 1)
+        "tds_mg_per_l", F.when(F.col("pumping_event") == 1, F.col("tds_mg_per_l") + 1)
     )
     table.upsert(newer)
     table.upsert(newer)
@@ -175,8 +180,8 @@ def upsert(t: StarTables) -> DataFrame:
 
 @query
 def assign_surrogate_keys(t: StarTables) -> DataFrame:
-    """Every third bore is known; the others get the next ids."""
-    known = t.wells.filter(F.col("well_id") % 3 == 0)
+    """Coastal bores are known; the others get the next ids."""
+    known = _coastal(t)
     assigned = store.assign_surrogate_keys(t.wells.drop("well_id"), known)
     before = known.select("source_dh_no", F.col("well_id").alias("old_id"))
     return assigned.join(before, "source_dh_no", "left").agg(
@@ -188,21 +193,20 @@ def assign_surrogate_keys(t: StarTables) -> DataFrame:
 
 @query
 def resolve_keys(t: StarTables) -> DataFrame:
-    """Readings keyed by drillhole number; only odd bores are stored."""
-    stored = t.wells.filter(F.col("well_id") % 2 == 1)
-    return store.resolve_keys(_bores(t), stored).select("well_id", "reading_date", "water_level_mbgl")
+    return store.resolve_keys(_bores(t), t.wells).select("well_id", "reading_date", "water_level_mbgl")
 
 
 @query
 def unresolved_keys(t: StarTables) -> DataFrame:
-    return store.unresolved_count(_bores(t), t.wells.filter(F.col("well_id") % 2 == 1))
+    """Readings of inland bores when only coastal bores are stored."""
+    return store.unresolved_count(_bores(t), _coastal(t))
 
 
 @query
 def insert_new_events(t: StarTables) -> DataFrame:
-    """Events of even bores are stored already with another severity; detection adds the others."""
+    """Critical events are stored already with another severity; detection adds the others."""
     table = KeyedTable.named(t.spark, new_folder(t.spark, "tables"), "events")
-    old = t.detected.filter(F.col("well_id") % 2 == 0).withColumn("severity", F.lit("INFO"))
+    old = t.detected.filter(F.col("severity") == "CRITICAL").withColumn("severity", F.lit("INFO"))
     store.insert_new_events(table, old, t.now)
     store.insert_new_events(table, t.detected, t.now)
     store.insert_new_events(table, t.detected, t.now)
@@ -286,8 +290,10 @@ def regional_rainfall(t: StarTables) -> DataFrame:
 
 @query
 def readings_with_well(t: StarTables) -> DataFrame:
-    return curated.readings_with_well(t.readings, t.wells.filter(F.col("well_id") % 10 != 0)).select(
-        "well_id", "reading_date", "water_level_mbgl", "coastal_flag", "management_area"
+    """Inland bores are unknown here, so their readings keep no attributes."""
+    return curated.readings_with_well(t.readings, _coastal(t)).select(
+        "well_id", "reading_date", "water_level_mbgl", F.col("coastal_flag").cast("double").alias("coastal_flag"),
+        "management_area",
     )
 
 
@@ -551,17 +557,16 @@ def _all_tables(t: StarTables) -> dict[str, DataFrame]:
 
 @query
 def unique_violations(t: StarTables) -> DataFrame:
-    """Violations after every fifth bore's metered months arrive twice."""
+    """Violations after the months with large volumes arrive twice."""
     tables = _all_tables(t)
-    again = t.extraction.filter(F.col("well_id") % 5 == 0)
+    again = t.extraction.filter(F.col("extraction_ml") > 200)
     return constraints.unique_violation_counts(tables | {"extraction": t.extraction.unionByName(again)})
 
 
 @query
 def fk_violations(t: StarTables) -> DataFrame:
-    """Orphan keys once every tenth bore is missing from the bore table."""
-    tables = _all_tables(t)
-    return constraints.fk_violation_counts(tables | {"wells": t.wells.filter(F.col("well_id") % 10 != 0)})
+    """Orphan keys once the inland bores are missing from the bore table."""
+    return constraints.fk_violation_counts(_all_tables(t) | {"wells": _coastal(t)})
 
 
 @query
@@ -576,14 +581,14 @@ def check_violations(t: StarTables) -> DataFrame:
 @query
 def domain_violations(t: StarTables) -> DataFrame:
     """Violations with missing dates, long flags and oversized levels planted."""
-    well, level = F.col("well_id"), F.col("water_level_mbgl")
+    level = F.col("water_level_mbgl")
     bad = t.readings.select(
         "well_id",
-        F.when(well % 7 > 0, F.col("reading_date")).alias("reading_date"),
-        F.when(well % 5 == 0, level * 10000).otherwise(level).alias("water_level_mbgl"),
+        F.when(level > 2, F.col("reading_date")).alias("reading_date"),
+        F.when(F.col("pumping_event") == 1, level * 10000).otherwise(level).alias("water_level_mbgl"),
         "tds_mg_per_l", "pumping_event",
-        F.when(well % 3 == 0, F.repeat("data_quality_flag", 3)).otherwise(F.col("data_quality_flag"))
-        .alias("data_quality_flag"),
+        F.when(F.col("data_quality_flag") == "suspect", F.repeat("data_quality_flag", 3))
+        .otherwise(F.col("data_quality_flag")).alias("data_quality_flag"),
     )
     return constraints.domain_violation_counts({"readings": bad, "wells": t.wells, "rainfall": t.rainfall})
 
@@ -642,7 +647,7 @@ def forecast_metrics(t: StarTables) -> DataFrame:
 def horizon_sweep(t: StarTables) -> DataFrame:
     return forecast.horizon_sweep(
         t.wells, t.trusted.drop("coastal_flag", "management_area"),
-        curated.area_rainfall_unfiltered(t.rainfall), horizons=(7, 60), trees=3,
+        t.daily_rain, trees=3,
     )
 
 
@@ -669,7 +674,8 @@ def top_anomalies(t: StarTables) -> DataFrame:
 
 @query
 def rediscovered_bores(t: StarTables) -> DataFrame:
-    return forest.rediscovered_bores(t.scores, t.wells.filter(F.col("well_id").isin(1, 5)))
+    """Coastal bores with a flagged row."""
+    return forest.rediscovered_bores(t.scores, _coastal(t))
 
 
 @query
@@ -761,8 +767,8 @@ def tag_browse_parse(t: StarTables) -> DataFrame:
 
 @query
 def tags_with_fallback(t: StarTables) -> DataFrame:
-    """Live state of the bores with an even id; the others fall back to stored readings."""
-    state = tags.tag_last_value(tags.parse_tags(t.tag_events)).filter(F.col("well_id") % 2 == 0)
+    """Only bores whose level tag is at least their salinity tag count as live; the others fall back."""
+    state = tags.tag_last_value(tags.parse_tags(t.tag_events)).filter(F.col("level") >= F.col("tds"))
     return tags.tags_with_fallback(t.wells, state, t.readings)
 
 

@@ -192,11 +192,11 @@ class StarTables:
 
     @cached_property
     def snapshots(self) -> DataFrame:
-        """Today's snapshot and an earlier one that lacks some bores' changes."""
+        """An earlier snapshot of all bores and today's of those not normal."""
         earlier = self.snapshot.withColumn("risk_snapshot_date", F.date_sub("risk_snapshot_date", 30)).withColumn(
             "risk_score", F.lit(0)
         )
-        return self.snapshot.filter(F.col("well_id") % 3 != 0).unionByName(earlier)
+        return self.snapshot.filter(F.col("risk_status") != "Normal").unionByName(earlier)
 
     @cached_property
     def daily_rain(self) -> DataFrame:
