@@ -4,18 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aquifold import schemas
-from aquifold.functions import days_before, drop_suspect
+from aquifold.functions import drop_suspect
 from aquifold.operators import (
     bi, constraints, curated, detectors, features, fleet, forecast, forest, health, risk, views,
 )
-from aquifold.plans import detection, forecasting, ingest
-from aquifold.plans import risk as risk_plan
-from aquifold.session import new_folder, stage
+from aquifold.plans import detection, ingest
+from aquifold.session import new_folder
 from aquifold.sources import landed, store
 from aquifold.sources.store import KeyedTable
 from aquifold.streaming import jobs, tags
