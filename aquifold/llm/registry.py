@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from aquifold.llm.common import table
 from aquifold.llm.decontaminate import find_contamination
+from aquifold.llm.jaccard_join import similar_documents
 from aquifold.llm.packing import pack
 from aquifold.llm.token_files import token_file_digest
 
@@ -33,7 +34,11 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_QUERIES = [op4_token_files, op6_packing, op7_decontaminate]
+def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return similar_documents(table(spark, folder, "documents"))
+
+
+_QUERIES = [op4_token_files, op6_packing, op7_decontaminate, op8_jaccard_join]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
