@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aquifold.llm.common import table
 from aquifold.llm.decontaminate import find_contamination
 from aquifold.llm.jaccard_join import similar_documents
 from aquifold.llm.packing import pack
+from aquifold.llm.personal_data import find_personal_data, span_text
 from aquifold.llm.token_files import token_file_digest
 
 
@@ -38,7 +39,19 @@ def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return similar_documents(table(spark, folder, "documents"))
 
 
-_QUERIES = [op4_token_files, op6_packing, op7_decontaminate, op8_jaccard_join]
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = find_personal_data(table(spark, folder, "documents"), keep=["doc_id"])
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[number(k) for k in ("email", "ip", "card", "phone")],
+        F.sha2(span_text("base_spans"), 256).alias("base_sha256"), span_text("spans").alias("spans"),
+    )
+
+
+_QUERIES = [op4_token_files, op6_packing, op7_decontaminate, op8_jaccard_join, op9_personal_data]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
