@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aquifold.llm.chat import conversation_digest, format_windows
 from aquifold.llm.common import table
+from aquifold.session import stage
 from aquifold.llm.decontaminate import find_contamination
 from aquifold.llm.jaccard_join import similar_documents
 from aquifold.llm.packing import pack
@@ -15,6 +17,15 @@ from aquifold.llm.personal_data import find_personal_data, span_text
 from aquifold.llm.token_files import token_file_digest
 
 
+def op2_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
+    control = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(control)
+    return conversation_digest(stage(format_windows(turns), "windows"))
+
+
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_file_digest(table(spark, folder, "documents"))
 
@@ -51,7 +62,7 @@ def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_QUERIES = [op4_token_files, op6_packing, op7_decontaminate, op8_jaccard_join, op9_personal_data]
+_QUERIES = [op2_chat_windows, op4_token_files, op6_packing, op7_decontaminate, op8_jaccard_join, op9_personal_data]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
