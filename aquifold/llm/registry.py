@@ -12,6 +12,7 @@ from aquifold.llm.common import table
 from aquifold.session import stage
 from aquifold.llm.decontaminate import find_contamination
 from aquifold.llm.jaccard_join import similar_documents
+from aquifold.llm.language import identify_held_out
 from aquifold.llm.packing import pack
 from aquifold.llm.personal_data import find_personal_data, span_text
 from aquifold.llm.token_files import token_file_digest
@@ -30,6 +31,10 @@ def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_file_digest(table(spark, folder, "documents"))
 
 
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    return identify_held_out(table(spark, folder, "documents"))
+
+
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents")).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
@@ -62,7 +67,7 @@ def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_QUERIES = [op2_chat_windows, op4_token_files, op6_packing, op7_decontaminate, op8_jaccard_join, op9_personal_data]
+_QUERIES = [op2_chat_windows, op4_token_files, op5_language, op6_packing, op7_decontaminate, op8_jaccard_join, op9_personal_data]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
