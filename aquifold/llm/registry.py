@@ -15,6 +15,7 @@ from aquifold.llm.jaccard_join import similar_documents
 from aquifold.llm.language import identify_held_out
 from aquifold.llm.packing import pack
 from aquifold.llm.personal_data import find_personal_data, span_text
+from aquifold.llm.prefix_forest import nearest
 from aquifold.llm.token_files import token_file_digest
 
 
@@ -27,6 +28,11 @@ def op2_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_digest(stage(format_windows(turns), "windows"))
 
 
+def op3_prefix_forest(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return nearest(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_file_digest(table(spark, folder, "documents"))
 
@@ -67,7 +73,7 @@ def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_QUERIES = [op2_chat_windows, op4_token_files, op5_language, op6_packing, op7_decontaminate, op8_jaccard_join, op9_personal_data]
+_QUERIES = [op2_chat_windows, op3_prefix_forest, op4_token_files, op5_language, op6_packing, op7_decontaminate, op8_jaccard_join, op9_personal_data]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
