@@ -7,16 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aquifold.llm import toxicity
 from aquifold.llm.chat import conversation_digest, format_windows
 from aquifold.llm.common import table
-from aquifold.session import stage
 from aquifold.llm.decontaminate import find_contamination
 from aquifold.llm.jaccard_join import similar_documents
-from aquifold.llm.language import identify_held_out
+from aquifold.llm.language import fold, identify_held_out
 from aquifold.llm.packing import pack
 from aquifold.llm.personal_data import find_personal_data, span_text
 from aquifold.llm.prefix_forest import nearest
 from aquifold.llm.token_files import token_file_digest
+from aquifold.session import stage
 
 
 def op2_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
@@ -73,7 +74,18 @@ def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_QUERIES = [op2_chat_windows, op3_prefix_forest, op4_token_files, op5_language, op6_packing, op7_decontaminate, op8_jaccard_join, op9_personal_data]
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = fold("doc_id", 3) == 1
+    network = toxicity.fit(docs.filter(~held_out), labels.filter(~held_out))
+    rows = docs.select("doc_id", "text", held_out.alias("held_out"))
+    return toxicity.score_documents(network, rows).select("doc_id", "held_out", "score", "predicted")
+
+
+_QUERIES = [
+    op2_chat_windows, op3_prefix_forest, op4_token_files, op5_language, op6_packing, op7_decontaminate, op8_jaccard_join, op9_personal_data,
+    op10_toxicity,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -250,11 +250,11 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                     pa.array([ids[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary()),
                 ], names=["doc_id", "part", "place", "ids"])
 
-    # One row per part: as many as tasks wrote, a few thousand even for a very large corpus.
+    # One row for each task that wrote, which bounds the broadcast; without it the ids would be shuffled for this join.
     parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = parts.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("before"))
     return (
-        blocks.mapInArrow(run, "doc_id bigint, part bigint, place bigint, ids binary").join(before, "part")
+        blocks.mapInArrow(run, "doc_id bigint, part bigint, place bigint, ids binary").join(F.broadcast(before), "part")
         .select("doc_id", (F.col("before") + F.col("place")).alias("start"), "ids")
     )
 

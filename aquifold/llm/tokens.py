@@ -16,8 +16,8 @@ import numpy as np
 
 from aquifold.llm.common import slices
 
-#: Chunks remembered per worker; the dictionary starts anew beyond that. Results do not depend on it.
-MAX_REMEMBERED = 500_000
+#: Chunks remembered per worker; beyond that only those of the latest slice stay. Results do not depend on it.
+MAX_REMEMBERED = 750_000
 
 _RARE_SPACE = re.compile("[\x01\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _MARK = "\x01"
@@ -69,11 +69,10 @@ class CorpusTokenizer:
             for chunks in chunked:
                 if chunks is not None:
                     new.update(chunks)
-            if len(self._known) + len(new) > MAX_REMEMBERED:
-                new_only = new.difference(self._known)
-                if len(self._known) + len(new_only) > MAX_REMEMBERED:
-                    self._known.clear()
-            if missing := list(new.difference(self._known)):
+            missing = list(new.difference(self._known))
+            if len(self._known) + len(missing) > MAX_REMEMBERED:
+                self._known = {c: self._known[c] for c in new.intersection(self._known)}
+            if missing:
                 self._known.update(self._encode_new(missing))
             known = self._known.__getitem__
             for text, chunks in zip(texts[start:end], chunked, strict=True):
