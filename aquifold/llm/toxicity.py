@@ -25,7 +25,7 @@ from aquifold.llm.common import extended, slices, texts_of, without
 from aquifold.llm.decontaminate import words_of
 
 WINDOW, STRIDE = 24, 12
-BUCKETS, WIDTH, HIDDEN, ATTENTION = 1 << 14, 12, 8, 8
+BUCKETS, WIDTH, HIDDEN, ATTENTION = 1 << 14, 12, 8, 8  # as many buckets as word_features has by default
 #: Words whose inputs a worker remembers; it starts anew beyond that. Scores do not depend on it.
 MAX_REMEMBERED = 400_000
 
@@ -34,12 +34,12 @@ def _words(text: str) -> list[bytes]:
     return words_of(text.lower())
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
+def _mix(x: np.ndarray, bits: int) -> np.ndarray:
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
-    return (x >> np.uint64(64 - 14)).astype(np.int64)
+    return (x >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def word_features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_features(words: list[bytes], bits: int = 14) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bucket of each word, buckets of its byte n-grams one after another, and where each word's begin.
 
     Words are framed by line ends; a word has its trigrams, then come all words' four-grams,
@@ -60,11 +60,11 @@ def word_features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
         h = np.full(len(at), n, np.uint64)
         for k in range(n):
             h = h * np.uint64(257) + raw[at + k]
-        grams.append(_mix(h))
+        grams.append(_mix(h, bits))
         owners.append(owner[at])
     owners = np.concatenate(owners)
     order = np.argsort(owners, kind="stable")
-    return _mix(whole), np.concatenate(grams)[order], np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=len(words)))])
+    return _mix(whole, bits), np.concatenate(grams)[order], np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=len(words)))])
 
 
 def windows_of(index: np.ndarray) -> np.ndarray:
@@ -80,6 +80,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (np.tanh(0.5 * x) + 1)
 
 
+def _row_sums(rows: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sums of ``values`` by row of a table of BUCKETS rows."""
+    flat = (rows[:, None] * WIDTH + np.arange(WIDTH)).ravel()
+    return np.bincount(flat, values.ravel(), BUCKETS * WIDTH).astype(np.float32).reshape(BUCKETS, WIDTH)
+
+
 @dataclass
 class Network:
     """Parameters by name, all float32, and the logistic calibration of a document's highest logit."""
@@ -193,11 +199,9 @@ class Network:
         grads["input"], grads["bias"] = inputs.T @ d_gates, d_gates.sum(axis=0)
         d_inputs = d_gates @ p["input"].T
         word, grams, start = features
-        grads["word"] = np.zeros_like(p["word"])
-        np.add.at(grads["word"], word, d_inputs[:, :WIDTH] * shown)
+        grads["word"] = _row_sums(word, d_inputs[:, :WIDTH] * shown)
         counts = np.diff(start)
-        grads["char"] = np.zeros_like(p["char"])
-        np.add.at(grads["char"], grams, np.repeat(d_inputs[:, WIDTH:] / counts[:, None], counts, axis=0))
+        grads["char"] = _row_sums(grams, np.repeat(d_inputs[:, WIDTH:] / counts[:, None], counts, axis=0))
         self._steps += 1
         for name, g in grads.items():
             first, second = self._moments.get(name) or (np.zeros_like(p[name]), np.zeros_like(p[name]))
@@ -223,15 +227,24 @@ class _Sample:
             self.owner.append(np.full(len(rows), i))
         self.windows, self.owner = np.concatenate(self.windows), np.concatenate(self.owner)
         self.labels, self.words = np.array(labels), list(numbers)
+        self._features = word_features(self.words)
 
     def leaning(self) -> np.ndarray:
-        """Of each window, the highest smoothed log-odds of one of its words to stand in toxic documents."""
-        pairs = np.unique(np.stack([np.repeat(self.owner, WINDOW), self.windows.ravel()]), axis=1)
-        pairs = pairs[:, pairs[1] >= 0]
-        count = [np.bincount(pairs[1][self.labels[pairs[0]] == y], minlength=len(self.words)) for y in (0, 1)]
+        """Of each window, the highest smoothed log-odds of one of its words' n-grams to stand in toxic documents."""
+        size = len(self.words) + 1
+        pairs = np.unique(np.repeat(self.owner, WINDOW) * size + self.windows.ravel() + 1)
+        doc, word = pairs // size, pairs % size - 1
+        doc, word = doc[word >= 0], word[word >= 0]
+        _, grams, start = word_features(self.words, 20)
+        n = np.diff(start)[word]
+        at = np.repeat(start[:-1][word] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        seen = np.unique(np.repeat(doc, n) << 20 | grams[at])
+        gram_doc, gram = seen >> 20, seen & ((1 << 20) - 1)
+        count = [np.bincount(gram[self.labels[gram_doc] == y], minlength=1 << 20) for y in (0, 1)]
         n = [(self.labels == y).sum() for y in (0, 1)]
         odds = np.log((count[1] + 0.5) / (n[1] + 1)) - np.log((count[0] + 0.5) / (n[0] + 1))
-        return np.append(odds, -10.0)[self.windows].max(axis=1)
+        by_word = np.maximum.reduceat(odds[grams], start[:-1]) if len(self.words) else np.zeros(0)
+        return np.append(by_word, -10.0)[self.windows].max(axis=1)
 
     def best(self, value: np.ndarray) -> np.ndarray:
         """Of each document, its window of highest value."""
@@ -239,12 +252,17 @@ class _Sample:
         return order[np.searchsorted(self.owner[order], np.arange(len(self.labels)))]
 
     def logits(self, network: Network) -> np.ndarray:
-        gates = network.gates(network.inputs(word_features(self.words)))
+        gates = network.gates(network.inputs(self._features))
         return np.concatenate([network.run(gates, self.windows[a : a + 4096]) for a in range(0, len(self.windows), 4096)])
 
 
-def train(texts: list[str], labels: list[int], epochs: int = 12, batch: int = 256, rate: float = 0.01, seed: int = 7) -> Network:
-    """Network from whole labelled texts; every fifth one is kept for the calibration only."""
+def train(
+    texts: list[str], labels: list[int], rounds: int = 6, steps: int = 480, batch: int = 256, rate: float = 0.01, seed: int = 7
+) -> Network:
+    """Network from whole labelled texts; every fifth one is kept for the calibration only.
+
+    Windows are picked anew in each of ``rounds``; about ``steps`` batches are learned in all, more if the windows need it.
+    """
     rng = np.random.default_rng(seed)
     network = Network.new(rng)
     held = np.arange(len(texts)) % 5 == 4
@@ -257,24 +275,30 @@ def train(texts: list[str], labels: list[int], epochs: int = 12, batch: int = 25
     sample = _Sample([texts[i] for i in own], [labels[i] for i in own])
     value = sample.leaning()
     toxic = sample.labels == 1
-    epochs = max(epochs, -(-400 * batch // max(1, 3 * len(own))) if len(own) < 2000 else epochs)
-    for epoch in range(epochs):
-        if epoch:
+    learned = 0
+    for round_ in range(rounds):
+        if round_:
             value = sample.logits(network)
         top = sample.best(value)
         anywhere = sample.best(rng.random(len(sample.owner)))
-        chosen = np.concatenate([top, anywhere[~toxic]])
-        chosen = np.concatenate([chosen, np.flatnonzero((value > 1) & toxic[sample.owner])]) if epoch else chosen
+        chosen = [top, anywhere[~toxic]]
+        if round_:
+            chosen.append(np.flatnonzero((value > 1) & toxic[sample.owner]))
+        chosen = np.concatenate(chosen)
         target = toxic[sample.owner[chosen]].astype(np.float32)
         weight = np.where(target == 1, (target == 0).sum() / max(1, target.sum()) * 0.5, 1.0).astype(np.float32)
-        order = rng.permutation(len(chosen))
-        step = rate * (0.5 * (1 + math.cos(math.pi * epoch / epochs)) + 0.02)
-        for at in range(0, len(order), batch):
-            rows = order[at : at + batch]
-            numbers, inverse = np.unique(sample.windows[chosen[rows]], return_inverse=True)
-            local = inverse.reshape(-1, WINDOW) - int(numbers[0] < 0)
-            features = word_features([sample.words[i] for i in numbers[numbers >= 0]])
-            network.learn(features, local, target[rows], weight[rows], rng, step)
+        while True:
+            size = rate * (0.5 * (1 + math.cos(math.pi * min(1.0, learned / steps))) + 0.02)
+            order = rng.permutation(len(chosen))
+            for at in range(0, len(order), batch):
+                rows = order[at : at + batch]
+                numbers, inverse = np.unique(sample.windows[chosen[rows]], return_inverse=True)
+                local = inverse.reshape(-1, WINDOW) - int(numbers[0] < 0)
+                features = word_features([sample.words[i] for i in numbers[numbers >= 0]])
+                network.learn(features, local, target[rows], weight[rows], rng, size)
+                learned += 1
+            if learned >= steps * (round_ + 1) / rounds:
+                break
     rest = _Sample([t for t, h in zip(texts, held, strict=True) if h], [y for y, h in zip(labels, held, strict=True) if h]) if held.any() else sample
     if len(set(rest.labels.tolist())) < 2:
         rest = sample
@@ -350,7 +374,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, positives: int, negative
     return [t for t, _ in pairs], [y for _, y in pairs]
 
 
-def fit(docs: DataFrame, labels: DataFrame, positives: int = 1500, negatives: int = 2500) -> Network:
+def fit(docs: DataFrame, labels: DataFrame, positives: int = 1000, negatives: int = 2000) -> Network:
     """Network trained on a bounded sample: at most ``positives`` + ``negatives`` labelled rows, with their whole texts."""
     return train(*labelled_sample(docs, labels, positives, negatives))
 
