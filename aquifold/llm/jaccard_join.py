@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aquifold.llm.common import append_columns, slices, texts_of
+from aquifold.llm.common import slices, texts_of
 from aquifold.llm.components import components
 from aquifold.llm.decontaminate import words_of
 from aquifold.session import stage
@@ -39,6 +39,7 @@ BLOCK = 1000
 SLACK = 0.2
 
 _MAX_WORDS = 1_000_000
+_BITMAP = 1 << 22
 
 
 class _WordHashes(dict):
@@ -358,26 +359,37 @@ def _candidates(classes: DataFrame, threshold: float, runs: int) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
-    """``members`` with their shingles, from the text of the document each class is named after."""
-    named = members.select("key", "copy_id", "copies", "root", "size")
-    found = docs.join(named.select(F.col("copy_id").alias("doc_id"), "key"), "doc_id")
+    """``members`` with their shingles, from the text of the document each class is named after.
 
-    def make():
-        import xxhash
+    Texts are not shuffled: a bitmap of ``_BITMAP`` places over the hashed ids of those documents, of the
+    same size for any corpus, spares most other texts the shingling; the join on the set's own key is exact.
+    """
+    place = F.pmod(F.xxhash64("copy_id"), F.lit(_BITMAP))
+    used = members.select(place.alias("place")).distinct().toArrow().column("place").to_numpy()
+    bitmap = np.zeros(_BITMAP, bool)
+    bitmap[used] = True
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
 
-        hashes = _WordHashes()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
 
-        def work(batch: pa.RecordBatch) -> list:
+        named, hashes = np.unpackbits(shared.value).astype(bool), _WordHashes()
+        for batch in batches:
+            batch = batch.filter(pa.array(named[batch.column("place").to_numpy()]))
+            if not batch.num_rows:
+                continue
             texts = texts_of(batch)
-            sets = [s.tobytes() for a, b in slices(texts) for s in shingle_sets(texts[a:b], words, hashes)]
-            right = [xxhash.xxh3_128_digest(s) == k for s, k in zip(sets, batch.column("key").to_pylist(), strict=True)]
-            return [sets, right]
-
-        return work
+            for a, b in slices(texts):
+                sets = [x.tobytes() for x in shingle_sets(texts[a:b], words, hashes)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([xxhash.xxh3_128_digest(x) for x in sets], pa.binary()), pa.array(sets, pa.binary())], names=["key", "shingles"]
+                )
 
-    sets = append_columns(found, "shingles binary, right boolean", make).filter("right").select("key", "shingles")
-    # A repeated row gives its set again; one is enough.
-    return sets.dropDuplicates(["key"]).join(named, "key")
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(_BITMAP)).alias("place")
+    sets = docs.filter("doc_id is not null").select("text", place).mapInArrow(run, "key binary, shingles binary")
+    # A text that comes again, in a repeated row or by chance in the bitmap, gives its set again; one is enough.
+    named = members.select("key", "copies", "root", "size")
+    return sets.join(named, "key").dropDuplicates(["key"])
 
 
 def keep_one_of_each(docs: DataFrame, threshold: float = 0.8, words: int = 5) -> DataFrame:

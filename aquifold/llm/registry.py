@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aquifold.llm import toxicity
+import corpus_pipeline
+from aquifold.llm import quality, toxicity
 from aquifold.llm.chat import conversation_digest, format_windows
 from aquifold.llm.common import table
 from aquifold.llm.decontaminate import find_contamination
@@ -20,6 +21,12 @@ from aquifold.llm.token_files import token_file_digest
 from aquifold.session import stage
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    judged = quality.judge(quality.fit(docs, table(spark, folder, "labels")), docs)
+    return judged.select("doc_id", "evidence", "site_rate", "quality_score", "keep")
+
+
 def op2_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
     control = spark.range(2).select(
         F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
@@ -83,14 +90,14 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _QUERIES = [
-    op2_chat_windows, op3_prefix_forest, op4_token_files, op5_language, op6_packing, op7_decontaminate, op8_jaccard_join, op9_personal_data,
+    op1_quality, op2_chat_windows, op3_prefix_forest, op4_token_files, op5_language, op6_packing, op7_decontaminate, op8_jaccard_join, op9_personal_data,
     op10_toxicity,
 ]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {fn.__name__: fn for fn in _QUERIES}
+    return {fn.__name__: fn for fn in _QUERIES} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
