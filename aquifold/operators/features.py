@@ -22,15 +22,11 @@ _NOT_FEATURES = {
     "well_id", "reading_date", "target", "target_date",
     "water_level_mbgl", "data_quality_flag", "pumping_event",
 }
-_MAX_AREAS = 500
 
 
 def area_names(wells: DataFrame) -> list[str]:
-    """The areas that become indicator columns; their number is checked, not assumed."""
-    found = wells.select("management_area").na.drop().distinct().limit(_MAX_AREAS + 1).collect()
-    if len(found) > _MAX_AREAS:
-        raise ValueError(f"more than {_MAX_AREAS} areas; pass the areas to encode")
-    return sorted(row[0] for row in found)
+    """The areas that become indicator columns: one column, and one collected name, per area."""
+    return sorted(row[0] for row in wells.select("management_area").na.drop().distinct().collect())
 
 
 def with_rain(readings: DataFrame, wells: DataFrame, rainfall: DataFrame) -> DataFrame:

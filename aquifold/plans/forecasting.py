@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from aquifold.functions import drop_suspect
 from aquifold.operators import curated, features, forecast, forest
-from aquifold.session import Staging, broadcast_if_small, stage
+from aquifold.session import Staging, stage
 from aquifold.sources.store import write_output
 
 
@@ -23,7 +23,7 @@ class ForecastRun:
 
 def _daily_rain(rainfall: DataFrame, staging: Staging) -> DataFrame:
     """Rain per area and day, broadcast while that is small so that readings stay where they are."""
-    return broadcast_if_small(staging.write(curated.area_rainfall_unfiltered(rainfall), "daily_rain"))
+    return staging.write(curated.area_rainfall_unfiltered(rainfall), "daily_rain")
 
 
 def run_forecast(

@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -129,7 +128,3 @@ def stage(df: DataFrame, label: str, cluster_by: str | None = None, sort_by: str
     """Stage one table that stays until the shared folder is cleaned."""
     return Staging(df.sparkSession).write(df, label, cluster_by, sort_by)
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Mark a stored table of few narrow rows for broadcast; a larger one keeps its shuffle join."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -31,10 +31,28 @@ WELL_COLUMNS = [n for n in schemas.names(schemas.WELLS) if n != "well_id"]
 READING_COLUMNS = ["source_dh_no"] + [n for n in schemas.names(schemas.READINGS) if n != "well_id"]
 
 
+def read_csv_by_name(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Header-bearing CSV files under ``schema``: columns by name in any order, others left out, absent ones NULL.
+
+    Only the header is read ahead; files of one path must agree on it. A value that does not fit its type is NULL.
+    """
+    header = spark.read.option("header", True).csv(path).schema
+    raw = spark.read.schema(header).option("header", True).option("enforceSchema", False).csv(path)
+    given = {name.strip().lower(): name for name in header.names}
+    return raw.select(*[
+        (F.trim(F.col(f"`{given[f.name.lower()]}`")) if f.name.lower() in given else F.lit(None).cast("string"))
+        .try_cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ])
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
+    return read_csv_by_name(spark, path, schema) if fmt == "csv" else spark.read.schema(schema).format(fmt).load(path)
+
+
 def read_table(spark: SparkSession, path: str, name: str, fmt: str = "csv") -> DataFrame:
     """One table under its declared schema; CSV needs a header line."""
-    reader = spark.read.schema(schemas.TABLES[name])
-    return reader.option("header", True).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
+    return _read(spark, path, schemas.TABLES[name], fmt)
 
 
 def read_tables(spark: SparkSession, paths: dict[str, str], fmt: str = "csv") -> dict[str, DataFrame]:
@@ -43,9 +61,8 @@ def read_tables(spark: SparkSession, paths: dict[str, str], fmt: str = "csv") ->
 
 def read_optional(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv") -> DataFrame:
     """A table that may not have been generated yet: absent means empty."""
-    reader = spark.read.schema(schema)
     try:
-        return reader.option("header", True).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
+        return _read(spark, path, schema, fmt)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -101,18 +118,35 @@ def _first_present(df: DataFrame, *names: str) -> Column:
 
 
 def to_number(text: Column) -> Column:
-    number = F.trim(text).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    """A plain decimal number, with or without exponent; anything else (also ``5d`` or ``NaN``) is NULL."""
+    trimmed = F.trim(text)
+    return F.when(trimmed.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), trimmed.try_cast("double"))
+
 
+#: Date formats tried in turn after ISO dates and timestamps; the day comes before the month.
+DAY_FORMATS = (
+    "yyyyMMdd", "yyyy/M/d", "d/M/yyyy", "d-M-yyyy", "d.M.yyyy", "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy",
+    "d/M/yyyy H:mm", "d/M/yyyy H:mm:ss", "yyyy/M/d H:mm:ss",
+)
 
-def to_day(text: Column) -> Column:
-    """Day of an ISO date or timestamp, or of compact yyyymmdd."""
+
+def to_moment(text: Column, formats: tuple[str, ...] = DAY_FORMATS) -> Column:
+    """Timestamp of an ISO date or timestamp, or of one of ``formats``."""
     trimmed = F.trim(text)
-    compact = F.when(
-        trimmed.rlike("^[0-9]{8}$"),
-        F.concat_ws("-", F.substring(trimmed, 1, 4), F.substring(trimmed, 5, 2), F.substring(trimmed, 7, 2)),
-    )
-    return F.coalesce(compact, trimmed).try_cast("date")
+    iso = F.when(~trimmed.rlike("^[0-9]{8}$"), trimmed.try_cast("timestamp"))
+    return F.coalesce(iso, *[F.try_to_timestamp(trimmed, F.lit(f)) for f in formats])
+
+
+def to_day(text: Column, formats: tuple[str, ...] = DAY_FORMATS) -> Column:
+    """Day of an ISO date or timestamp, or of one of ``formats``; an unreadable one is NULL."""
+    trimmed = F.trim(text)
+    iso = F.when(~trimmed.rlike("^[0-9]{8}$"), trimmed.try_cast("date"))
+    return F.coalesce(iso, to_moment(text, formats).cast("date"))
+
+
+def unreadable_days(raw: DataFrame, column: str) -> DataFrame:
+    """Number of rows whose day is missing or in no known format, and so dropped by the normalisers."""
+    return raw.agg(F.count_if(to_day(F.col(column)).isNull()).alias("unreadable"), F.count(F.lit(1)).alias("rows"))
 
 
 def _carried(raw: DataFrame) -> list[Column]:
@@ -166,7 +200,7 @@ def first_per_drillhole(wells: DataFrame) -> DataFrame:
 
 def normalise_readings(raw: DataFrame, source_dh_no: str | Column) -> DataFrame:
     pumping = (
-        F.coalesce(to_number(F.col("PUMPING").cast("string")), F.lit(0.0)).cast("int")
+        F.coalesce(to_number(F.col("PUMPING").cast("string")), F.lit(0.0)).try_cast("int")
         if "PUMPING" in raw.columns else F.lit(0)
     )
     return (
@@ -219,7 +253,7 @@ def normalise_surface(
     return raw.select(
         _value(site_id).cast("string").alias("site_id"),
         _value(site_name).alias("site_name"),
-        F.trim(_header(raw, ("timestamp", "date"), 0)).try_cast("timestamp").alias("reading_datetime"),
+        to_moment(_header(raw, ("timestamp", "date"), 0)).alias("reading_datetime"),
         _value(metric_name).alias("metric_name"),
         to_number(_header(raw, ("value",), 1)).alias("metric_value"),
         F.lit("measured").alias("data_quality_flag"),

@@ -1,11 +1,10 @@
 """Stored tables with keyed, repeatable loads on plain parquet.
 
-A table is a folder of immutable data versions and a commit list. A load writes
-its rows as a new version, split by month where the table has a date, and then
-appends one commit row per month it touched. Readers take, per month, the newest
-replacing version and what was appended after it, so a load that dies half-way
-leaves no trace, and a daily load rewrites the months it touches, not the table.
-One writer per table at a time is assumed.
+A table is a parquet folder, split by month where it has a date. A load merges its rows with
+the stored months they touch, stages the outcome in the shared folder and replaces just
+those months by Spark's dynamic partition overwrite. Loading the same rows again changes
+nothing, and the number of files follows the data, not the number of loads. One writer
+per table at a time is assumed.
 """
 
 from __future__ import annotations
@@ -20,10 +19,7 @@ from pyspark.sql import types as T
 
 from aquifold import schemas
 from aquifold.operators import constraints
-from aquifold.session import Staging
-
-_COMMITS = "version long, part string, replaces boolean"
-_EVERYTHING = "*"
+from aquifold.session import Staging, stage
 
 # Tables in load order: parents before children.
 LOAD_ORDER = ["wells", "licences", "readings", "rainfall", "events", "extraction", "snapshots"]
@@ -37,6 +33,24 @@ class DuplicateKeyError(ValueError):
     """The source of a load holds a key more than once."""
 
 
+def merge(target: DataFrame, source: DataFrame, keys: list[str], keep_old: bool = False) -> DataFrame:
+    """Rows of both frames by key; where both hold a key, the source's row, or the target's with ``keep_old``.
+
+    One shuffle on the key. ``_copies`` counts the source's rows of a key, so that a
+    caller can refuse repeated ones without another pass.
+    """
+    rest = [c for c in target.columns if c not in keys]
+
+    def marked(df: DataFrame, new: int) -> DataFrame:
+        return df.select(*keys, F.struct(*rest).alias("_rest"), F.lit(new).alias("_new"))
+
+    both = marked(target, 0).unionByName(marked(source, 1))
+    rank = -F.col("_new") if keep_old else F.col("_new")
+    return both.groupBy(*keys).agg(
+        F.max_by("_rest", rank).alias("_rest"), F.sum("_new").alias("_copies"), F.min("_new").alias("_inserted")
+    ).select(*keys, "_rest.*", "_copies", "_inserted")
+
+
 class KeyedTable:
     def __init__(
         self, spark: SparkSession, root: str, schema: T.StructType, keys: list[str], month_of: str | None = None
@@ -54,86 +68,49 @@ class KeyedTable:
 
     # reading -------------------------------------------------------------
 
-    def _commits(self) -> DataFrame:
+    def read(self, parts: set[str] | None = None, since: dt.date | None = None) -> DataFrame:
+        """The current table; only the files of the given months, or of those from ``since`` on."""
+        schema = T.StructType([*self.schema.fields, T.StructField("part", T.StringType())])
         try:
-            return self.spark.read.schema(_COMMITS).parquet(f"{self.root}/commits")
+            rows = self.spark.read.schema(schema).parquet(self.root)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], _COMMITS)
-
-    def _state(self) -> tuple[int, dict[str, list[int]]]:
-        """Last version, and per month the versions that make it up: one row per month is collected."""
-        months = (
-            self._commits().groupBy("part")
-            .agg(
-                F.max(F.when(F.col("replaces"), F.col("version"))).alias("base"),
-                F.collect_set("version").alias("versions"),
-            )
-            .collect()
-        )
-        emptied = max((max(m["versions"]) for m in months if m["part"] == _EVERYTHING), default=0)
-        live = {
-            m["part"]: sorted(v for v in m["versions"] if v >= max(m["base"] or 0, emptied))
-            for m in months if m["part"] != _EVERYTHING
-        }
-        return max((max(m["versions"]) for m in months), default=0), {p: v for p, v in live.items() if v}
-
-    def read(self, parts: set[str] | None = None, since: dt.date | None = None) -> DataFrame:
-        """The current table; only the files of the given months, or of those from ``since`` on."""
-        return self._scan(self._state()[1], parts, since)
-
-    def _scan(
-        self, live: dict[str, list[int]], parts: set[str] | None = None, since: dt.date | None = None
-    ) -> DataFrame:
-        paths = [
-            f"{self.root}/data/v={version}/part={part}"
-            for part, versions in sorted(live.items())
-            if (parts is None or part in parts) and (since is None or part >= f"{since:%Y-%m}")
-            for version in versions
-        ]
-        if not paths:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+        if parts is not None:
+            rows = rows.filter(F.col("part").isin(sorted(parts)))
+        if since is not None:
+            rows = rows.filter(F.col("part") >= f"{since:%Y-%m}")
+        return rows.drop("part")
 
     # loading -------------------------------------------------------------
 
     def _typed(self, source: DataFrame) -> DataFrame:
         return source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
 
-    def _summary(self, df: DataFrame) -> tuple[int, int, set[str]]:
-        """Rows, the most rows any key has, and the months of a typed frame, in one pass."""
-        per_key = df.groupBy(*self.keys, self._part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
-        row = per_key.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.max("n"), F.lit(0)).alias("most"),
-            F.collect_set("part").alias("parts"),
-        ).first()
-        return row["rows"], row["most"], set(row["parts"])
+    def _months(self, df: DataFrame) -> set[str]:
+        """Months of a staged source: a bounded list, one entry per month."""
+        return {r[0] for r in df.select(self._part.alias("part")).distinct().collect()}
 
-    def _write(self, df: DataFrame, version: int, parts: set[str], replaces: bool) -> None:
+    def _write(self, df: DataFrame, everything: bool = False) -> None:
         # Rebalancing gathers a month's rows yet splits a month that is too big for one task.
         (
-            df.withColumn("part", self._part).hint("rebalance", "part")
-            .write.mode("overwrite").partitionBy("part").parquet(f"{self.root}/data/v={version}")
+            df.select(*self.schema.names).withColumn("part", self._part).hint("rebalance", "part")
+            .write.mode("overwrite").option("partitionOverwriteMode", "static" if everything else "dynamic")
+            .partitionBy("part").parquet(self.root)
         )
-        self._commit([(version, part, replaces) for part in sorted(parts)])
-
-    def _commit(self, rows: list[tuple[int, str, bool]]) -> None:
-        self.spark.createDataFrame(rows, _COMMITS).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
     def upsert(self, source: DataFrame) -> int:
         """Replace rows with equal keys, add the others; returns the source's row count."""
         with Staging(self.spark) as staging:
             staged = staging.write(self._typed(source), "upsert")
-            rows, most, parts = self._summary(staged)
-            if most > 1:
+            merged = staging.write(merge(self.read(self._months(staged)), staged, self.keys), "merged")
+            rows, most = merged.agg(F.coalesce(F.sum("_copies"), F.lit(0)), F.max("_copies")).first()
+            if most and most > 1:
                 repeated = constraints.unique_violations(staged, self.keys).limit(3).collect()
                 raise DuplicateKeyError(f"{self.root}: keys held more than once, e.g. {[tuple(r) for r in repeated]}")
             if rows:
-                last, live = self._state()
-                old = self._scan(live, parts)
-                kept = old.join(staged.select(*self.keys), self.keys, "left_anti").select(*staged.columns)
-                self._write(kept.unionByName(staged), last + 1, parts, replaces=True)
+                self._write(merged)
             return rows
 
     def upsert_latest(self, source: DataFrame, order: str) -> int:
@@ -151,49 +128,46 @@ class KeyedTable:
                 self._typed(source).withColumn("place", F.row_number().over(first)).filter("place = 1").drop("place"),
                 "candidates",
             )
-            last, live = self._state()
-            present = self._scan(live, self._summary(candidates)[2]).select(*self.keys)
-            new = staging.write(
-                candidates.join(present, self.keys, "left_anti").select(*self.schema.names), "insert"
+            merged = staging.write(
+                merge(self.read(self._months(candidates)), candidates, self.keys, keep_old=True), "merged"
             )
-            rows, _, parts = self._summary(new)
+            rows = merged.agg(F.coalesce(F.sum("_inserted"), F.lit(0))).first()[0]
             if rows:
-                self._write(new, last + 1, parts, replaces=False)
+                self._write(merged)
             return rows
 
     def overwrite(self, source: DataFrame) -> int:
         """Replace the whole table."""
         with Staging(self.spark) as staging:
             staged = staging.write(self._typed(source), "overwrite")
-            rows, _, parts = self._summary(staged)
-            self._write(staged, self._state()[0] + 1, parts | {_EVERYTHING}, replaces=True)
-            return rows
+            self._write(staged, everything=True)
+            return staged.count()
 
     def clear(self) -> None:
-        """Empty the table by a commit alone; nothing is rewritten."""
-        self._commit([(self._state()[0] + 1, _EVERYTHING, True)])
+        """Empty the table."""
+        self._write(self.spark.createDataFrame([], self.schema), everything=True)
 
 
 # surrogate keys -----------------------------------------------------------
 
 
-def number_rows(df: DataFrame, key: list[str], start: Column, name: str, buckets: int = 64) -> DataFrame:
-    """Consecutive numbers from ``start``, fixed by the (unique) key.
+def number_rows(df: DataFrame, key: list[str], start: Column, name: str) -> DataFrame:
+    """Consecutive numbers from ``start`` in the order of the (unique) key.
 
-    Rows are numbered within hash buckets, and each bucket is offset by the sizes
-    of those before it, so no task ever sees all rows.
+    The rows are staged in ranges of the key, as many as Spark makes of the input; each
+    range is offset by the sizes of those before it, so no task ever sees all rows.
     """
-    bucketed = df.withColumn("_bucket", F.pmod(F.xxhash64(*key), F.lit(buckets)))
-    sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per bucket: a fixed, small number.
-    before = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = stage(df.repartitionByRange(*key).withColumn("_range", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per task that wrote the ranges.
+    before = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    within = Window.partitionBy("_bucket").orderBy(*key)
+    within = Window.partitionBy("_range").orderBy(*key)
     return (
-        bucketed.withColumn("_place", F.row_number().over(within))
-        .join(offsets, "_bucket")
+        ranged.withColumn("_place", F.row_number().over(within))
+        .join(offsets, "_range")
         .withColumn(name, start + F.col("_before") + F.col("_place") - 1)
-        .drop("_bucket", "_before", "_place")
+        .drop("_range", "_before", "_place")
     )
 
 
@@ -204,6 +178,7 @@ def assign_surrogate_keys(wells: DataFrame, existing: DataFrame) -> DataFrame:
     """
     known = existing.select("well_id", "source_dh_no")
     next_id = known.agg((F.coalesce(F.max("well_id"), F.lit(0)) + 1).alias("next_id")).scalar()
+    wells = stage(wells, "wells")
     fresh = wells.select("source_dh_no").join(known, "source_dh_no", "left_anti")
     ids = number_rows(fresh, ["source_dh_no"], next_id, "well_id").select(
         F.col("well_id").cast("int").alias("well_id"), "source_dh_no"
@@ -238,25 +213,29 @@ def _null_if_nan(column: str) -> Column:
 
 
 def insert_new_events(table: KeyedTable, detected: DataFrame, detected_at: Column | None = None) -> int:
-    """Store detected events not stored before; returns how many were new."""
+    """Store detected events not stored before; returns how many were new.
+
+    Only the months of the detected events are compared; the highest number in use comes
+    from the id column alone.
+    """
     keys = schemas.MERGE_KEYS["events"]
-    stored = table.read()
-    next_id = stored.agg((F.coalesce(F.max("event_id"), F.lit(0)) + 1).alias("next_id")).scalar()
-    rest = ["severity", "threshold_value", "actual_value", "detail"]
-    first = Window.partitionBy(*keys).orderBy(*rest)
-    fresh = (
-        detected.withColumn("place", F.row_number().over(first)).filter("place = 1").drop("place")
-        .join(stored.select(*keys), keys, "left_anti")
-    )
-    return table.insert_new(
-        number_rows(fresh, keys, next_id, "event_id")
-        .withColumns({
-            "threshold_value": _null_if_nan("threshold_value"),
-            "actual_value": _null_if_nan("actual_value"),
-            "detected_at": F.current_timestamp() if detected_at is None else detected_at,
-            "alert_sent": F.lit(0),
-        })
-    )
+    with Staging(table.spark) as staging:
+        rest = ["severity", "threshold_value", "actual_value", "detail"]
+        first = Window.partitionBy(*keys).orderBy(*rest)
+        once = staging.write(
+            detected.withColumn("place", F.row_number().over(first)).filter("place = 1").drop("place"), "events"
+        )
+        next_id = table.read().agg((F.coalesce(F.max("event_id"), F.lit(0)) + 1).alias("next_id")).scalar()
+        fresh = once.join(table.read(table._months(once)).select(*keys), keys, "left_anti")
+        return table.insert_new(
+            number_rows(fresh, keys, next_id, "event_id")
+            .withColumns({
+                "threshold_value": _null_if_nan("threshold_value"),
+                "actual_value": _null_if_nan("actual_value"),
+                "detected_at": F.current_timestamp() if detected_at is None else detected_at,
+                "alert_sent": F.lit(0),
+            })
+        )
 
 
 def reload_all(tables: dict[str, KeyedTable], frames: dict[str, DataFrame]) -> DataFrame:
@@ -295,7 +274,7 @@ def run_sources(
         try:
             outcomes.append((source, int(load()), None))
         except Exception as error:  # noqa: BLE001 - each source stands alone
-            outcomes.append((source, None, str(error)[:400]))
+            outcomes.append((source, None, str(error)))
             audit_append(spark, audit_path, source, run_id)
     frame = spark.createDataFrame(outcomes, "source string, rows long, error string")
     return frame, int(any(error for _, _, error in outcomes))

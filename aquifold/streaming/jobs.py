@@ -21,7 +21,13 @@ from aquifold.streaming import tags as tag_ops
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", **options) -> DataFrame:
-    """Stream of the files that land at ``path``, with their arrival time."""
+    """Stream of the files that land at ``path``, with their arrival time.
+
+    A schema binds CSV columns by position; a file whose header names other columns, or the
+    same ones in another order, therefore stops the stream instead of scrambling it.
+    """
+    if fmt == "csv":
+        options = {"header": "true", "enforceSchema": "false"} | options
     return (
         spark.readStream.format(fmt).schema(schema).options(**options).load(path)
         .select("*", landed.arrival_time())
@@ -110,7 +116,7 @@ def start_detection(
 ) -> StreamingQuery:
     """Load arriving readings, run the detectors and store what is new."""
     def apply(batch: DataFrame, _: int) -> None:
-        readings.upsert(batch)
+        load(readings, batch)
         detection.detect_and_store(readings.read(), wells, rainfall.read(), events)
 
     return _start(reading_stream, apply, checkpoint, "append", trigger or {"availableNow": True})

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from aquifold.functions import as_double, latest_date
 from aquifold.operators import curated, features, risk
 from aquifold.plans import detection
-from aquifold.session import broadcast_if_small, placed_by, stage
+from aquifold.session import placed_by, stage
 
 # Share of the projected extraction that each region's allocation covers, by region key.
 PROJECTED_USE = {0: 1.03, 1: 0.92, 2: 0.76, 3: 1.03, 4: 0.92}
@@ -200,7 +200,7 @@ class StarTables:
 
     @cached_property
     def daily_rain(self) -> DataFrame:
-        return broadcast_if_small(stage(curated.area_rainfall_unfiltered(self.rainfall), "daily_rain"))
+        return stage(curated.area_rainfall_unfiltered(self.rainfall), "daily_rain")
 
     @cached_property
     def forecast_frame(self) -> DataFrame:

@@ -124,13 +124,6 @@ def test_anomaly_features_are_finite(data):
     assert len(values) and np.isfinite(values).all()
 
 
-def test_area_limit_is_checked(spark, monkeypatch):
-    monkeypatch.setattr(features, "_MAX_AREAS", 2)
-    wells = spark.createDataFrame([(i, f"a{i}") for i in range(3)], "well_id int, management_area string")
-    with pytest.raises(ValueError, match="areas"):
-        features.area_names(wells)
-
-
 # forecast ------------------------------------------------------------------------
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from aquifold import schemas
 from aquifold.operators import health
 from aquifold.plans import ingest
 from aquifold.sources import landed, store
-from aquifold.sources.store import DuplicateKeyError, KeyedTable
+from aquifold.sources.store import DuplicateKeyError, KeyedTable, merge
 
 
 def json_lines(path, records):
@@ -129,8 +130,6 @@ def test_upsert_updates_inserts_and_repeats(spark, tmp_path):
             (1, "2024-01-01", None), (1, "2024-02-01", 6.0), (2, "2024-01-01", 7.0), (3, "2024-03-01", 8.0)
         ]
     assert table.upsert(newer.limit(0)) == 0
-    # Only the touched months were rewritten: February still comes from the first version.
-    assert table._state()[1]["2024-02"] == [1]
     assert table.read({"2024-03"}).count() == 1
     assert table.read(since=dt.date(2024, 2, 15)).count() == 2
 
@@ -145,14 +144,47 @@ def test_duplicate_source_keys_are_refused(spark, tmp_path):
     assert content(table) == [(1, "2024-01-01", 6.0)]
 
 
-def test_unfinished_load_is_invisible(spark, tmp_path):
+def files_of(table):
+    return sorted(Path(table.root).rglob("part-*.parquet"))
+
+
+def test_repeated_loads_keep_the_number_of_files_and_untouched_months(spark, tmp_path):
     table = KeyedTable.named(spark, str(tmp_path), "readings")
-    table.upsert(readings(spark, (1, "2024-01-01", 5.0)))
-    # Data written, commit missing.
-    readings(spark, (9, "2024-01-01", 9.0)).write.parquet(f"{table.root}/data/v=2/part=2024-01")
-    assert content(table) == [(1, "2024-01-01", 5.0)]
-    table.upsert(readings(spark, (2, "2024-01-01", 6.0)))
-    assert content(table) == [(1, "2024-01-01", 5.0), (2, "2024-01-01", 6.0)]
+    table.upsert(readings(spark, (1, "2024-01-01", 5.0), (1, "2024-02-01", 6.0)))
+    february = [f for f in files_of(table) if "2024-02" in str(f)]
+    for i in range(6):
+        table.upsert(readings(spark, (2, "2024-01-01", float(i))))
+        assert len(files_of(table)) == 2
+    assert [f for f in files_of(table) if "2024-02" in str(f)] == february
+    assert content(table) == [(1, "2024-01-01", 5.0), (1, "2024-02-01", 6.0), (2, "2024-01-01", 5.0)]
+
+
+def test_merge_counts_copies_and_keeps_old_rows_on_request(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    new = spark.createDataFrame([(2, "c"), (3, "d"), (3, "d")], "k int, v string")
+    rows = sorted(tuple(r) for r in merge(old, new, ["k"]).collect())
+    assert rows == [(1, "a", 0, 0), (2, "c", 1, 0), (3, "d", 2, 1)]
+    assert {r.k: r.v for r in merge(old, new, ["k"], keep_old=True).collect()} == {1: "a", 2: "b", 3: "d"}
+
+
+def test_csv_columns_are_taken_by_name(spark, tmp_path):
+    (tmp_path / "e.csv").write_text("well_id,note,anomaly_type,event_date\n7,x,Kind,2024-01-05\n8,y,Kind,never\n")
+    rows = landed.read_table(spark, str(tmp_path / "e.csv"), "events").collect()
+    assert [(r.event_id, r.well_id, str(r.event_date), r.anomaly_type) for r in rows] == [
+        (None, 7, "2024-01-05", "Kind"), (None, 8, "None", "Kind")
+    ]
+
+
+def test_days_in_other_formats_and_numbers_with_suffixes(spark):
+    given = ["15/01/2024", "15-01-2024", "2024/01/15", "15 Jan 2024", "20240115", "2024-01-15", "2024-01-15T10:00:00", "soon"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(given)], "i int, t string")
+    got = [str(r.d) for r in rows.select("i", landed.to_day(F.col("t")).alias("d")).orderBy("i").collect()]
+    assert got == ["2024-01-15"] * 7 + ["None"]
+    assert tuple(landed.unreadable_days(rows, "t").first()) == (1, 8)
+    numbers = spark.createDataFrame([("5d",), ("3f",), (" 1e3 ",), ("NaN",), ("-.5",)], "t string")
+    assert [r[0] for r in numbers.select(landed.to_number(F.col("t"))).collect()] == [None, None, 1000.0, None, -0.5]
+    raw = spark.createDataFrame([("2024-01-01", "1", "1e12")], "OBS_DATE string, DTW string, PUMPING string")
+    assert landed.normalise_readings(raw, "DH1").first().pumping_event is None
 
 
 def test_overwrite_and_clear(spark, tmp_path):
