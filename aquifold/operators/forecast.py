@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -121,16 +123,20 @@ def horizon_sweep(
     horizons: tuple[int, ...] = SWEEP_HORIZONS,
     **model_options,
 ) -> DataFrame:
-    """Model against persistence for each horizon: one feature pass, one model fit per horizon."""
-    outcomes = []
+    """Model against persistence for each horizon: one feature pass, one model fit per horizon.
+
+    The fits are submitted together, so that the short jobs of one fill the gaps of another.
+    """
     with Staging(readings.sparkSession) as staging:
         frame = staging.write(feat.history_features(wells, readings, rainfall, horizons), "history")
-        for horizon in horizons:
+
+        def outcome(horizon: int) -> tuple:
             train, test, _ = feat.purged_time_split(feat.at_horizon(frame, horizon))
             metrics = forecast_metrics(predict(fit_forecast(train, **model_options), test)).first()
-            outcomes.append(
-                (horizon, metrics.model_mae_m, metrics.baseline_mae_m, metrics.mae_improvement_pct)
-            )
+            return horizon, metrics.model_mae_m, metrics.baseline_mae_m, metrics.mae_improvement_pct
+
+        with ThreadPoolExecutor(len(horizons) or 1) as pool:
+            outcomes = list(pool.map(outcome, horizons))
     return readings.sparkSession.createDataFrame(
         outcomes, "horizon_days int, model_mae_m double, baseline_mae_m double, improvement_pct double"
     )

@@ -22,9 +22,6 @@ from checks.star_tables import StarTables, star_tables, tag_events_of
 
 _QUERIES: dict[str, Callable[[StarTables], DataFrame]] = {}
 
-# Boosting rounds in registered queries; the library default is 300.
-_TREES = 10
-
 
 def query(fn: Callable[[StarTables], DataFrame]) -> Callable[[StarTables], DataFrame]:
     _QUERIES[fn.__name__] = fn
@@ -633,8 +630,8 @@ def purged_time_split(t: StarTables) -> DataFrame:
 
 @query
 def gbt_forecast(t: StarTables) -> DataFrame:
-    train, test, _ = features.purged_time_split(t.forecast_frame)
-    return forecast.predict(forecast.fit_forecast(train, trees=_TREES), test)
+    _, test, _ = features.purged_time_split(t.forecast_frame)
+    return forecast.predict(t.forecast_model, test)
 
 
 @query
@@ -646,7 +643,7 @@ def forecast_metrics(t: StarTables) -> DataFrame:
 def horizon_sweep(t: StarTables) -> DataFrame:
     return forecast.horizon_sweep(
         t.wells, t.trusted.drop("coastal_flag", "management_area"),
-        t.daily_rain, trees=3,
+        t.daily_rain,
     )
 
 
@@ -663,7 +660,7 @@ def anomaly_features(t: StarTables) -> DataFrame:
 
 @query
 def isolation_forest_score(t: StarTables) -> DataFrame:
-    return forest.isolation_forest_score(t.anomaly_frame, features.ANOMALY_FEATURES, trees=100)
+    return forest.isolation_forest_score(t.anomaly_frame, features.ANOMALY_FEATURES)
 
 
 @query
@@ -679,8 +676,7 @@ def rediscovered_bores(t: StarTables) -> DataFrame:
 
 @query
 def feature_importance(t: StarTables) -> DataFrame:
-    train, _, _ = features.purged_time_split(t.forecast_frame)
-    return forecast.feature_importance(forecast.fit_forecast(train, trees=3))
+    return forecast.feature_importance(t.forecast_model)
 
 
 # fleet -----------------------------------------------------------------------------------

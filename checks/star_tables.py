@@ -10,16 +10,17 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aquifold.functions import as_double, latest_date
-from aquifold.operators import curated, features, risk
+from aquifold.operators import curated, features, forecast, risk
 from aquifold.plans import detection
 from aquifold.session import placed_by, stage
 
 # Share of the projected extraction that each region's allocation covers, by region key.
-PROJECTED_USE = {0: 1.03, 1: 0.92, 2: 0.76, 3: 1.03, 4: 0.92}
+PROJECTED_USE = {0: 1.08, 1: 0.88, 2: 0.64, 3: 1.02, 4: 0.95}
 TAG_BY_EVENT = {
     "click": "WaterLevel_mBGL", "view": "TDS_mg_per_L", "purchase": "PumpSpeed_RPM", "signup": "ValvePosition_pct",
 }
@@ -218,6 +219,12 @@ class StarTables:
         )
         return stage(frame, "anomaly_frame")
 
+    @cached_property
+    def forecast_model(self) -> PipelineModel:
+        """The boosted model at its default size, fitted once for the queries that use it."""
+        train, _, _ = features.purged_time_split(self.forecast_frame)
+        return forecast.fit_forecast(train)
+
     @cached_property
     def forecasts(self) -> DataFrame:
         """Forecast rows whose prediction is the mean of the last seven levels."""

@@ -31,9 +31,9 @@ def day(offset: int) -> dt.date:
     return FIRST_DAY + dt.timedelta(days=offset)
 
 
-def osc(n: int, centre: float, amplitude: float) -> list[float]:
-    """Above the centre on even rows, below on odd ones."""
-    return [centre + (amplitude if i % 2 == 0 else -amplitude) for i in range(n)]
+def ripple(n: int, level: float, step: float) -> list[float]:
+    """A saw of three heights around ``level``: below, at and above it in turn."""
+    return [round(level + step * (i % 3 - 1), 6) for i in range(n)]
 
 
 @pytest.fixture

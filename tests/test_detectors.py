@@ -5,29 +5,38 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import day, osc
+from conftest import day, ripple
 
 from aquifold.operators import curated, detectors
 
 AREA = "Valley"
 
 
-def burst(n: int, first: int, last: int, mm: float = 10.0) -> list[float]:
-    return [mm if first <= i <= last else 0.0 for i in range(n)]
+def showers(days: int, *spells: tuple[int, float]) -> list[float]:
+    """Rain of a run of days: each spell puts its millimetres on one day."""
+    fallen = dict(spells)
+    return [fallen.get(i, 0.0) for i in range(days)]
 
 
 # rapid level change -------------------------------------------------------------
 
 
-def test_spike_is_critical(readings_of):
-    rows = detectors.rapid_level_change(readings_of((1, osc(19, 5.0, 0.01) + [7.5], 500.0, 0, AREA))).collect()
-    assert [(r.anomaly_type, r.severity, r.event_date) for r in rows] == [("RapidLevelChange", "CRITICAL", day(19))]
-    assert rows[0].actual_value == 7.5
-    assert "deeper than the 7-day baseline (5.00 mBGL)" in rows[0].detail
+def test_a_sudden_drop_of_the_table_is_critical(readings_of):
+    # Seven rows before the last: 12.2, 12.0, 11.8 in turn, mean 12.03, deviation 0.18; the last lies 21 of them deeper.
+    levels = ripple(26, 12.0, 0.2) + [15.8]
+    rows = detectors.rapid_level_change(readings_of((4, levels, 820.0, 0, AREA))).collect()
+    assert [(r.well_id, r.anomaly_type, r.severity, r.event_date) for r in rows] == [
+        (4, "RapidLevelChange", "CRITICAL", day(26))
+    ]
+    assert rows[0].actual_value == 15.8
+    mean = np.mean(levels[-8:-1])
+    assert f"deeper than the 7-day baseline ({mean:.2f} mBGL)" in rows[0].detail
 
 
-def test_stable_series_is_quiet(readings_of):
-    assert detectors.rapid_level_change(readings_of((1, osc(20, 5.0, 0.01), 500.0, 0, AREA))).isEmpty()
+def test_only_the_bore_that_jumps_is_reported(readings_of):
+    quiet, jumping = ripple(24, 9.0, 0.05), ripple(23, 9.0, 0.05) + [8.0]
+    rows = detectors.rapid_level_change(readings_of((1, quiet, 300.0, 0, AREA), (2, jumping, 300.0, 1, AREA))).collect()
+    assert [r.well_id for r in rows] == [2]
 
 
 @pytest.mark.parametrize(
@@ -46,59 +55,61 @@ def test_constant_baseline_is_skipped(readings_of):
 
 
 def test_needs_ten_levels_over_the_whole_history(readings_of):
-    nine = osc(8, 5.0, 0.1) + [9.0]
+    nine = ripple(8, 3.0, 0.2) + [7.0]
     assert detectors.rapid_level_change(readings_of((1, nine, 500.0, 0, AREA))).isEmpty()
-    ten = osc(9, 5.0, 0.1) + [9.0]
+    ten = ripple(9, 3.0, 0.2) + [7.0]
     assert detectors.rapid_level_change(readings_of((1, ten, 500.0, 0, AREA))).count() == 1
 
 
 def test_missing_last_level_or_thin_baseline_is_skipped(readings_of):
-    assert detectors.rapid_level_change(readings_of((1, osc(19, 5.0, 0.1) + [None], 500.0, 0, AREA))).isEmpty()
-    thin = osc(12, 5.0, 0.1) + [None] * 5 + [5.1, 4.9, 9.0]
+    assert detectors.rapid_level_change(readings_of((1, ripple(16, 3.0, 0.2) + [None], 500.0, 0, AREA))).isEmpty()
+    thin = ripple(14, 3.0, 0.2) + [None] * 5 + [3.2, 2.8, 7.0]
     assert detectors.rapid_level_change(readings_of((1, thin, 500.0, 0, AREA))).isEmpty()
 
 
 # low recharge --------------------------------------------------------------------
 
 
-def test_no_rebound_is_flagged(readings_of, rain_of):
-    events = detectors.low_recharge_response(readings_of((1, [6.0] * 40, 500.0, 0, AREA)), rain_of(burst(40, 10, 14)))
+def test_level_that_stays_after_one_storm_is_flagged(readings_of, rain_of):
+    # 34 mm on one day keep the seven-row total above 20 mm through six days after it.
+    storm = showers(52, (21, 34.0))
+    events = detectors.low_recharge_response(readings_of((3, [11.5] * 52, 640.0, 0, AREA)), rain_of(storm))
     row = events.first()
     assert events.count() == 1
     assert (row.anomaly_type, row.severity, row.threshold_value, row.actual_value) == (
         "LowRechargeResponse", "WARNING", 0.1, 0.0
     )
-    # Rows 10-14 are wet, so the seven-row total stays above 20 mm through row 18.
-    assert row.event_date == day(18)
+    assert row.event_date == day(27)
 
 
-def test_rebound_is_healthy(readings_of, rain_of):
-    levels = [6.0] * 22 + [5.0] * 18
-    events = detectors.low_recharge_response(readings_of((1, levels, 500.0, 0, AREA)), rain_of(burst(40, 8, 12)))
+def test_level_that_climbs_within_two_weeks_is_healthy(readings_of, rain_of):
+    # The last wet total falls on day 27; half a metre comes up ten days later.
+    levels = [11.5] * 37 + [11.0] * 15
+    events = detectors.low_recharge_response(readings_of((3, levels, 640.0, 0, AREA)), rain_of(showers(52, (21, 34.0))))
     assert events.isEmpty()
 
 
-def test_rain_counts_for_its_own_area(readings_of, rain_of):
-    readings = readings_of((1, [6.0] * 40, 500.0, 0, "A"), (2, [6.0] * 40, 500.0, 0, "B"))
-    rain = rain_of({"A": burst(40, 8, 12), "B": [0.0] * 40})
-    assert [r.well_id for r in detectors.low_recharge_response(readings, rain).collect()] == [1]
+def test_each_area_answers_to_its_own_rain(readings_of, rain_of):
+    series = [(w, [11.5] * 52, 640.0, 0, area) for w, area in ((1, "hill"), (2, "plain"), (3, "hill"))]
+    rain = rain_of({"hill": showers(52, (5, 3.0)), "plain": showers(52, (18, 15.0), (20, 15.0))})
+    assert [r.well_id for r in detectors.low_recharge_response(readings_of(*series), rain).collect()] == [2]
 
 
 def test_exactly_twenty_millimetres_is_no_event(readings_of, rain_of):
-    readings = readings_of((1, [6.0] * 40, 500.0, 0, AREA))
-    assert detectors.low_recharge_response(readings, rain_of(burst(40, 10, 11))).isEmpty()
-    assert detectors.low_recharge_response(readings, rain_of(burst(40, 10, 11, 10.01))).count() == 1
+    readings = readings_of((1, [11.5] * 52, 640.0, 0, AREA))
+    assert detectors.low_recharge_response(readings, rain_of(showers(52, (12, 8.0), (15, 12.0)))).isEmpty()
+    assert detectors.low_recharge_response(readings, rain_of(showers(52, (12, 8.0), (15, 12.01)))).count() == 1
 
 
 @pytest.mark.parametrize(("after", "flagged"), [(5.9, False), (5.901, True)])
 def test_rise_boundary(readings_of, rain_of, after, flagged):
     levels = [6.0] * 19 + [after] * 21
-    events = detectors.low_recharge_response(readings_of((1, levels, 500.0, 0, AREA)), rain_of(burst(40, 10, 14)))
+    events = detectors.low_recharge_response(readings_of((1, levels, 500.0, 0, AREA)), rain_of(showers(40, (12, 11.0), (14, 11.0))))
     assert events.isEmpty() is not flagged
 
 
 def test_missing_side_gives_no_event(readings_of, rain_of):
-    rain = rain_of(burst(40, 10, 14))
+    rain = rain_of(showers(40, (12, 11.0), (14, 11.0)))
     no_before = [None] * 19 + [6.0] * 21
     no_after = [6.0] * 19 + [None] * 14 + [6.0] * 7
     for levels in (no_before, no_after):
@@ -115,15 +126,15 @@ def test_no_rain_rows_give_no_event(readings_of, rain_of, spark):
 
 @pytest.mark.parametrize(("coastal", "severity"), [(1, "CRITICAL"), (0, "WARNING"), (None, "WARNING")])
 def test_rising_salinity(readings_of, coastal, severity):
-    rising = [500.0 + 5 * i for i in range(30)]
-    rows = detectors.salinity_intrusion(readings_of((1, [6.0] * 30, rising, coastal, AREA))).collect()
-    assert [(r.anomaly_type, r.severity, r.actual_value) for r in rows] == [("SalinityIntrusionRisk", severity, 5.0)]
+    rising = [940.0 + 2.5 * i for i in range(44)]
+    rows = detectors.salinity_intrusion(readings_of((8, [14.0] * 44, rising, coastal, AREA))).collect()
+    assert [(r.anomaly_type, r.severity, r.actual_value) for r in rows] == [("SalinityIntrusionRisk", severity, 2.5)]
     assert rows[0].detail.endswith(" in a coastal aquifer." if coastal else "(R²=1.00).")
 
 
-def test_flat_or_constant_salinity_is_quiet(readings_of):
-    assert detectors.salinity_intrusion(readings_of((1, [6.0] * 30, osc(30, 500.0, 2.0), 1, AREA))).isEmpty()
-    assert detectors.salinity_intrusion(readings_of((1, [6.0] * 30, [500.0] * 30, 1, AREA))).isEmpty()
+def test_salinity_without_a_trend_is_quiet(readings_of):
+    for series in (ripple(44, 940.0, 6.0), [940.0] * 44, [940.0 - 3 * i for i in range(44)]):
+        assert detectors.salinity_intrusion(readings_of((8, [14.0] * 44, series, 1, AREA))).isEmpty()
 
 
 @pytest.mark.parametrize(("slope", "flagged"), [(1.0, True), (0.999, False)])

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import day, osc
+from conftest import day, ripple
 
 from aquifold.functions import latest_date
 from aquifold.operators import curated, detectors, fleet, risk
@@ -102,7 +102,7 @@ def test_placing_before_the_join_needs_one_exchange_of_readings(spark, tmp_path,
 
 def test_staged_tables_are_removed(spark, readings_of):
     with Staging(spark) as staging:
-        table = staging.write(placed_by(readings_of((1, osc(5, 1.0, 0.1), 1.0, 0, "a")), "well_id"), "gone", "well_id")
+        table = staging.write(placed_by(readings_of((1, ripple(5, 1.0, 0.1), 1.0, 0, "a")), "well_id"), "gone", "well_id")
         assert table.count() == 5
         names = list(staging._tables)
         path = spark._jvm.org.apache.hadoop.fs.Path(staging.folder)
