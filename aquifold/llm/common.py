@@ -23,6 +23,17 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in own])
 
 
+def shielded(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` with columns of these names renamed, so that an operator that writes them leaves their values alone."""
+    own = {n.lower() for n in names}
+    return df.select(*[F.col(f"`{c}`").alias(f"__own_{c}" if c.lower() in own else c) for c in df.columns])
+
+
+def unshielded(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The given columns of ``shielded`` rows under their own names again."""
+    return df.select(*[F.col(f"`__own_{c}`" if f"__own_{c}" in df.columns else f"`{c}`").alias(c) for c in columns])
+
+
 def extended(schema: T.StructType, ddl: str) -> T.StructType:
     return T.StructType(schema.fields + T.StructType.fromDDL(ddl).fields)
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aquifold.llm.common import append_columns, slices, texts_of, without
+from aquifold.llm.common import append_columns, shielded, slices, texts_of, unshielded, without
 
 #: Words of benchmark text that one pass holds; a larger benchmark is searched in several passes.
 PASS_WORDS = 2_000_000
@@ -155,6 +155,7 @@ class BenchmarkWindows:
         return found
 
 
+_RESULTS = ("n_words", "n_hit", "item_ids", "matches", "contaminated")
 _SPAN = "array<struct<start:int,end:int>>"
 _MATCH = "array<struct<item_id:string,item_start:int,doc_start:int,length:int>>"
 
@@ -184,8 +185,7 @@ def find_contamination(
     benchmarks, match nothing; a null item_id counts as the empty string. Columns of those names in
     ``docs`` are replaced, others pass through (``keep`` selects some). Rows are not shuffled.
     """
-    names = ["n_words", "n_hit", "item_ids", "matches", "contaminated"]
-    docs = without(docs, *names)
+    docs = without(docs, *_RESULTS)
     columns = keep or docs.columns
     docs = docs.select(*dict.fromkeys([*columns, "text"]))
     items = benchmark.select(
@@ -226,6 +226,5 @@ def find_contamination(
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The documents without any benchmark window, with their own columns only."""
-    found = find_contamination(docs, benchmark, window)
-    own = [c for c in docs.columns if c in found.columns]
-    return found.filter(~F.col("contaminated")).select(*[F.col(f"`{c}`") for c in own])
+    found = find_contamination(shielded(docs, *_RESULTS), benchmark, window)
+    return unshielded(found.filter(~F.col("contaminated")), docs.columns)

@@ -18,7 +18,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aquifold.llm.common import without
+from aquifold.llm.common import shielded, unshielded, without
 from aquifold.session import stage
 
 KINDS = ("email", "ip", "card", "phone")
@@ -35,23 +35,58 @@ _WORDS_FOR = "password|passwd|pwd|passwort|contraseña|token|secret|key|login|te
 _WORDS_AGAINST = "version|license|licence|chapter|section|page|figure|table|part|year|no|nr|cc|by-nc|by-sa|by"
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once; a lambda would compute a captured expression for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+#: Matches whose lengths are added up one by one; longer lists are summed block by block, so the work stays near-linear.
+_BLOCK = 128
+
+
 def _located(text: Column, pattern: str, kind: str | None, base: bool) -> Column:
     """Non-overlapping matches of ``pattern`` with code-point offsets and some text around them."""
-    gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out"))
-
-    def step(state: Column, i: Column) -> Column:
-        start = state["at"] + F.length(gaps[i])
-        match = found[i]
-        span = F.struct(
-            F.lit(kind).cast("string").alias("kind"), start.alias("start"), (start + F.length(match)).alias("end"),
-            match.alias("match"), F.right(gaps[i], F.lit(40)).alias("before"), F.left(gaps[i + 1], F.lit(12)).alias("after"),
-            F.lit(base).alias("base"),
+
+    def total(lengths: Column) -> Column:
+        return F.aggregate(lengths, F.lit(0), lambda a, x: a + x)
+
+    def upto(n: Column) -> Column:
+        return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+    def spans(s: Column) -> Column:
+        def span(i: Column) -> Column:
+            block = F.floor(i / _BLOCK).cast("int")
+            before = F.get(s["before"], block) + total(F.slice(s["lengths"], block * _BLOCK + 1, i - block * _BLOCK))
+            gap, match = F.get(s["gaps"], i), F.get(s["found"], i)
+            start = (before + F.length(gap)).cast("int")
+            return F.struct(
+                F.lit(kind).cast("string").alias("kind"), start.alias("start"), (start + F.length(match)).cast("int").alias("end"),
+                match.alias("match"), F.right(gap, F.lit(40)).alias("before"),
+                F.left(F.get(s["gaps"], i + 1), F.lit(12)).alias("after"), F.lit(base).alias("base"),
+            )
+
+        return F.transform(upto(F.size(s["found"])), span)
+
+    def summed(s: Column) -> Column:
+        blocks = F.ceil(F.size(s["found"]) / _BLOCK).cast("int")
+        sums = F.transform(upto(blocks), lambda b: total(F.slice(s["lengths"], b * _BLOCK + 1, F.lit(_BLOCK))))
+        return _let(
+            F.struct(s["gaps"].alias("gaps"), s["found"].alias("found"), s["lengths"].alias("lengths"), sums.alias("sums")),
+            lambda t: _let(
+                F.struct(
+                    t["gaps"].alias("gaps"), t["found"].alias("found"), t["lengths"].alias("lengths"),
+                    F.transform(upto(F.size(t["sums"])), lambda b: total(F.slice(t["sums"], F.lit(1), b))).alias("before"),
+                ),
+                spans,
+            ),
         )
-        return F.struct((start + F.length(match)).alias("at"), F.concat(state["out"], F.array(span)).cast(f"array<{_SPAN}>").alias("out"))
 
-    places = F.when(F.size(found) > 0, F.sequence(F.lit(0), F.size(found) - 1)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(places, begin, step, lambda s: s["out"])
+    def measured(s: Column) -> Column:
+        lengths = F.transform(upto(F.size(s["found"])), lambda i: F.length(F.get(s["gaps"], i)) + F.length(F.get(s["found"], i)))
+        return _let(F.struct(s["gaps"].alias("gaps"), s["found"].alias("found"), lengths.alias("lengths")), summed)
+
+    gaps, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return _let(F.struct(gaps.alias("gaps"), found.alias("found")), measured).cast(f"array<{_SPAN}>")
 
 
 def _digits(match: Column) -> Column:
@@ -59,14 +94,15 @@ def _digits(match: Column) -> Column:
 
 
 def _luhn(match: Column) -> Column:
-    backwards = F.reverse(_digits(match))
+    def adds_up(backwards: Column) -> Column:
+        def add(total: Column, i: Column) -> Column:
+            d = F.substring(backwards, i, F.lit(1)).cast("int")
+            doubled = F.when(d > 4, 2 * d - 9).otherwise(2 * d)
+            return total + F.when(i % 2 == 0, doubled).otherwise(d)
 
-    def add(total: Column, i: Column) -> Column:
-        d = F.substring(backwards, i, F.lit(1)).cast("int")
-        doubled = F.when(d > 4, 2 * d - 9).otherwise(2 * d)
-        return total + F.when(i % 2 == 0, doubled).otherwise(d)
+        return F.aggregate(F.sequence(F.lit(1), F.length(backwards)), F.lit(0), add) % 10 == 0
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(backwards)), F.lit(0), add) % 10 == 0
+    return _let(F.reverse(_digits(match)), adds_up)
 
 
 def _octets(match: Column) -> Column:
@@ -127,8 +163,10 @@ def _candidates(text: Column, base: Column) -> Column:
             s["before"].alias("before"), s["after"].alias("after"), F.lit(False).alias("base"),
         )
 
-    tokens = F.transform(_located(text, _TOKEN, None, False), trimmed)
-    free = F.filter(tokens, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    free = _let(base, lambda own: F.filter(
+        F.transform(_located(text, _TOKEN, None, False), trimmed),
+        lambda s: ~F.exists(own, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
+    ))
     return F.when(F.regexp_like(text, F.lit("[0-9]")), free).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
@@ -277,7 +315,7 @@ def redacted(text: Column, spans: Column) -> Column:
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data replaced in ``text`` (null stays null) and ``n_chars``, if there, counted anew."""
-    found = find_personal_data(docs).withColumn("text", redacted(F.col("text"), F.col("spans")))
+    found = find_personal_data(shielded(docs, "base_spans", "spans")).withColumn("text", redacted(F.col("text"), F.col("spans")))
     if "n_chars" in found.columns:
         found = found.withColumn("n_chars", F.length("text").cast("bigint"))
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unshielded(found, docs.columns)

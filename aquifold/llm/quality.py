@@ -17,7 +17,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aquifold.llm.common import without
+from aquifold.llm.common import shielded, unshielded, without
 from aquifold.session import stage
 
 
@@ -131,6 +131,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
     return QualityModel(weights, base, _posteriors(marked.select("host", "path", good_column.alias("good")), base))
 
 
+_RESULTS = ("evidence", "site_rate", "quality_score", "keep")
+
+
 def judge(model: QualityModel, docs: DataFrame, least: float = 0.5) -> DataFrame:
     """``docs`` with ``evidence``, ``site_rate``, ``quality_score`` (posterior, 0 to 1) and ``keep``.
 
@@ -139,7 +142,7 @@ def judge(model: QualityModel, docs: DataFrame, least: float = 0.5) -> DataFrame
     pass through; rows are judged one by one, so repeats and null ids need no care. Text joins
     only the table of sites, whose host and path keys Spark can split if one is hot.
     """
-    docs = without(docs, "evidence", "site_rate", "quality_score", "keep")
+    docs = without(docs, *_RESULTS)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     placed = docs.withColumns({
         "__host": host_of(F.col("source")), "__path": path_of(F.col("source"), F.col("lang")), "evidence": model.evidence(text),
@@ -155,4 +158,5 @@ def judge(model: QualityModel, docs: DataFrame, least: float = 0.5) -> DataFrame
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents judged good, with their own columns."""
-    return judge(fit(docs, labels), docs).filter("keep").select(*[F.col(f"`{c}`") for c in docs.columns])
+    judged = judge(fit(docs, labels), shielded(docs, *_RESULTS))
+    return unshielded(judged.filter("keep"), docs.columns)
