@@ -68,7 +68,7 @@ def rapid_level_change(
         F.when(F.col("z") >= critical_sigma, "CRITICAL").otherwise("WARNING").alias("severity"),
         rounded(F.col("mean") + side * warning_sigma * F.col("std"), 3).alias("threshold_value"),
         rounded(F.col("actual"), 3).alias("actual_value"),
-        F.format_string(
+        F.format_string(  # fixed text
             f"Water level %s mBGL is %sσ %s than the {baseline_rows}-day baseline (%s mBGL).",
             fixed(F.col("actual"), 2), fixed(F.col("z"), 1),
             F.when(side > 0, "deeper").otherwise("shallower"), fixed(F.col("mean"), 2),
@@ -154,7 +154,7 @@ def low_recharge_response(
         F.lit("WARNING").alias("severity"),
         F.lit(float(min_rise_m)).alias("threshold_value"),
         rounded(F.col("rise"), 3).alias("actual_value"),
-        F.format_string(
+        F.format_string(  # fixed text
             f"After a rainfall event ({rain_rows}-day total > {rain_threshold_mm:.0f} mm) the water table rose "
             f"only %s m within {response_days} days (expected >= {min_rise_m:.2f} m).",
             fixed(F.col("rise"), 2),
@@ -214,7 +214,7 @@ def salinity_intrusion(
         F.when(coastal, "CRITICAL").otherwise("WARNING").alias("severity"),
         F.lit(float(min_slope)).alias("threshold_value"),
         rounded(F.col("slope"), 3).alias("actual_value"),
-        F.concat(
+        F.concat(  # fixed text
             F.format_string(
                 f"TDS rising %s mg/L per day over {window_days} days (R²=%s)",
                 fixed(F.col("slope"), 1), fixed(F.col("r2"), 2),

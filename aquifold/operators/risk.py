@@ -180,7 +180,7 @@ def risk_classify(df: DataFrame, reference_nulls: bool = False) -> DataFrame:
         as_double("data_completeness_30d_pct"), F.lit(100.0 if reference_nulls else 0.0)
     )
 
-    # (condition, points, driver text); within a group the first match counts.
+    # (condition, points, driver text); within a group the first match counts. The texts are fixed values.
     groups: list[list[tuple[Column, int, Column]]] = [
         [
             (severity == "CRITICAL", 60, F.concat_ws(" ", F.lit("critical"), anomaly, F.lit("event"))),

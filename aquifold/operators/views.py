@@ -123,6 +123,7 @@ def alert_messages(unsent: DataFrame) -> DataFrame:
     def text(name: str):
         return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
+    # The texts are fixed values.
     return unsent.select(
         "event_id",
         F.format_string(
