@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aquifold.llm.common import texts_of
-from aquifold.llm.tokens import CorpusTokenizer
+from aquifold.llm.tokens import corpus_tokenizer
 
 _NO_COST = (float("inf"), -1)
 
@@ -131,7 +131,7 @@ def pack(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = CorpusTokenizer(tokenizer)
+        encoder = corpus_tokenizer(tokenizer)
         end = np.array([end_id], encoder.dtype).tobytes()
         width = encoder.dtype.itemsize
         first = TaskContext.get().partitionId() << 33

@@ -27,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from aquifold.llm.common import texts_of
-from aquifold.llm.tokens import CorpusTokenizer
+from aquifold.llm.tokens import corpus_tokenizer
 from aquifold.session import new_folder, stage
 
 _HEADER = struct.Struct("<4sIIIIII")
@@ -140,7 +140,7 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """doc_id and ids (packed little-endian) of every document, with the end id; a null text is empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = CorpusTokenizer(tokenizer)
+        encoder = corpus_tokenizer(tokenizer)
         end = np.array([end_id], encoder.dtype).tobytes()
         for batch in batches:
             ids = [x + end for x in encoder.encode(texts_of(batch))]

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 
@@ -23,6 +24,12 @@ _RARE_SPACE = re.compile("[\x01\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\
 _MARK = "\x01"
 
 
+@lru_cache(maxsize=2)
+def corpus_tokenizer(name: str) -> CorpusTokenizer:
+    """One encoder per Python worker, so that its chunks serve all tasks the worker runs."""
+    return CorpusTokenizer(name)
+
+
 class CorpusTokenizer:
     """Encodes texts to little-endian unsigned ids of ``dtype``; special tokens' strings are ordinary text."""
 
@@ -46,6 +53,7 @@ class CorpusTokenizer:
         }
         wordwise = not bytewise and spec["model"].get("end_of_word_suffix") == "</w>"
         self._chunks = self._blank_chunks if bytewise else self._word_chunks if wordwise else None
+        self._lowers = "Lowercase" in json.dumps(spec.get("normalizer"))
         self._encode_new = self._new_blank_chunks if bytewise else self._new_words
         self._known: dict[str, bytes] = {}
         self._separator = self.whole("\n" if bytewise else _MARK) if self._chunks else b""
@@ -108,7 +116,10 @@ class CorpusTokenizer:
         return out
 
     def _word_chunks(self, text: str) -> list[str] | None:
-        return None if _RARE_SPACE.search(text) else text.split()
+        if _RARE_SPACE.search(text):
+            return None
+        # The library lower-cases in any case; doing it here lets both spellings share an entry.
+        return text.lower().split() if self._lowers and text.isascii() else text.split()
 
     def _new_words(self, chunks: list[str]) -> dict[str, bytes]:
         return dict(zip(chunks, self._joined(chunks, f" {_MARK} "), strict=True))
