@@ -134,25 +134,32 @@ def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
 _RESULTS = ("evidence", "site_rate", "quality_score", "keep")
 
 
-def judge(model: QualityModel, docs: DataFrame, least: float = 0.5) -> DataFrame:
+def judge(model: QualityModel, docs: DataFrame, least: float = 0.5, keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``evidence``, ``site_rate``, ``quality_score`` (posterior, 0 to 1) and ``keep``.
 
     Needs text, source and lang. Null texts count as empty, null sources and languages as the empty
     host and path; a site that was not fitted has the base rate. Columns of these names are replaced, others
-    pass through; rows are judged one by one, so repeats and null ids need no care. Text joins
-    only the table of sites, whose host and path keys Spark can split if one is hot.
+    pass through (``keep`` selects some); rows are judged one by one, so repeats and null ids need
+    no care. The evidence is written to the shared folder with them, so that texts are measured
+    once however often it is used. They join only the table of sites, whose host and path keys
+    Spark can split if one is hot.
     """
     docs = without(docs, *_RESULTS)
+    columns = keep or docs.columns
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    placed = docs.withColumns({
-        "__host": host_of(F.col("source")), "__path": path_of(F.col("source"), F.col("lang")), "evidence": model.evidence(text),
-    })
+    placed = stage(
+        docs.select(
+            *[F.col(f"`{c}`") for c in columns], host_of(F.col("source")).alias("__host"),
+            path_of(F.col("source"), F.col("lang")).alias("__path"), model.evidence(text).alias("evidence"),
+        ),
+        "evidence",
+    )
     sites = model.paths.select(F.col("host").alias("__host"), F.col("path").alias("__path"), F.col("rate").alias("site_rate"))
     joined = placed.join(sites, ["__host", "__path"], "left").withColumn("site_rate", F.coalesce("site_rate", F.lit(model.base)))
     bounded = F.least(F.greatest("site_rate", F.lit(1e-6)), F.lit(1 - 1e-6))
     score = 1 / (1 + F.exp(-(F.col("evidence") + F.log(bounded / (1 - bounded)))))
     return joined.withColumn("quality_score", score).withColumn("keep", score >= least).select(
-        *[F.col(f"`{c}`") for c in docs.columns], "evidence", "site_rate", "quality_score", "keep"
+        *[F.col(f"`{c}`") for c in columns], "evidence", "site_rate", "quality_score", "keep"
     )
 
 

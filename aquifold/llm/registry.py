@@ -23,7 +23,7 @@ from aquifold.session import stage
 
 def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    judged = quality.judge(quality.fit(docs, table(spark, folder, "labels")), docs)
+    judged = quality.judge(quality.fit(docs, table(spark, folder, "labels")), docs, keep=["doc_id"])
     return judged.select("doc_id", "evidence", "site_rate", "quality_score", "keep")
 
 
