@@ -299,7 +299,7 @@ def span_text(spans: str) -> Column:
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """``text`` with each span replaced by its kind in brackets; of overlapping spans the first counts."""
+    """``text`` with each span replaced by its kind in brackets; overlapping spans go as one, by the kind of the first."""
     by_start = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -307,7 +307,8 @@ def redacted(text: Column, spans: Column) -> Column:
         more = F.concat(
             state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]")
         )
-        return F.when(s["start"] >= state["at"], F.struct(s["end"].alias("at"), more.alias("out"))).otherwise(state)
+        longer = F.struct(F.greatest(s["end"], state["at"]).alias("at"), state["out"].alias("out"))
+        return F.when(s["start"] >= state["at"], F.struct(s["end"].alias("at"), more.alias("out"))).otherwise(longer)
 
     rest = F.aggregate(by_start, begin, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
     return F.when(F.size(spans) > 0, rest).otherwise(text)

@@ -300,3 +300,14 @@ def test_learned_spans_add_secrets_and_leave_numbers(spark):
     assert out[40].text == "mail [EMAIL] or [IP]"
     assert out[100].text == texts[100]
     assert personal_data.find_personal_data(docs.limit(0)).count() == 0
+
+
+def test_overlapping_spans_leave_no_tail_in_clear_text(spark):
+    texts = [
+        "at 1.2.3.4.john.smith@x.com.", "call +1 555-1234567.jane@x.com now", "4111111111111111@host.example", "two a@b.c d@e.f",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in personal_data.find_personal_data(docs).collect()}
+    assert {s.kind for s in found[0].spans} >= {"ip", "email"} and {s.kind for s in found[1].spans} >= {"phone", "email"}
+    got = {r.doc_id: r.text for r in personal_data.redact(docs).collect()}
+    assert got[0] == "at [IP]." and got[1] == "call [PHONE] now" and "host" not in got[2] and got[3] == "two [EMAIL] [EMAIL]"
