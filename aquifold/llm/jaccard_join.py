@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aquifold.llm.common import slices, texts_of
+from aquifold.llm.common import append_columns, slices, texts_of
 from aquifold.llm.components import components
 from aquifold.llm.decontaminate import words_of
 from aquifold.session import stage
@@ -296,6 +296,11 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8, words: int = 5, r
     and rows with null doc_id link to nothing; the latter have null ids. Rows that repeat a
     doc_id count as copies of one another when their texts agree; results then repeat per row.
     """
+    return _similar(docs, threshold, words, recall).select("doc_id", "copy_id", "class_id", "n_links")
+
+
+def _similar(docs: DataFrame, threshold: float, words: int, recall: float = 0.98) -> DataFrame:
+    """Rows of ``similar_documents`` with ``key``, the class of the row (null if it links to nothing), and ``lead``, that of its group."""
     docs = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     signed = stage(_signed(docs, words), "signatures")
     classes = stage(
@@ -314,9 +319,13 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8, words: int = 5, r
     groups = components(verified.select(F.col("key").alias("a"), F.col("other").alias("b")))
     links = verified.groupBy("key").agg(F.sum("weight").alias("weight"))
     grouped = groups.withColumnRenamed("node", "key").join(classes.select("key", "copy_id"), "key")
-    named = grouped.join(grouped.groupBy("root").agg(F.min("copy_id").alias("class_id")), "root").join(links, "key", "left")
-    table = classes.select("key", "copy_id", "copies").join(named.select("key", "class_id", "weight"), "key", "left").select(
-        "key", "copy_id", F.coalesce("class_id", "copy_id").alias("class_id"),
+    # Two classes of one doc_id may share copy_id; the key decides between them.
+    leads = grouped.groupBy("root").agg(F.min(F.struct("copy_id", "key")).alias("first")).select(
+        "root", F.col("first.copy_id").alias("class_id"), F.col("first.key").alias("lead")
+    )
+    named = grouped.join(leads, "root").join(links, "key", "left")
+    table = classes.select("key", "copy_id", "copies").join(named.select("key", "class_id", "lead", "weight"), "key", "left").select(
+        "key", "copy_id", F.coalesce("class_id", "copy_id").alias("class_id"), F.coalesce("lead", "key").alias("lead"),
         (F.col("copies") - 1 + F.coalesce("weight", F.lit(0))).alias("n_links"),
     )
     known = F.col("doc_id").isNotNull()
@@ -324,7 +333,7 @@ def similar_documents(docs: DataFrame, threshold: float = 0.8, words: int = 5, r
         signed.select("doc_id", F.when(known & (F.col("n") > 0), F.col("key")).alias("key")).join(table, "key", "left")
         .select(
             "doc_id", F.coalesce("copy_id", "doc_id").alias("copy_id"), F.coalesce("class_id", "doc_id").alias("class_id"),
-            F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+            F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), "key", "lead",
         )
     )
 
@@ -392,14 +401,42 @@ def _sets_of(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
     return sets.join(named, "key").dropDuplicates(["key"])
 
 
+def _with_keys(docs: DataFrame, words: int) -> DataFrame:
+    """``docs`` with ``__key``: the class of the text, or the text itself (after a sign) if it has no words; empty for null."""
+
+    def make():
+        import xxhash
+
+        hashes = _WordHashes()
+
+        def work(batch: pa.RecordBatch) -> list:
+            given, texts, keys = batch.column("text").to_pylist(), texts_of(batch), []
+            for a, b in slices(texts):
+                for text, shingles in zip(given[a:b], shingle_sets(texts[a:b], words, hashes), strict=True):
+                    plain = b"" if text is None else b"-" + text.encode()
+                    keys.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else plain)
+            return [pa.array(keys, pa.binary())]
+
+        return work
+
+    return append_columns(docs, "__key binary", make)
+
+
 def keep_one_of_each(docs: DataFrame, threshold: float = 0.8, words: int = 5) -> DataFrame:
     """One document of each group: the one whose doc_id is the group's smallest.
 
-    Of rows that repeat doc_id and text one stays; rows with null doc_id and texts without words all stay.
+    Rows are told apart by doc_id and shingle set, so that of a doc_id with several texts each is decided
+    by its own group; of rows that agree in both, the one with the smallest text stays. Rows with null
+    doc_id all stay, as do texts without words, but for repeats of doc_id and text.
     """
-    found = stage(similar_documents(docs, threshold, words), "similar")
-    gone = found.filter("class_id <> doc_id").select("doc_id").distinct()
+    own = F.col("key").isNull() | ((F.col("key") == F.col("lead")) & (F.col("doc_id") == F.col("copy_id")))
+    found = stage(_similar(docs, threshold, words).select("doc_id", "key", own.alias("kept")), "similar")
+    gone = found.filter("not kept").select("doc_id", F.col("key").alias("__key")).distinct()
     repeated = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    single = docs.join(gone.union(repeated).distinct(), "doc_id", "left_anti")
-    several = docs.join(repeated.join(gone, "doc_id", "left_anti"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return single.unionByName(several).select(*[F.col(f"`{c}`") for c in docs.columns])
+    single = docs.join(gone.select("doc_id").union(repeated).distinct(), "doc_id", "left_anti")
+    several = _with_keys(docs.join(repeated, "doc_id", "left_semi"), words).join(gone, ["doc_id", "__key"], "left_anti")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    # min_by would pass over rows of null text.
+    one = several.groupBy("doc_id", "__key").agg(F.min_by(row, F.coalesce(F.col("text"), F.lit(""))).alias("__row")).select("__row.*")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return single.select(*columns).unionByName(one)

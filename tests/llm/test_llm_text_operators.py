@@ -246,6 +246,25 @@ def test_similar_documents_against_brute_force(spark, monkeypatch):
     assert jaccard_join.similar_documents(docs.limit(0)).count() == 0
 
 
+def test_repeated_ids_are_decided_text_by_text(spark):
+    def text(name, changed=0):
+        return " ".join(f"{name}{'x' if i < changed else ''}{i}" for i in range(80))
+
+    rows = [
+        (1, text("a")), (2, text("a")), (2, text("b")), (3, text("c")), (3, text("c", 1)), (4, text("d")), (4, text("d").upper()),
+        (4, text("d")), (5, text("c", 2)), (6, text("e")), (6, text("f")), (7, text("f", 1)), (8, "!"), (8, "!"), (8, None), (8, None), (8, ""),
+        (None, text("a")), (None, text("a")),
+    ]
+    docs = spark.createDataFrame([(*r, "mine") for r in rows], "doc_id long, text string, key string")
+    kept = jaccard_join.keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, r.text, r.key) for r in kept.collect()), key=str)
+    third = [g[1] for g in got if g[0] == 3]
+    assert len(third) == 1 and third[0] in (text("c"), text("c", 1))
+    want = [(1, text("a")), (2, text("b")), (3, third[0]), (4, text("d").upper()), (6, text("e")), (6, text("f")), (8, "!"), (8, None), (8, "")]
+    assert got == sorted(((*r, "mine") for r in want + [(None, text("a"))] * 2), key=str)
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(160, 130), (7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
