@@ -3,8 +3,10 @@
 Texts are lower-cased, everything but letters becomes a single blank, and the four characters
 up to each position form a 64-bit gram (16 bits a character, those beyond folded). Spark counts
 the grams of each language; lower orders use the number of distinct grams that end in them. A model
-keeps, per order, one sorted array of gram hashes with a row of values for all languages. A text
-goes to the language of lowest cross-entropy per character.
+is a table in the shared folder, one row per order and gram with an entry for each language, so it
+grows with the corpus and is never held as a whole. Texts are scored in chunks: the distinct grams of
+each are joined with the model, order by order, and come back to the chunk. A text goes to the
+language of lowest cross-entropy per character.
 """
 
 from __future__ import annotations
@@ -14,15 +16,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aquifold.llm.common import append_columns, extended, slices, texts_of, without
+from aquifold.llm.common import extended, slices, texts_of, without
 from aquifold.session import stage
 
 ORDER = 4
-#: Hash space of one order; it bounds a model at 2**22 rows per order, whatever the corpus.
-HASH_BITS = 22
+#: Characters of the texts that look up their grams together; a longer text is a chunk of its own.
+CHUNK_CHARS = 8_000_000
 _KEEP = np.uint64((1 << 16) - 1)
 
 
@@ -71,58 +74,64 @@ def grams_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return grams, starts, letters
 
 
-def _slot(grams: np.ndarray) -> np.ndarray:
-    x = grams.astype(np.uint64)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return (x >> np.uint64(64 - HASH_BITS)).astype(np.uint32)
-
-
 @dataclass
 class LanguageModel:
-    """Per order n: sorted hashes; counts as predicted gram; total and distinct followers as context; per language a column."""
+    """Rows (size, gram, counts, totals, followers): count as predicted gram, total and distinct followers as context, an entry per language."""
 
     languages: list[str]
-    slots: dict[int, np.ndarray]
-    counts: dict[int, np.ndarray]
-    totals: dict[int, np.ndarray]
-    followers: dict[int, np.ndarray]
+    table: DataFrame
 
     def prepare(self) -> None:
-        self._discount = {}
-        for n in range(1, ORDER + 1):
-            ones, twos = (self.counts[n] == 1).sum(axis=0), (self.counts[n] == 2).sum(axis=0)
-            self._discount[n] = np.where(ones > 0, ones / np.maximum(1, ones + 2 * twos), 0.5)
-        self._letters = max(1, len(self.slots[1])) + 1
-        self._first = self.counts[1].sum(axis=0), (self.counts[1] > 0).sum(axis=0)
-
-    def _rows(self, n: int, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        wanted = _slot(grams)
-        at = np.searchsorted(self.slots[n], wanted)
-        at[at == len(self.slots[n])] = 0
-        return at, self.slots[n][at] == wanted if len(self.slots[n]) else np.zeros(len(grams), bool)
+        """Discount of each order and language, and what the first order needs of the whole."""
+        width = len(self.languages)
+        rows = self.table.select("size", F.posexplode("counts").alias("lang", "n")).groupBy("size", "lang").agg(
+            *[F.count_if(F.col("n") == k).alias(name) for k, name in ((1, "ones"), (2, "twos"))],
+            F.sum("n").alias("total"), F.count_if(F.col("n") > 0).alias("types"), F.count("*").alias("rows"),
+        ).collect()
+        self._discount = {n: [0.5] * width for n in range(1, ORDER + 1)}
+        self._first, self._letters = ([1] * width, [1] * width), 2
+        for r in rows:
+            if r.ones:
+                self._discount[r["size"]][r.lang] = r.ones / (r.ones + 2 * r.twos)
+            if r["size"] == 1:
+                self._first[0][r.lang], self._first[1][r.lang] = max(1, r.total), max(1, r.types)
+                self._letters = max(1, r.rows) + 1
+
+    def chances(self, grams: DataFrame, n: int = ORDER) -> DataFrame:
+        """(gram, chance) of distinct grams of n characters: that of the last character given those before, in each language."""
+
+        def fixed(values: list, kind: str) -> Column:
+            return F.array(*[F.lit(v) for v in values]).cast(f"array<{kind}>")
+
+        width = len(self.languages)
+        rows = grams.join(self.table.filter(F.col("size") == n).select("gram", "counts"), "gram", "left")
+        if n == 1:
+            rows = rows.withColumns({
+                "totals": fixed(self._first[0], "bigint"), "followers": fixed(self._first[1], "bigint"),
+                "lower": fixed([1.0 / self._letters] * width, "double"),
+            })
+        else:
+            mask = F.lit((1 << 16 * (n - 1)) - 1)
+            contexts = self.table.filter(F.col("size") == n - 1).select(F.col("gram").alias("context"), "totals", "followers")
+            shorter = self.chances(grams.select(F.col("gram").bitwiseAND(mask).alias("gram")).distinct(), n - 1)
+            rows = rows.withColumns({"context": F.shiftrightunsigned("gram", 16), "shorter": F.col("gram").bitwiseAND(mask)})
+            rows = rows.join(contexts, "context", "left").join(shorter.toDF("shorter", "lower"), "shorter")
+        discount = fixed(self._discount[n], "double")
+
+        def chance(lower: Column, i: Column) -> Column:
+            count, total = F.coalesce(F.get("counts", i), F.lit(0)), F.get("totals", i)
+            spare = F.get(discount, i) * F.get("followers", i)
+            value = (F.greatest(count - F.get(discount, i), F.lit(0.0)) + spare * lower) / total
+            return F.when(total > 0, value).otherwise(lower)
+
+        return rows.select("gram", F.transform("lower", chance).alias("chance"))
 
     def log_probability(self, grams: np.ndarray) -> np.ndarray:
-        """Natural logarithm of each gram's last character given those before, one column per language."""
-        total, types = (np.maximum(1, x) for x in self._first)
-        chance = np.full((len(grams), len(self.languages)), 1.0 / self._letters)
-        for n in range(1, ORDER + 1):
-            mask = np.uint64((1 << 16 * n) - 1) if n < 4 else np.uint64(0xFFFFFFFFFFFFFFFF)
-            own = grams & mask
-            at, found = self._rows(n, own)
-            count = np.where(found[:, None], self.counts[n][at], 0)
-            if n == 1:
-                context_total, context_types = total[None], types[None]
-            else:
-                at, found = self._rows(n - 1, own >> np.uint64(16))
-                context_total = np.where(found[:, None], self.totals[n - 1][at], 0)
-                context_types = np.where(found[:, None], self.followers[n - 1][at], 0)
-            seen = context_total > 0
-            with np.errstate(divide="ignore", invalid="ignore"):
-                kept = np.maximum(count - self._discount[n], 0) / context_total
-                spare = self._discount[n] * context_types / context_total
-            chance = np.where(seen, kept + spare * chance, chance)
-        return np.log(chance)
+        """Natural logarithm of each gram's last character given those before, one column per language. For a few grams."""
+        distinct, inverse = np.unique(grams, return_inverse=True)
+        wanted = self.table.sparkSession.createDataFrame(pa.table({"gram": distinct.view(np.int64)}))
+        found = {r.gram: r.chance for r in self.chances(wanted).collect()}
+        return np.log(np.array([found[g] for g in distinct.view(np.int64).tolist()]))[inverse]
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
@@ -185,65 +194,98 @@ def _as_predicted_and_context(grams: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame) -> LanguageModel:
-    """Model of the documents' text and non-null lang. The driver gets one row per language, order and hash at most."""
-    rows = _as_predicted_and_context(stage(count_grams(docs), "grams"))
+    """Model of the documents' text and non-null lang. Only the languages' names reach the driver."""
+    grams = stage(count_grams(docs), "grams")
+    languages = sorted(r.lang for r in grams.select("lang").distinct().collect())
+    names = F.array(*[F.lit(x) for x in languages]).cast("array<string>")
+    value = F.struct("n", "total", "followers")
+    summed = _as_predicted_and_context(grams).groupBy("size", "gram", "lang").agg(
+        *[F.sum(c).alias(c) for c in ("n", "total", "followers")]
+    )
+    by_lang = summed.groupBy("size", "gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", value))).alias("held"))
 
-    def make():
-        return lambda batch: [pa.array(_slot(batch.column("gram").to_numpy().view(np.uint64)).astype(np.int64))]
+    def of(field: str) -> Column:
+        return F.transform(names, lambda lang: F.coalesce(F.try_element_at("held", lang)[field], F.lit(0)))
 
-    hashed = append_columns(rows, "slot bigint", make)
-    table = hashed.groupBy("lang", "size", "slot").agg(
-        *[F.sum(c).alias(c) for c in ("n", "total", "followers")]
-    ).toArrow().combine_chunks()
-    languages = sorted(set(table.column("lang").to_pylist()))
-    index = {lang: i for i, lang in enumerate(languages)}
-    which = np.fromiter((index[x] for x in table.column("lang").to_pylist()), np.int64, table.num_rows)
-    size, slot = table.column("size").to_numpy(), table.column("slot").to_numpy()
-    model = LanguageModel(languages, {}, {}, {}, {})
-    for n in range(1, ORDER + 1):
-        mine = size == n
-        model.slots[n], row = np.unique(slot[mine].astype(np.uint32), return_inverse=True)
-        for name, target in (("n", model.counts), ("total", model.totals), ("followers", model.followers)):
-            values = np.zeros((len(model.slots[n]), len(languages)), np.float32)
-            values[row, which[mine]] = table.column(name).to_numpy()[mine]
-            target[n] = values
-    return model
+    table = by_lang.select("size", "gram", of("n").alias("counts"), of("total").alias("totals"), of("followers").alias("followers"))
+    return LanguageModel(languages, stage(table, "model"))
+
+
+def _chunks(docs: DataFrame) -> DataFrame:
+    """(chunk, docs, grams): rows of ``docs`` as a compressed Arrow stream, with the distinct grams of their texts."""
+
+    def packed(chunk: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        texts = [t or "" for t in rows.column("text").to_pylist()]
+        grams = np.unique(np.concatenate([np.unique(grams_of(texts[a:b])[0]) for a, b in slices(texts)]))
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            writer.write_table(rows)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([chunk], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+                pa.ListArray.from_arrays(pa.array([0, len(grams)], pa.int32()), pa.array(grams.view(np.int64))),
+            ],
+            names=["chunk", "docs", "grams"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, held, size = TaskContext.get().partitionId() << 32, [], 0
+        for batch in batches:
+            start = 0
+            for i, text in enumerate(texts_of(batch)):
+                size += len(text) + 64  # rows without text end a chunk as well
+                if size >= CHUNK_CHARS:
+                    yield packed(chunk, [*held, batch.slice(start, i + 1 - start)])
+                    chunk, held, size, start = chunk + 1, [], 0, i + 1
+            if start < batch.num_rows:
+                held.append(batch.slice(start))
+        if held:
+            yield packed(chunk, held)
+
+    return docs.mapInArrow(run, "chunk bigint, docs binary, grams array<bigint>")
 
 
 def cross_entropies(model: LanguageModel, docs: DataFrame) -> DataFrame:
     """``docs`` without ``text``, with ``letters`` (number) and ``entropies`` (nats per character, in the model's order)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     docs = without(docs, "letters", "entropies")
     rest = [c for c in docs.columns if c != "text"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+    width = len(model.languages)
+    chunks = stage(_chunks(docs), "chunks")
+    wanted = chunks.select("chunk", F.explode("grams").alias("gram"))
+    if width:
         model.prepare()
-        width = len(model.languages)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            texts, letters, values = texts_of(batch), [], []
+        priced = model.chances(stage(wanted.select("gram").distinct(), "wanted"))
+        logs = priced.select("gram", F.transform("chance", lambda p: F.log(p).cast("float")).alias("logs"))
+        known = wanted.join(logs, "gram").select("chunk", "gram", "logs")
+    else:
+        known = wanted.limit(0).withColumn("logs", F.array().cast("array<float>"))
+
+    def score(chunk: pa.Table, known: pa.Table) -> pa.Table:
+        grams = known.column("gram").to_numpy().view(np.uint64)
+        order = np.argsort(grams)
+        grams = grams[order]
+        logs = known.column("logs").combine_chunks().flatten().to_numpy().reshape(len(grams), width)[order]
+        out = []
+        for rows in chunk.column("docs"):
+            rows = pa.ipc.open_stream(rows.as_buffer()).read_all()
+            texts, letters, values = [t or "" for t in rows.column("text").to_pylist()], [], []
             for a, b in slices(texts):
-                grams, starts, found = grams_of(texts[a:b])
-                distinct, inverse = np.unique(grams, return_inverse=True)
-                logs = model.log_probability(distinct)
+                own, starts, found = grams_of(texts[a:b])
                 letters.append(found)
+                at = np.searchsorted(grams, own)
                 sums = np.stack([
-                    np.diff(np.concatenate([[0.0], np.cumsum(logs[inverse, k])])[starts]) for k in range(width)
+                    np.diff(np.concatenate([[0.0], np.cumsum(logs[at, k], dtype=np.float64)])[starts]) for k in range(width)
                 ], axis=1) if width else np.zeros((b - a, 0))
                 values.append(-sums / np.maximum(1, np.diff(starts))[:, None])
-            flat = np.concatenate(values).ravel()
-            offsets = np.arange(0, batch.num_rows * width + 1, width or 1, dtype=np.int32)[: batch.num_rows + 1]
-            if not width:
-                offsets = np.zeros(batch.num_rows + 1, np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in rest), pa.array(np.concatenate(letters)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                names=[*rest, "letters", "entropies"],
-            )
+            offsets = np.arange(rows.num_rows + 1, dtype=np.int32) * np.int32(width)
+            entropies = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values).ravel()))
+            out.append(pa.table([*(rows.column(c) for c in rest), pa.array(np.concatenate(letters)), entropies], names=[*rest, "letters", "entropies"]))
+        return pa.concat_tables(out)
 
     schema = extended(docs.select(*[F.col(f"`{c}`") for c in rest]).schema, "letters bigint, entropies array<double>")
-    return docs.mapInArrow(run, schema)
+    texts = chunks.select(F.col("chunk").alias("of"), "docs")
+    return texts.groupBy("of").cogroup(known.groupBy("chunk")).applyInArrow(score, schema)
 
 
 def identify(

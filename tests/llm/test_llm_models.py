@@ -112,6 +112,58 @@ def test_probabilities_of_all_characters_sum_to_one(spark):
         assert known + spare * other == pytest.approx(np.ones(2), abs=1e-5)
 
 
+def plain_kneser_ney(texts):
+    """chance(context and character) as a function, from dictionaries keyed by strings."""
+    counts = {n: {} for n in range(1, 5)}
+    for text in texts:
+        padded = "\x00" * 3 + text
+        for i in range(len(text)):
+            counts[4][padded[i : i + 4]] = counts[4].get(padded[i : i + 4], 0) + 1
+    for n in (3, 2, 1):
+        for g in counts[n + 1]:
+            counts[n][g[1:]] = counts[n].get(g[1:], 0) + 1
+    totals, followers, discount = {}, {}, {}
+    for n, own in counts.items():
+        ones, twos = (sum(v == k for v in own.values()) for k in (1, 2))
+        discount[n] = ones / (ones + 2 * twos) if ones else 0.5
+        for g, v in own.items():
+            totals[n, g[:-1]] = totals.get((n, g[:-1]), 0) + v
+            followers[n, g[:-1]] = followers.get((n, g[:-1]), 0) + 1
+
+    def chance(gram, letters):
+        p = 1 / letters
+        for n in range(1, 5):
+            g, d = gram[-n:], discount[n]
+            total = totals.get((n, g[:-1]), 0)
+            if total:
+                p = (max(counts[n].get(g, 0) - d, 0) + d * followers[n, g[:-1]] * p) / total
+        return p
+
+    return chance, counts
+
+
+def test_models_of_many_distinct_grams_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(language, "CHUNK_CHARS", 20_000, raising=False)
+    rng = random.Random(6)
+    texts = [(g, "".join(chr(0x4E00 + rng.randrange(at, at + 2500)) for _ in range(1500))) for g, at in (("a", 0), ("b", 1200)) for _ in range(30)]
+    docs = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], "doc_id long, lang string, text string")
+    model = language.fit(docs)
+    model.prepare()
+    plain = [plain_kneser_ney([t for h, t in texts if h == g]) for g in "ab"]
+    letters = len({c for _, counts in plain for c in counts[1]} | {"\x00"}) + 1
+    assert model._letters == letters
+    wanted = [*plain[0][1][4], *(t[i : i + 4] for _, t in texts[30:33] for i in range(500))]
+    grams = np.array([sum(ord(c) << 16 * (3 - i) for i, c in enumerate(g)) for g in wanted], np.uint64)
+    want = np.log([[chance(g, letters) for chance, _ in plain] for g in wanted])
+    assert model.log_probability(grams) == pytest.approx(want, rel=1e-5)
+    rows = {r.doc_id: r for r in language.cross_entropies(model, docs).collect()}
+    assert len(rows) == len(texts) and {r.letters for r in rows.values()} == {1500}
+    for i in (0, 29, 30, 59):
+        padded = "\x00" * 3 + texts[i][1]
+        mean = [-np.mean([math.log(chance(padded[k : k + 4], letters)) for k in range(1500)]) for chance, _ in plain]
+        assert rows[i].entropies == pytest.approx(mean, rel=1e-5)
+
+
 def test_language_of_odd_rows_and_held_out_documents(spark):
     odd = [(10, None, "en"), (11, "", "en"), (12, "12 %% 34", None), (None, "the and of that", None), (13, "x" * 50_000, "en")]
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
