@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from aquifold.llm import quality, toxicity
+from aquifold.llm import limb_codes, merkle, mixing, oracles, quality, toxicity
 from aquifold.llm.chat import conversation_digest, format_windows
 from aquifold.llm.common import table
 from aquifold.llm.decontaminate import find_contamination
@@ -89,9 +89,31 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_documents(network, rows).select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_limb_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = limb_codes.compress(table(spark, folder, "embeddings").select("vec_id", "embedding", "label"))
+    return coded.select(
+        "vec_id", limb_codes.code_text().alias("code"), "error", F.col("group_error").alias("label_error"),
+        F.lit(books.digest() if books else None).alias("codebooks_sha256"),
+    )
+
+
+def op12_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source", "text")
+    mixed = mixing.mix(docs, mixing.cyclic_weights(docs, [5, 2, 1]))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    rows = merkle.manifest(
+        table(spark, folder, "documents"), changed={"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1},
+        is_changed=F.crc32(F.col("doc_id").cast("string")) % 7 == 0,
+    )
+    return rows.select("doc_id", "leaf", "subroot", "root", F.col("proof").alias("proof_sha256"), "folded_root", "verified")
+
+
 _QUERIES = [
     op1_quality, op2_chat_windows, op3_prefix_forest, op4_token_files, op5_language, op6_packing, op7_decontaminate, op8_jaccard_join, op9_personal_data,
-    op10_toxicity,
+    op10_toxicity, op11_limb_codes, op12_mixing, op13_merkle,
 ]
 
 
@@ -100,4 +122,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return oracles.oracle_sql() | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
