@@ -7,7 +7,7 @@ to a shuffle join when the fleet outgrows it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aquifold.functions import as_double
@@ -32,6 +32,14 @@ def area_rainfall(rainfall: DataFrame) -> DataFrame:
     )
 
 
+def area_rain_summary(rainfall: DataFrame) -> DataFrame:
+    """Mean trusted rainfall per area and day and how many trusted rows it comes from, days with none included."""
+    trusted = F.col("data_quality_flag") != "suspect"
+    return rainfall.groupBy("management_area", "obs_date").agg(
+        _mean_rain(F.when(trusted, F.col("rainfall_mm"))), F.count_if(trusted).alias("stations")
+    )
+
+
 def area_rainfall_unfiltered(rainfall: DataFrame) -> DataFrame:
     """Mean rainfall per area and day, suspect rows included.
 
@@ -51,8 +59,8 @@ def readings_with_well(readings: DataFrame, wells: DataFrame) -> DataFrame:
     return readings.join(wells.select("well_id", "coastal_flag", "management_area"), "well_id", "left")
 
 
-def _mean_rain():
+def _mean_rain(amount: Column | None = None) -> Column:
     # Decimal sums do not depend on the order in which partial results merge, and a
     # sum of the stored type still fits a long, which keeps it fast.
-    amount = F.col("rainfall_mm").cast("decimal(7,2)")
+    amount = (F.col("rainfall_mm") if amount is None else amount).cast("decimal(7,2)")
     return (F.sum(amount).cast("double") / F.count(amount)).alias("rainfall_mm")

@@ -32,14 +32,17 @@ def rapid_level_change(
     warning_sigma: float = 2.0,
     critical_sigma: float = 3.0,
     min_observations: int = 10,
+    observations: DataFrame | None = None,
 ) -> DataFrame:
-    """Newest level far off the mean of the rows before it."""
+    """Newest level far off the mean of the rows before it.
+
+    ``observations`` (well_id, observations) counts each bore's levels where ``readings`` holds only the newest rows.
+    """
     level = as_double("water_level_mbgl")
     series = readings.select("well_id", "reading_date", level.alias("level"))
-    history = (
-        series.groupBy("well_id").agg(F.count("level").alias("observations"))
-        .filter(F.col("observations") >= min_observations)
-    )
+    if observations is None:
+        observations = series.groupBy("well_id").agg(F.count("level").alias("observations"))
+    history = observations.filter(F.col("observations") >= min_observations)
     newest = (
         series.withColumn("age", F.row_number().over(newest_first()))
         .filter(F.col("age") <= baseline_rows + 1)
@@ -131,23 +134,38 @@ def low_recharge_response(
         "rainfall_mm",
     )
     events = latest_rain_event(bores, rain, rain_rows, rain_threshold_mm)
+    responses = recharge_responses(readings, events, response_days)
+    return recharge_events(responses, rain_rows, rain_threshold_mm, response_days, min_rise_m)
+
 
+def recharge_responses(readings: DataFrame, events: DataFrame, response_days: int = 14) -> DataFrame:
+    """Per bore and rain event the level ``before`` it (the last up to its day) and the ``shallowest`` after it."""
     date, level = F.col("reading_date"), F.col("level")
     in_window = (date > F.col("event_date")) & (date <= F.date_add(F.col("event_date"), response_days))
-    responses = (
+    earlier = F.when(date <= F.col("event_date"), date)
+    return (
         readings.select("well_id", "reading_date", as_double("water_level_mbgl").alias("level"))
         .join(events, "well_id")
         .filter(date <= F.date_add(F.col("event_date"), response_days))
         .groupBy("well_id", "event_date")
         .agg(
-            F.max_by(level, F.when(date <= F.col("event_date"), date)).alias("before"),
+            F.max(earlier).alias("before_date"),
+            F.max_by(level, earlier).alias("before"),
             F.min(F.when(in_window, level)).alias("shallowest"),
         )
-        # A missing side leaves the rise NULL: too little data to judge.
-        .withColumn("rise", snap(F.col("before") - F.col("shallowest")))
-        .filter(F.col("rise") < min_rise_m)
     )
-    return responses.select(
+
+
+def recharge_events(
+    responses: DataFrame,
+    rain_rows: int = 7,
+    rain_threshold_mm: float = 20.0,
+    response_days: int = 14,
+    min_rise_m: float = 0.10,
+) -> DataFrame:
+    """Events of the responses that rise too little; a missing side is too little data to judge."""
+    weak = responses.withColumn("rise", snap(F.col("before") - F.col("shallowest"))).filter(F.col("rise") < min_rise_m)
+    return weak.select(
         "well_id",
         "event_date",
         F.lit(LOW_RECHARGE).alias("anomaly_type"),
@@ -168,19 +186,21 @@ def salinity_intrusion(
     min_slope: float = 1.0,
     min_r2: float = 0.5,
     min_observations: int = 10,
+    observations: DataFrame | None = None,
 ) -> DataFrame:
-    """Sustained linear rise of dissolved solids over a bore's newest days."""
+    """Sustained linear rise of dissolved solids over a bore's newest days.
+
+    ``observations`` (well_id, observations) counts each bore's values where ``readings`` holds only the newest rows.
+    """
     series = readings.select(
         "well_id", "reading_date", as_double("tds_mg_per_l").alias("tds"), "coastal_flag"
     )
-    history = (
-        series.groupBy("well_id")
-        .agg(
-            F.count("tds").alias("observations"),
-            F.max_by("coastal_flag", "reading_date").alias("coastal_flag"),
-        )
-        .filter(F.col("observations") >= min_observations)
+    history = series.groupBy("well_id").agg(
+        F.count("tds").alias("observations"), F.max_by("coastal_flag", "reading_date").alias("coastal_flag")
     )
+    if observations is not None:
+        history = history.drop("observations").join(observations, "well_id")
+    history = history.filter(F.col("observations") >= min_observations)
     # The window spans window_days + 1 calendar days, so it lies within that many
     # distinct dates; dense_rank keeps every row of those dates.
     newest = (

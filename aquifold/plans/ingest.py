@@ -29,10 +29,7 @@ Site = tuple[str, str, str]
 
 
 def load(table: KeyedTable, rows: DataFrame) -> int:
-    """Upsert; of several deliveries of a key the last to arrive wins."""
-    if "arrived_at" in rows.columns:
-        return table.upsert_latest(rows, "arrived_at")
-    return table.upsert(rows)
+    return table.load(rows)
 
 
 def load_wells(table: KeyedTable, wells: DataFrame) -> int:

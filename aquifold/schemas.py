@@ -95,6 +95,21 @@ TAG_EVENTS = _struct(
     ("event_id", _LONG), ("ts", _TS), ("browse_name", _STR), ("tag_name", _STR), ("value", _STR),
 )
 
+# Summaries kept beside the readings and the rain, for detection.
+READING_MONTHS = _struct(
+    ("well_id", _INT), ("month", _DATE), ("rows", _LONG), ("levels", _LONG), ("salts", _LONG),
+    ("last_date", _DATE), ("last_level", _DBL),
+)
+
+AREA_RAIN = _struct(("management_area", _STR), ("obs_date", _DATE), ("rainfall_mm", _DBL), ("stations", _LONG))
+
+NEWEST_ROWS = T.ArrayType(_struct(("reading_date", _DATE), ("water_level_mbgl", _DBL), ("tds_mg_per_l", _DBL)))
+
+BORE_SUMMARIES = _struct(
+    ("well_id", _INT), ("rows", _LONG), ("levels", _LONG), ("salts", _LONG), ("newest", NEWEST_ROWS),
+    ("event_date", _DATE), ("before", _DBL), ("shallowest", _DBL),
+)
+
 TABLES: dict[str, T.StructType] = {
     "wells": WELLS, "readings": READINGS, "rainfall": RAINFALL, "surface": SURFACE,
     "events": EVENTS, "licences": LICENCES, "extraction": EXTRACTION, "snapshots": SNAPSHOTS,

@@ -70,7 +70,6 @@ class Staging:
     def __init__(self, spark: SparkSession) -> None:
         self._spark = spark
         self.folder = new_folder(spark, "job")
-        self._tables: list[str] = []
 
     def __enter__(self) -> Staging:
         return self
@@ -78,53 +77,17 @@ class Staging:
     def __exit__(self, *_: object) -> None:
         self.close()
 
-    def write(self, df: DataFrame, label: str, cluster_by: str | None = None, sort_by: str | None = None) -> DataFrame:
-        """Write ``df`` once and return a scan of it.
-
-        With ``cluster_by`` the table is bucketed on that key, with as many buckets
-        as shuffle partitions, so later windows, aggregates and joins on the key
-        need no further exchange. Such a frame must already be placed by
-        ``placed_by`` (so that each task holds few buckets).
-        """
+    def write(self, df: DataFrame, label: str) -> DataFrame:
+        """Write ``df`` once and return a scan of it."""
         path = f"{self.folder}/{label}-{uuid.uuid4().hex}"
-        if cluster_by is None:
-            df.write.parquet(path)
-            return self._spark.read.schema(df.schema).parquet(path)
-        table = f"aquifold_{label}_{uuid.uuid4().hex[:12]}"
-        (
-            df.write.bucketBy(_buckets(self._spark), cluster_by)
-            .sortBy(*[c for c in (cluster_by, sort_by) if c])
-            .option("path", path).format("parquet").saveAsTable(table)
-        )
-        self._tables.append(table)
-        return self._spark.table(table)
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:
-        for table in self._tables:
-            self._spark.sql(f"DROP TABLE IF EXISTS {table}")
-        self._tables.clear()
         path = self._spark._jvm.org.apache.hadoop.fs.Path(self.folder)
         path.getFileSystem(self._spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def _buckets(spark: SparkSession) -> int:
-    """As many buckets as shuffle partitions, up to the number Spark allows."""
-    return min(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")),
-    )
-
-
-def placed_by(df: DataFrame, key: str) -> DataFrame:
-    """``df`` distributed as a table bucketed on ``key`` is.
-
-    Place a fact table before joining its dimensions: the joins on the key and
-    the bucketed write then share this one exchange.
-    """
-    return df.repartition(_buckets(df.sparkSession), key)
-
-
-def stage(df: DataFrame, label: str, cluster_by: str | None = None, sort_by: str | None = None) -> DataFrame:
+def stage(df: DataFrame, label: str) -> DataFrame:
     """Stage one table that stays until the shared folder is cleaned."""
-    return Staging(df.sparkSession).write(df, label, cluster_by, sort_by)
-
+    return Staging(df.sparkSession).write(df, label)

@@ -88,7 +88,7 @@ class KeyedTable:
     def _typed(self, source: DataFrame) -> DataFrame:
         return source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
 
-    def _months(self, df: DataFrame) -> set[str]:
+    def months_of(self, df: DataFrame) -> set[str]:
         """Months of a staged source: a bounded list, one entry per month."""
         return {r[0] for r in df.select(self._part.alias("part")).distinct().collect()}
 
@@ -104,7 +104,7 @@ class KeyedTable:
         """Replace rows with equal keys, add the others; returns the source's row count."""
         with Staging(self.spark) as staging:
             staged = staging.write(self._typed(source), "upsert")
-            merged = staging.write(merge(self.read(self._months(staged)), staged, self.keys), "merged")
+            merged = staging.write(merge(self.read(self.months_of(staged)), staged, self.keys), "merged")
             rows, most = merged.agg(F.coalesce(F.sum("_copies"), F.lit(0)), F.max("_copies")).first()
             if most and most > 1:
                 repeated = constraints.unique_violations(staged, self.keys).limit(3).collect()
@@ -113,6 +113,10 @@ class KeyedTable:
                 self._write(merged)
             return rows
 
+    def load(self, source: DataFrame) -> int:
+        """Upsert; of several deliveries of a key the last to arrive wins."""
+        return self.upsert_latest(source, "arrived_at") if "arrived_at" in source.columns else self.upsert(source)
+
     def upsert_latest(self, source: DataFrame, order: str) -> int:
         """Upsert a source that may hold a key several times: the highest ``order`` wins."""
         rest = [c for c in source.columns if c not in (*self.keys, order)]
@@ -129,13 +133,20 @@ class KeyedTable:
                 "candidates",
             )
             merged = staging.write(
-                merge(self.read(self._months(candidates)), candidates, self.keys, keep_old=True), "merged"
+                merge(self.read(self.months_of(candidates)), candidates, self.keys, keep_old=True), "merged"
             )
             rows = merged.agg(F.coalesce(F.sum("_inserted"), F.lit(0))).first()[0]
             if rows:
                 self._write(merged)
             return rows
 
+    def replace_months(self, source: DataFrame) -> None:
+        """Replace the months that ``source`` holds by its rows."""
+        with Staging(self.spark) as staging:
+            staged = staging.write(self._typed(source), "months")
+            if not staged.isEmpty():
+                self._write(staged)
+
     def overwrite(self, source: DataFrame) -> int:
         """Replace the whole table."""
         with Staging(self.spark) as staging:
@@ -226,7 +237,7 @@ def insert_new_events(table: KeyedTable, detected: DataFrame, detected_at: Colum
             detected.withColumn("place", F.row_number().over(first)).filter("place = 1").drop("place"), "events"
         )
         next_id = table.read().agg((F.coalesce(F.max("event_id"), F.lit(0)) + 1).alias("next_id")).scalar()
-        fresh = once.join(table.read(table._months(once)).select(*keys), keys, "left_anti")
+        fresh = once.join(table.read(table.months_of(once)).select(*keys), keys, "left_anti")
         return table.insert_new(
             number_rows(fresh, keys, next_id, "event_id")
             .withColumns({

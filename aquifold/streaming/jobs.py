@@ -17,6 +17,7 @@ from aquifold.plans import detection
 from aquifold.plans.ingest import load
 from aquifold.sources import landed
 from aquifold.sources.store import KeyedTable
+from aquifold.sources.summaries import SummarisedStore
 from aquifold.streaming import tags as tag_ops
 
 
@@ -111,13 +112,13 @@ def start_alerts(
 
 
 def start_detection(
-    reading_stream: DataFrame, readings: KeyedTable, wells: DataFrame, rainfall: KeyedTable, events: KeyedTable,
-    checkpoint: str, trigger: dict | None = None,
+    reading_stream: DataFrame, stored: SummarisedStore, wells: DataFrame, events: KeyedTable, checkpoint: str,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Load arriving readings, run the detectors and store what is new."""
+    """Load arriving readings, merge them into the bores' summaries, run the detectors and store what is new."""
     def apply(batch: DataFrame, _: int) -> None:
-        load(readings, batch)
-        detection.detect_and_store(readings.read(), wells, rainfall.read(), events)
+        stored.load_readings(batch)
+        detection.detect_and_store(stored, wells, events)
 
     return _start(reading_stream, apply, checkpoint, "append", trigger or {"availableNow": True})
 

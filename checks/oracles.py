@@ -750,8 +750,7 @@ ORACLES: dict[str, str] = {
         SELECT e.event_id, e.severity, CASE WHEN e.severity = 'CRITICAL' THEN 1 ELSE e.alert_sent END AS alert_sent,
                'CRITICAL groundwater alert: ' || a.anomaly_type || ' at ' || a.location_name AS subject
         FROM anomalies e LEFT JOIN alerts a ON a.event_id = e.event_id""",
-    "daily_detection_stream": """
-        SELECT well_id, CAST(event_date AS VARCHAR) AS event_date, anomaly_type, severity, threshold_value, actual_value FROM detected""",
+    "daily_detection_stream": f"{_EVENT_OUT} detected",
     "ingest_stream": f"""
         SELECT site_id, metric_name, count(*) AS "rows", {ts("max(reading_datetime)")} AS last_reading,
                max(metric_value) AS highest FROM surface GROUP BY 1, 2""",

@@ -17,6 +17,7 @@ from aquifold.plans import detection, ingest
 from aquifold.session import new_folder
 from aquifold.sources import landed, store
 from aquifold.sources.store import KeyedTable
+from aquifold.sources.summaries import SummarisedStore
 from aquifold.streaming import jobs, tags
 from checks.star_tables import StarTables, star_tables, tag_events_of
 
@@ -324,11 +325,16 @@ def run_all_detectors(t: StarTables) -> DataFrame:
 
 @query
 def detect_and_store(t: StarTables) -> DataFrame:
-    """Detection run twice: what each run found and stored."""
-    table = KeyedTable.named(t.spark, new_folder(t.spark, "tables"), "events")
-    runs = [detection.detect_and_store(t.readings, t.wells, t.rainfall, table, t.now) for _ in range(2)]
-    stored = table.read().agg(F.count(F.lit(1)).alias("stored"), F.countDistinct("event_id").alias("ids"))
-    return stored.select(
+    """Readings loaded in two parts, detection run twice: what each run found and stored."""
+    folder = new_folder(t.spark, "detection")
+    table, stored = KeyedTable.named(t.spark, folder, "events"), SummarisedStore(t.spark, folder)
+    stored.load_rainfall(t.rainfall)
+    early = F.col("reading_date") < F.date_sub(t.as_of, 200)
+    stored.load_readings(t.readings.filter(early))
+    stored.load_readings(t.readings.filter(~early))
+    runs = [detection.detect_and_store(stored, t.wells, table, t.now) for _ in range(2)]
+    found = table.read().agg(F.count(F.lit(1)).alias("stored"), F.countDistinct("event_id").alias("ids"))
+    return found.select(
         F.lit(runs[0].detected).alias("detected"), F.lit(runs[0].inserted).alias("first_inserted"),
         F.lit(runs[1].inserted).alias("second_inserted"), "stored", "ids",
     )
@@ -796,13 +802,11 @@ def daily_detection_stream(t: StarTables) -> DataFrame:
     folder = new_folder(t.spark, "detection")
     source = f"{folder}/source"
     t.readings.write.parquet(source)
-    readings = KeyedTable.named(t.spark, folder, "readings")
-    rainfall = KeyedTable.named(t.spark, folder, "rainfall")
-    events = KeyedTable.named(t.spark, folder, "events")
-    rainfall.upsert(t.rainfall)
+    stored, events = SummarisedStore(t.spark, folder), KeyedTable.named(t.spark, folder, "events")
+    stored.load_rainfall(t.rainfall)
     stream = jobs.file_stream(t.spark, source, t.readings.schema)
-    jobs.start_detection(stream, readings, t.wells, rainfall, events, f"{folder}/checkpoint").awaitTermination()
-    return events.read().select(*[c for c in schemas.names(schemas.DETECTED_EVENTS) if c != "detail"])
+    jobs.start_detection(stream, stored, t.wells, events, f"{folder}/checkpoint").awaitTermination()
+    return events.read().select(*schemas.names(schemas.DETECTED_EVENTS))
 
 
 @query

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from aquifold.functions import as_double, latest_date
 from aquifold.operators import curated, features, forecast, risk
 from aquifold.plans import detection
-from aquifold.session import placed_by, stage
+from aquifold.session import stage
 
 # Share of the projected extraction that each region's allocation covers, by region key.
 PROJECTED_USE = {0: 1.08, 1: 0.88, 2: 0.64, 3: 1.02, 4: 0.95}
@@ -84,7 +84,7 @@ class StarTables:
                 "data_quality_flag", F.when(F.col("water_level_mbgl") > 48, "suspect").otherwise("measured")
             )
         )
-        return stage(placed_by(daily, "well_id"), "readings", "well_id", "reading_date")
+        return stage(daily, "readings")
 
     @cached_property
     def rainfall(self) -> DataFrame:

@@ -8,8 +8,9 @@ import pytest
 from conftest import day, ripple
 
 from aquifold.functions import latest_date
-from aquifold.operators import curated, detectors, fleet, risk
-from aquifold.session import Staging, placed_by, shared_folder
+from aquifold.operators import curated, detectors, risk, summaries
+from aquifold.plans import detection
+from aquifold.session import Staging, shared_folder
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +24,7 @@ def staged(spark):
         "management_area string, data_quality_flag string",
     )
     with Staging(spark) as staging:
-        yield staging.write(placed_by(readings, "well_id"), "plan_test", "well_id", "reading_date")
+        yield staging.write(readings, "plan_test")
 
 
 @pytest.fixture
@@ -44,23 +45,29 @@ def nodes(text: str) -> str:
     return text.split("\n\n\n")[0]
 
 
-@pytest.mark.parametrize(
-    "query", [detectors.rapid_level_change, detectors.salinity_intrusion, risk.trend_projection, fleet.latest_reading]
-)
-def test_per_bore_queries_exchange_nothing(staged, no_broadcast, query):
-    assert "Exchange" not in nodes(plan(query(staged)))
-
-
-def test_recharge_exchanges_only_bores_and_rain(spark, staged, no_broadcast):
+def test_detection_copies_no_readings(spark, staged, no_broadcast):
+    """Only summaries are staged: the readings are scanned in place, and a bore's newest rows are cut before the exchange."""
     rain = spark.createDataFrame(
-        [(f"area {a}", day(i), 9.0 * (i % 9 == 0)) for a in range(3) for i in range(120)],
-        "management_area string, obs_date date, rainfall_mm double",
+        [(f"area {a}", day(i), 9.0 * (i % 9 == 0), "measured") for a in range(3) for i in range(120)],
+        "management_area string, obs_date date, rainfall_mm double, data_quality_flag string",
     )
-    text = nodes(plan(detectors.low_recharge_response(staged, rain)))
+    wells = spark.createDataFrame([(w, w % 2, f"area {w % 3}") for w in range(20)], "well_id int, coastal_flag int, management_area string")
+    before = {t.name for t in spark.catalog.listTables()}
+    written = []
+
+    class Watched(Staging):
+        def write(self, df, label):
+            written.append(label)
+            return super().write(df, label)
+
+    with Watched(spark) as staging:
+        text = nodes(plan(detection.detect(staged.drop("coastal_flag", "management_area"), wells, rain, staging)))
+    assert written == ["summaries", "area_rain", "rain_events"]
     assert "CartesianProduct" not in text and "NestedLoop" not in text
-    # The readings' side of the join with the bores' events reaches it straight from the scan.
-    level_scan = re.search(r"SortMergeJoin Inner.*?\n((?:.*\n)*?).*Scan parquet", text)
-    assert level_scan and "Exchange" not in level_scan.group(1)
+    assert {t.name for t in spark.catalog.listTables()} == before
+    text = nodes(plan(summaries.newest_rows(summaries.trusted_rows(staged))))
+    final, exchange = text.index("WindowGroupLimit"), text.index("Exchange")
+    assert final < exchange < text.index("WindowGroupLimit", final + 1)
 
 
 def test_rank_limit_is_applied_before_the_exchange(spark, tmp_path, staged):
@@ -91,23 +98,12 @@ def test_quality_filter_and_pruning_reach_the_scan(spark, tmp_path, staged):
     assert "tds_mg_per_l" not in re.search(r"ReadSchema: (.*)", text).group(1)
 
 
-def test_placing_before_the_join_needs_one_exchange_of_readings(spark, tmp_path, staged, no_broadcast):
-    staged.write.parquet(str(tmp_path / "flat"))
-    flat = spark.read.parquet(str(tmp_path / "flat")).drop("coastal_flag", "management_area")
-    wells = spark.createDataFrame([(1, 0, "a")], "well_id int, coastal_flag int, management_area string")
-    text = nodes(plan(curated.trusted_readings(placed_by(flat, "well_id"), wells)))
-    # One for the readings and one for the bores.
-    assert len(re.findall(r"\bExchange\b", text)) == 2
-
-
 def test_staged_tables_are_removed(spark, readings_of):
     with Staging(spark) as staging:
-        table = staging.write(placed_by(readings_of((1, ripple(5, 1.0, 0.1), 1.0, 0, "a")), "well_id"), "gone", "well_id")
+        table = staging.write(readings_of((1, ripple(5, 1.0, 0.1), 1.0, 0, "a")), "gone")
         assert table.count() == 5
-        names = list(staging._tables)
         path = spark._jvm.org.apache.hadoop.fs.Path(staging.folder)
         files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
         assert files.exists(path)
     assert not files.exists(path)
-    assert not any(spark.catalog.tableExists(n) for n in names)
     assert staging.folder.startswith(shared_folder(spark))

@@ -5,8 +5,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from aquifold import schemas
+from aquifold.plans import detection
 from aquifold.sources import landed
 from aquifold.sources.store import KeyedTable, insert_new_events
+from aquifold.sources.summaries import SummarisedStore
 from aquifold.streaming import jobs, tags
 
 NOW = {"availableNow": True}
@@ -137,8 +139,6 @@ def test_ingest_takes_the_last_arrival_and_repeats(spark, tmp_path):
 
 
 def test_detection_stream_equals_batch(spark, tmp_path):
-    from aquifold.plans import detection
-
     rows = [
         (1, dt.date(2024, 1, 1) + dt.timedelta(days=i), 5.0 + (0.01 if i % 2 else -0.01) + (2.5 if i == 29 else 0),
          500.0 + 5 * i, 0, "measured")
@@ -151,15 +151,12 @@ def test_detection_stream_equals_batch(spark, tmp_path):
     wells = spark.createDataFrame([(1, 1, "A")], "well_id int, coastal_flag int, management_area string")
     source = str(tmp_path / "in")
     readings.write.parquet(source)
-    stored = {n: KeyedTable.named(spark, str(tmp_path / "tables"), n) for n in ("readings", "rainfall", "events")}
+    stored, events = SummarisedStore(spark, str(tmp_path / "tables")), KeyedTable.named(spark, str(tmp_path), "events")
     for _ in range(2):
         jobs.start_detection(
-            jobs.file_stream(spark, source, readings.schema), stored["readings"], wells, stored["rainfall"],
-            stored["events"], str(tmp_path / "c"),
+            jobs.file_stream(spark, source, readings.schema), stored, wells, events, str(tmp_path / "c")
         ).awaitTermination()
-    batch = detection.detect(readings, wells, stored["rainfall"].read())
+    batch = detection.detect(readings, wells, stored.rainfall.read())
     keys = ["well_id", "event_date", "anomaly_type", "severity", "detail"]
-    assert {tuple(r) for r in stored["events"].read().select(*keys).collect()} == {
-        tuple(r) for r in batch.select(*keys).collect()
-    }
-    assert stored["events"].read().agg(F.count("*")).first()[0] == 2
+    assert {tuple(r) for r in events.read().select(*keys).collect()} == {tuple(r) for r in batch.select(*keys).collect()}
+    assert events.read().agg(F.count("*")).first()[0] == 2
