@@ -110,6 +110,12 @@ BORE_SUMMARIES = _struct(
     ("event_date", _DATE), ("before", _DBL), ("shallowest", _DBL),
 )
 
+# Last value of every tag of a bore.
+TAG_STATE = _struct(
+    ("well_id", _INT), ("location", _STR), ("level", _DBL), ("tds", _DBL), ("pump", _DBL), ("valve", _DBL),
+    ("quality", _STR), ("last_update", _TS),
+)
+
 TABLES: dict[str, T.StructType] = {
     "wells": WELLS, "readings": READINGS, "rainfall": RAINFALL, "surface": SURFACE,
     "events": EVENTS, "licences": LICENCES, "extraction": EXTRACTION, "snapshots": SNAPSHOTS,

@@ -57,6 +57,12 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of any file system Spark can write to; Spark itself has no call for that."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 class Staging:
     """Intermediate tables of one job, written to the shared folder.
 
@@ -84,8 +90,7 @@ class Staging:
         return self._spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:
-        path = self._spark._jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(self._spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        delete_folder(self._spark, self.folder)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

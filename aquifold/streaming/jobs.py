@@ -44,27 +44,6 @@ def _start(
     )
 
 
-def tag_state_table(spark: SparkSession, root: str) -> KeyedTable:
-    schema = T.StructType([
-        T.StructField("well_id", T.IntegerType()), T.StructField("location", T.StringType()),
-        T.StructField("level", T.DoubleType()), T.StructField("tds", T.DoubleType()),
-        T.StructField("pump", T.DoubleType()), T.StructField("valve", T.DoubleType()),
-        T.StructField("quality", T.StringType()), T.StructField("last_update", T.TimestampType()),
-    ])
-    return KeyedTable(spark, root, schema, ["well_id"])
-
-
-def start_tag_state(
-    tag_events: DataFrame, state: KeyedTable, checkpoint: str, trigger: dict | None = None
-) -> StreamingQuery:
-    """Keep the last value of every tag in ``state``."""
-    latest = tag_ops.tag_last_value(tag_ops.parse_tags(tag_events))
-    return _start(
-        latest, lambda batch, _: state.upsert(batch), checkpoint, "update",
-        trigger or {"processingTime": "1 minute"},
-    )
-
-
 def start_telemetry_windows(
     tag_events: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:

@@ -743,7 +743,7 @@ ORACLES: dict[str, str] = {
                CAST(CASE WHEN level IS NOT NULL THEN trunc(coalesce(pump, 0)) ELSE 0 END AS BIGINT) AS tag_pump_rpm,
                CAST(CASE WHEN level IS NOT NULL THEN trunc(coalesce(valve, 0)) ELSE 0 END AS BIGINT) AS tag_valve_pct,
                CASE WHEN level IS NOT NULL THEN 'Good' ELSE 'Uncertain' END AS quality, 'OPC-UA' AS source
-        FROM wells w LEFT JOIN (SELECT * FROM tag_state WHERE level >= tds) s USING (well_id)
+        FROM wells w LEFT JOIN tag_state s USING (well_id)
         LEFT JOIN latest USING (well_id)""",
     "tag_health": f"SELECT CAST(count(*) > 0 AS BIGINT) AS connected, {ts('max(last_update)')} AS last_update, count(level) AS tag_count FROM tag_state",
     "alert_stream": """

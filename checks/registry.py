@@ -18,7 +18,7 @@ from aquifold.session import new_folder
 from aquifold.sources import landed, store
 from aquifold.sources.store import KeyedTable
 from aquifold.sources.summaries import SummarisedStore
-from aquifold.streaming import jobs, tags
+from aquifold.streaming import jobs, tag_state, tags
 from checks.star_tables import StarTables, star_tables, tag_events_of
 
 _QUERIES: dict[str, Callable[[StarTables], DataFrame]] = {}
@@ -747,16 +747,12 @@ def _tag_stream(t: StarTables) -> DataFrame:
     return tag_events_of(jobs.file_stream(t.spark, f"{t.folder}/event[s].parquet", schema))
 
 
-def _tag_state(t: StarTables) -> DataFrame:
-    folder = new_folder(t.spark, "tags")
-    state = jobs.tag_state_table(t.spark, f"{folder}/state")
-    jobs.start_tag_state(_tag_stream(t), state, f"{folder}/checkpoint", {"availableNow": True}).awaitTermination()
-    return state.read()
-
-
 @query
 def tag_last_value(t: StarTables) -> DataFrame:
-    return _tag_state(t)
+    folder = new_folder(t.spark, "tags")
+    log = tag_state.ChangeLog(t.spark, f"{folder}/changes")
+    tag_state.start_tag_state(_tag_stream(t), log, f"{folder}/checkpoint", {"availableNow": True}).awaitTermination()
+    return log.read()
 
 
 @query
@@ -768,8 +764,7 @@ def tag_browse_parse(t: StarTables) -> DataFrame:
 
 @query
 def tags_with_fallback(t: StarTables) -> DataFrame:
-    """Only bores whose level tag is at least their salinity tag count as live; the others fall back."""
-    state = tags.tag_last_value(tags.parse_tags(t.tag_events)).filter(F.col("level") >= F.col("tds"))
+    state = tags.tag_last_value(tags.parse_tags(t.tag_events))
     return tags.tags_with_fallback(t.wells, state, t.readings)
 
 

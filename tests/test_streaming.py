@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from aquifold.plans import detection
 from aquifold.sources import landed
 from aquifold.sources.store import KeyedTable, insert_new_events
 from aquifold.sources.summaries import SummarisedStore
-from aquifold.streaming import jobs, tags
+from aquifold.streaming import jobs, tag_state, tags
 
 NOW = {"availableNow": True}
 
@@ -34,19 +35,65 @@ SECOND = [
 ]
 
 
+def as_set(df, columns=schemas.TAG_STATE.names):
+    return {tuple(r) for r in df.select(*columns).collect()}
+
+
 def test_tag_state_over_two_runs_equals_batch(spark, tmp_path):
     source, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
-    state = jobs.tag_state_table(spark, str(tmp_path / "state"))
+    log = tag_state.ChangeLog(spark, str(tmp_path / "state"))
+    assert log.read().count() == 0
     for part in (FIRST, SECOND):
         spark.createDataFrame(part, schemas.TAG_EVENTS).coalesce(1).write.mode("append").parquet(source)
         stream = jobs.file_stream(spark, source, schemas.TAG_EVENTS)
-        jobs.start_tag_state(stream, state, checkpoint, NOW).awaitTermination()
-    rows = {r.well_id: r for r in state.read().collect()}
+        tag_state.start_tag_state(stream, log, checkpoint, NOW).awaitTermination()
+    rows = {r.well_id: r for r in log.read().collect()}
     # Event time decides: the late notification 7 loses; at equal time the higher id wins.
     assert (rows[1].level, rows[1].quality, rows[1].location) == (6.5, "Good", "North Shore")
     assert (rows[2].level, rows[2].tds, rows[2].pump, rows[2].location) == (None, 700.0, 1450.9, "Bore 2")
     batch = tags.tag_last_value(tags.parse_tags(spark.createDataFrame(FIRST + SECOND, schemas.TAG_EVENTS)))
-    assert {tuple(r) for r in batch.select(*state.read().columns).collect()} == {tuple(r) for r in state.read().collect()}
+    assert as_set(batch) == as_set(log.read())
+
+
+def test_what_tag_batches_write_follows_the_changes(spark, tmp_path, monkeypatch):
+    """Batches, each with news of two of 300 bores, a late, an unreadable and a missing value."""
+    rng = random.Random(4)
+    start = dt.datetime(2024, 1, 1)
+    tag_names = list(tags.FIELD_BY_TAG)
+    source, every, number = tmp_path / "in", [], 0
+    for batch in range(25):
+        bores = range(300) if batch == 0 else rng.sample(range(300), 2)
+        rows = []
+        for bore in bores:
+            for _ in range(2):
+                number += 1
+                at = start + dt.timedelta(seconds=rng.randint(0, 600) if batch % 7 == 3 else 60 * batch)
+                value = rng.choice(["x", None]) if rng.random() < 0.1 else str(rng.random())
+                rows.append((number, None if rng.random() < 0.02 else at, f"Bore_{bore}_Site", rng.choice(tag_names), value))
+        every += rows
+        spark.createDataFrame(rows, schemas.TAG_EVENTS).coalesce(1).write.parquet(str(source / f"b={batch:02}"))
+    log = tag_state.ChangeLog(spark, str(tmp_path / "state"))
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        stream = spark.readStream.schema(schemas.TAG_EVENTS).option("maxFilesPerTrigger", 1).parquet(f"{source}/*")
+        tag_state.start_tag_state(stream, log, str(tmp_path / "c"), NOW, compact_every=1000).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    want = as_set(tags.tag_last_value(tags.parse_tags(spark.createDataFrame(every, schemas.TAG_EVENTS))))
+    assert as_set(log.read()) == want
+    files = sorted((tmp_path / "state").glob("batch=*/*.parquet"))
+    assert len(files) <= 25 and max(spark.read.parquet(str(f)).count() for f in files[:1]) <= 300
+    sizes = {f.parent.name: f.stat().st_size for f in files}
+    first = max(sizes.values())
+    assert sum(s for s in sizes.values() if s != first) / (len(sizes) - 1) < first / 2
+    assert log._rows().filter("batch > 0").count() <= 2 * 24
+    assert not log.compact()
+    extra = log.read()
+    for batch in (60, 61):
+        log.append(extra, batch)
+    assert log.compact() and as_set(log.read()) == want
+    assert [f.parent.name for f in (tmp_path / "state").glob("batch=*/*.parquet")] == ["batch=61"]
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
 
 
 def test_fallback_rows(spark):
