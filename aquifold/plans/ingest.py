@@ -10,18 +10,16 @@ Landed layout, one folder per request the collector makes::
 
 from __future__ import annotations
 
-import logging
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from aquifold import schemas
 from aquifold.functions import AsOf
+from aquifold.session import Staging, stage
 from aquifold.sources import landed, store
-from aquifold.sources.store import KeyedTable, assign_surrogate_keys, resolve_keys
-
-logger = logging.getLogger(__name__)
+from aquifold.sources.store import KeyedTable, LoadResult, assign_surrogate_keys, resolve_keys
 
 # Station or site settings: (id, name, area) and (id, name, metric).
 Station = tuple[str, str, str]
@@ -49,15 +47,44 @@ def load_surface(table: KeyedTable, surface: DataFrame) -> int:
     return load(table, surface)
 
 
-def _collect_csv(spark: SparkSession, paths: dict[str, tuple], normalise, empty) -> DataFrame:
-    """Normalised rows of every folder; one that is missing or unusable is logged and left out."""
-    frames = []
-    for path, settings in paths.items():
+def load_csv_units(
+    spark: SparkSession, table: KeyedTable, path: str, settings: DataFrame, wanted: landed.Wanted,
+    normalise: Callable[[DataFrame], DataFrame], day: str, as_of: AsOf, years: int,
+) -> LoadResult:
+    """Load the landed CSV folders of all units (stations or sites) that ``settings`` lists, in one read.
+
+    The first columns of ``settings`` that are folders of the path identify a unit. A unit without
+    rows is reported as such; files that lack a wanted column are left out and reported.
+    """
+    keys = [c for c in settings.columns if c in landed.UNIT_FOLDERS]
+    with Staging(spark) as staging:
+        settings = staging.write(settings, "settings")
         try:
-            frames.append(normalise(landed.read_csv_records(spark, path), *settings))
-        except (AnalysisException, ValueError) as error:
-            logger.warning("skipped %s: %s", path, error)
-    return landed.collect_all(spark, frames, empty)
+            lines = landed.csv_lines(spark.read, path, tuple(keys))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            lines = landed.no_lines(spark, tuple(keys))
+        delivered = staging.write(landed.by_header(lines, wanted).join(settings, keys), "delivered")
+        rows = staging.write(normalise(delivered.filter(F.size("missing") == 0)), "normalised")
+        recent = landed.history_window(rows, day, as_of, years)
+        loaded = table.load(recent)
+
+        reason = F.concat(F.lit("no column "), F.array_join(F.max("missing"), ", "))
+        seen = delivered.groupBy(*keys).agg(
+            F.count_if(F.size("missing") == 0).alias("usable"), F.when(F.size(F.max("missing")) > 0, reason).alias("error")
+        )
+        counts = rows.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("dated"), F.count_if(landed.in_window(day, as_of, years)).alias("rows")
+        )
+        none = F.lit(0).cast("long")
+        outcomes = settings.select(*keys).join(seen, keys, "left").join(counts, keys, "left").select(
+            F.concat_ws("/", *keys).alias("unit"), F.coalesce("rows", none).alias("rows"),
+            (F.coalesce("usable", none) - F.coalesce("dated", none)).alias("dropped"), "error",
+        )
+        # One row per configured unit outlives the staging.
+        outcomes = stage(outcomes, "outcomes")
+    return LoadResult(loaded, outcomes.agg(F.coalesce(F.sum("dropped"), none)).first()[0], 0, outcomes)
 
 
 def run_ingestion(
@@ -73,28 +100,35 @@ def run_ingestion(
 ) -> tuple[DataFrame, int]:
     """Load everything landed under ``source`` into the tables under ``target``.
 
-    Sources are independent: each one's outcome is reported, failures are recorded
-    in the audit table, and the exit code says whether any failed.
+    Sources are independent: the outcome of each, and of every station and site, is reported,
+    failures are recorded in the audit table, and the exit code says whether a source failed.
     """
     tables = {name: KeyedTable.named(spark, target, name) for name in ("wells", "readings", "rainfall", "surface")}
 
-    def groundwater() -> int:
+    def groundwater() -> LoadResult:
         raw = landed.read_json_records(spark, f"{source}/wells", landed.WELL_FIELDS, folders=("area",))
         load_wells(tables["wells"], landed.normalise_wells(raw, F.col("area")))
         raw = landed.read_json_records(spark, f"{source}/readings", landed.READING_FIELDS, folders=("dh_no",))
-        readings = landed.normalise_readings(raw, F.col("dh_no"))
-        recent = landed.history_window(readings, "reading_date", as_of, years)
-        return load_readings(tables["readings"], recent, tables["wells"].read())
-
-    def rainfall() -> int:
-        paths = {f"{source}/rainfall/station_id={s[0]}": s for s in stations}
-        rows = _collect_csv(spark, paths, landed.normalise_rainfall, schemas.RAINFALL)
-        return load_rainfall(tables["rainfall"], landed.history_window(rows, "obs_date", as_of, years))
-
-    def surface() -> int:
-        paths = {f"{source}/surface/site_id={s[0]}/metric={s[2]}": s for s in sites}
-        rows = _collect_csv(spark, paths, landed.normalise_surface, schemas.SURFACE)
-        return load_surface(tables["surface"], landed.history_window(rows, "reading_datetime", as_of, years))
+        dates, ids = Observation("dates"), Observation("ids")
+        recent = landed.history_window(landed.normalise_readings(raw, F.col("dh_no"), dates), "reading_date", as_of, years)
+        loaded = load(tables["readings"], resolve_keys(recent, tables["wells"].read(), ids))
+        return LoadResult(loaded, dates.get["dropped"], ids.get["unresolved"])
+
+    def rainfall() -> LoadResult:
+        settings = spark.createDataFrame(stations, "station_id string, station_name string, management_area string")
+        return load_csv_units(
+            spark, tables["rainfall"], f"{source}/rainfall", settings, landed.RAIN_COLUMNS,
+            lambda rows: landed.normalise_rainfall(rows, *map(F.col, settings.columns)), "obs_date", as_of, years,
+        )
+
+    def surface() -> LoadResult:
+        settings = spark.createDataFrame([(i, m, n) for i, n, m in sites], "site_id string, metric string, site_name string")
+        return load_csv_units(
+            spark, tables["surface"], f"{source}/surface", settings, landed.SURFACE_COLUMNS,
+            lambda rows: landed.normalise_surface(rows, F.col("site_id"), F.col("site_name"), F.col("metric"))
+            .withColumn("metric", F.col("metric_name")),
+            "reading_datetime", as_of, years,
+        )
 
     loaders = {"groundwater": groundwater, "rainfall": rainfall}
     if not skip_surface:

@@ -7,12 +7,14 @@ declared schema and coerced here; an unreadable date or number becomes NULL.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from aquifold import schemas
 from aquifold.functions import AsOf, as_date
@@ -106,9 +108,71 @@ def read_json_records(
     )
 
 
-def read_csv_records(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of header-bearing CSV files as text, with their arrival time."""
-    return spark.read.option("header", True).csv(path).select("*", arrival_time())
+def csv_lines(reader: DataFrameReader | DataStreamReader, path: str, folders: tuple[str, ...] = ()) -> DataFrame:
+    """Lines of CSV files with their file, arrival time and ``folders`` values; of a batch or streaming reader.
+
+    Files are read as lines, so that each can have a header of its own; quoted line ends are not supported.
+    """
+    return reader.text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        arrival_time(), *[folder_value(name).alias(name) for name in folders],
+    )
+
+
+#: Folders of the landed layout that tell stations and sites apart.
+UNIT_FOLDERS = ("station_id", "site_id", "metric")
+
+
+def no_lines(spark: SparkSession, folders: tuple[str, ...] = ()) -> DataFrame:
+    """``csv_lines`` of nothing landed."""
+    schema = "value string, _file string, _block bigint, arrived_at timestamp"
+    return spark.createDataFrame([], schema + "".join(f", {name} string" for name in folders))
+
+
+def headers(lines: DataFrame) -> DataFrame:
+    """(_file, _header): the first line of every file; what leaves a task is one line a file."""
+    first = lines.filter(F.col("_block") == 0).withColumn("_line", F.monotonically_increasing_id())
+    return first.groupBy("_file").agg(F.min_by("value", "_line").alias("_header"))
+
+
+#: Wanted columns: name to the header names it may have, in any letter case, and the place it has under none of them.
+Wanted = dict[str, tuple[tuple[str, ...], int | None]]
+RAIN_COLUMNS: Wanted = {"date": (("date", "date2"), 0), "rain": (("rain", "daily_rain", "rainfall"), None)}
+SURFACE_COLUMNS: Wanted = {"timestamp": (("timestamp", "date"), 0), "value": (("value",), 1)}
+
+
+def by_header(lines: DataFrame, wanted: Wanted) -> DataFrame:
+    """The wanted columns as text, found in each file by its own header, whatever the others' order and columns.
+
+    ``missing`` names the wanted columns a line's file lacks. All files are one read and one plan,
+    however many there are: the header travels with the lines as a joined column.
+    """
+    index = headers(lines)
+    # One number, the widest header, bounds the cells a line is split into.
+    width = index.agg(F.max(F.size(F.split("_header", ",")))).first()[0] or 1
+    cells = [f"c{i}" for i in range(width)]
+    schema = ", ".join(f"{c} string" for c in cells)
+    options = {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
+
+    def split(column: str, name: str, df: DataFrame) -> DataFrame:
+        df = df.withColumn("_cells", F.from_csv(column, schema, options))
+        return df.withColumn(name, F.array(*[F.col(f"_cells.{c}") for c in cells])).drop("_cells")
+
+    index = split("_header", "_names", index.withColumn("_header", F.ltrim("_header", F.lit("\ufeff"))))
+    lowered = F.transform("_names", lambda n: F.lower(F.trim(n)))
+
+    def place(names: tuple[str, ...], otherwise: int | None) -> Column:
+        at = [F.nullif(F.array_position(lowered, F.lit(n)), F.lit(0)) for n in names]
+        if otherwise is not None:
+            at.append(F.when(F.get("_names", F.lit(otherwise)).isNotNull(), F.lit(otherwise + 1)))
+        return F.coalesce(*at).cast("int")
+
+    index = index.select("_file", "_header", *[place(*w).alias(f"_at_{name}") for name, w in wanted.items()])
+    lacking = F.filter(F.array(*[F.when(F.col(f"_at_{n}").isNull(), n) for n in wanted]), lambda n: n.isNotNull())
+    rows = lines.join(index, "_file").filter(F.ltrim("value", F.lit("\ufeff")) != F.col("_header"))
+    rows = split("value", "_values", rows).withColumn("missing", lacking)
+    own = [c for c in lines.columns if c not in ("value", "_block")]
+    return rows.select(*own, "missing", *[F.get("_values", F.col(f"_at_{n}") - 1).alias(n) for n in wanted])
 
 
 def _first_present(df: DataFrame, *names: str) -> Column:
@@ -130,18 +194,32 @@ DAY_FORMATS = (
 )
 
 
+#: What the letters of a date format stand for in a text's shape.
+_SHAPES = {"yyyy": "[0-9]{4}", "MMMM": "[A-Za-z]{3,}", "MMM": "[A-Za-z]{3}", "MM": "[0-9]{2}", "dd": "[0-9]{2}", "mm": "[0-9]{2}", "ss": "[0-9]{2}"}
+_ISO_SHAPE = "^[0-9]{4}(-[0-9]{1,2}(-[0-9]{1,2}([T ].*)?)?)?$"
+
+
+def _shape(fmt: str) -> str:
+    tokens = [m.group() for m in re.finditer(r"([A-Za-z])\1*|.", fmt)]
+    return "^" + "".join(_SHAPES.get(t, "[0-9]{1,2}" if t.isalpha() else re.escape(t)) for t in tokens) + "$"
+
+
+def _by_shape(text: Column, kind: str, formats: tuple[str, ...]) -> Column:
+    """The text's shape chooses the one parser it goes through; texts of no known shape go through none."""
+    parsed = F.when(text.rlike(_ISO_SHAPE), text.try_cast(kind))
+    for fmt in formats:
+        parsed = parsed.when(text.rlike(_shape(fmt)), F.try_to_timestamp(text, F.lit(fmt)).cast(kind))
+    return parsed
+
+
 def to_moment(text: Column, formats: tuple[str, ...] = DAY_FORMATS) -> Column:
     """Timestamp of an ISO date or timestamp, or of one of ``formats``."""
-    trimmed = F.trim(text)
-    iso = F.when(~trimmed.rlike("^[0-9]{8}$"), trimmed.try_cast("timestamp"))
-    return F.coalesce(iso, *[F.try_to_timestamp(trimmed, F.lit(f)) for f in formats])
+    return _by_shape(F.trim(text), "timestamp", formats)
 
 
 def to_day(text: Column, formats: tuple[str, ...] = DAY_FORMATS) -> Column:
     """Day of an ISO date or timestamp, or of one of ``formats``; an unreadable one is NULL."""
-    trimmed = F.trim(text)
-    iso = F.when(~trimmed.rlike("^[0-9]{8}$"), trimmed.try_cast("date"))
-    return F.coalesce(iso, to_moment(text, formats).cast("date"))
+    return _by_shape(F.trim(text), "date", formats)
 
 
 def unreadable_days(raw: DataFrame, column: str) -> DataFrame:
@@ -198,12 +276,13 @@ def first_per_drillhole(wells: DataFrame) -> DataFrame:
     return wells.withColumn("place", F.row_number().over(first)).filter("place = 1").drop("place")
 
 
-def normalise_readings(raw: DataFrame, source_dh_no: str | Column) -> DataFrame:
+def normalise_readings(raw: DataFrame, source_dh_no: str | Column, dropped: Observation | None = None) -> DataFrame:
+    """Typed, flagged readings; ``dropped`` observes how many rows there were and how many had no readable day."""
     pumping = (
         F.coalesce(to_number(F.col("PUMPING").cast("string")), F.lit(0.0)).try_cast("int")
         if "PUMPING" in raw.columns else F.lit(0)
     )
-    return (
+    typed = (
         raw.select(
             _value(source_dh_no).cast("string").alias("source_dh_no"),
             to_day(_first_present(raw, "OBS_DATE", "obs_date")).alias("reading_date"),
@@ -213,9 +292,10 @@ def normalise_readings(raw: DataFrame, source_dh_no: str | Column) -> DataFrame:
             *_carried(raw),
         )
         .withColumn("data_quality_flag", flag_level_quality(F.col("water_level_mbgl")))
-        .filter(F.col("reading_date").isNotNull())
-        .select(*READING_COLUMNS, *_carried(raw))
     )
+    if dropped is not None:
+        typed = typed.observe(dropped, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("reading_date").isNull()).alias("dropped"))
+    return typed.filter(F.col("reading_date").isNotNull()).select(*READING_COLUMNS, *_carried(raw))
 
 
 def _header(df: DataFrame, wanted: tuple[str, ...], position: int | None) -> Column:
@@ -270,5 +350,9 @@ def collect_all(spark: SparkSession, frames: list[DataFrame], empty: T.StructTyp
 
 def history_window(df: DataFrame, column: str, as_of: AsOf, years: int = 5) -> DataFrame:
     """Rows dated within the last ``365 * years`` days up to ``as_of``."""
+    return df.filter(in_window(column, as_of, years))
+
+
+def in_window(column: str, as_of: AsOf, years: int = 5) -> Column:
     today = as_date(as_of)
-    return df.filter(F.col(column).cast("date").between(F.date_sub(today, 365 * years), today))
+    return F.col(column).cast("date").between(F.date_sub(today, 365 * years), today)

@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -199,10 +201,16 @@ def assign_surrogate_keys(wells: DataFrame, existing: DataFrame) -> DataFrame:
     )
 
 
-def resolve_keys(readings: DataFrame, wells: DataFrame) -> DataFrame:
-    """Replace the drillhole number by the well_id; readings of unknown drillholes are dropped."""
+def resolve_keys(readings: DataFrame, wells: DataFrame, unresolved: Observation | None = None) -> DataFrame:
+    """Replace the drillhole number by the well_id; readings of unknown drillholes are dropped.
+
+    ``unresolved`` observes how many those are, in the same pass.
+    """
     ids = wells.select("source_dh_no", F.col("well_id").cast("int").alias("well_id"))
-    return readings.join(ids, "source_dh_no").select(
+    joined = readings.drop("well_id").join(ids, "source_dh_no", "left")
+    if unresolved is not None:
+        joined = joined.observe(unresolved, F.count_if(F.col("well_id").isNull()).alias("unresolved"))
+    return joined.filter(F.col("well_id").isNotNull()).select(
         "well_id", *[c for c in readings.columns if c not in ("source_dh_no", "well_id")]
     )
 
@@ -273,22 +281,48 @@ def audit_append(
     spark.createDataFrame([row], schemas.AUDIT).write.mode("append").parquet(path)
 
 
+@dataclass(frozen=True)
+class LoadResult:
+    """Rows loaded, rows dropped for an unreadable day or an unknown key, and the outcome of each unit of the source.
+
+    ``units`` (unit, rows, dropped, error) has a row per station, site or other part that was asked for.
+    """
+
+    rows: int
+    dropped: int = 0
+    unresolved: int = 0
+    units: DataFrame | None = None
+
+
 def run_sources(
-    spark: SparkSession, loaders: dict[str, Callable[[], int]], audit_path: str, run_id: str
+    spark: SparkSession, loaders: dict[str, Callable[[], int | LoadResult]], audit_path: str, run_id: str
 ) -> tuple[DataFrame, int]:
     """Run every source's load; one failure is recorded and does not stop the others.
 
-    Returns source, rows and error per load, and a process exit code.
+    Returns source, rows, dropped, unresolved and error per load and per unit of one (source/unit),
+    and a process exit code. Sources and units that failed are recorded in the audit table.
     """
-    outcomes = []
+    schema = "source string, rows long, dropped long, unresolved long, error string"
+    outcomes, units = [], []
     for source, load in loaders.items():
         try:
-            outcomes.append((source, int(load()), None))
+            result = load()
+            result = result if isinstance(result, LoadResult) else LoadResult(int(result))
+            outcomes.append((source, result.rows, result.dropped, result.unresolved, None))
+            if result.units is not None:
+                unit = F.concat(F.lit(f"{source}/"), "unit").alias("source")
+                units.append(result.units.select(unit, "rows", "dropped", F.lit(0).cast("long").alias("unresolved"), "error"))
         except Exception as error:  # noqa: BLE001 - each source stands alone
-            outcomes.append((source, None, str(error)))
+            outcomes.append((source, None, None, None, str(error)))
             audit_append(spark, audit_path, source, run_id)
-    frame = spark.createDataFrame(outcomes, "source string, rows long, error string")
-    return frame, int(any(error for _, _, error in outcomes))
+    frame = reduce(DataFrame.unionByName, units, spark.createDataFrame(outcomes, schema))
+    if units:
+        broken = frame.filter(F.col("error").isNotNull() & F.contains("source", F.lit("/")))
+        broken.select(
+            F.col("source").alias("pipeline_name"), F.lit(run_id).alias("run_id"), F.lit("Failed").alias("status"),
+            F.current_timestamp().alias("logged_at"),
+        ).write.mode("append").parquet(audit_path)
+    return frame, int(any(error for *_, error in outcomes))
 
 
 def write_output(df: DataFrame, path: str, fmt: str = "csv") -> None:

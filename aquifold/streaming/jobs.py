@@ -21,18 +21,9 @@ from aquifold.sources.summaries import SummarisedStore
 from aquifold.streaming import tags as tag_ops
 
 
-def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", **options) -> DataFrame:
-    """Stream of the files that land at ``path``, with their arrival time.
-
-    A schema binds CSV columns by position; a file whose header names other columns, or the
-    same ones in another order, therefore stops the stream instead of scrambling it.
-    """
-    if fmt == "csv":
-        options = {"header": "true", "enforceSchema": "false"} | options
-    return (
-        spark.readStream.format(fmt).schema(schema).options(**options).load(path)
-        .select("*", landed.arrival_time())
-    )
+def file_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Stream of the Parquet files that land at ``path``, with their arrival time; CSV streams start at ``landed.csv_lines``."""
+    return spark.readStream.schema(schema).parquet(path).select("*", landed.arrival_time())
 
 
 def _start(
@@ -108,7 +99,8 @@ def start_ingest(
 ) -> StreamingQuery:
     """Normalise arriving files and upsert them on the table's key.
 
-    A key delivered by several files of one batch takes the value that arrived last.
+    For CSV the stream is one of lines and ``normalise`` starts with ``landed.by_header``: a file
+    arrives whole in one batch, so each batch has the headers of all its lines. A key delivered by several files of one batch takes the value that arrived last.
     """
     return _start(
         raw_stream, lambda batch, _: load(target, normalise(batch)), checkpoint, "append",

@@ -325,6 +325,27 @@ CTES["snapshot"] = f"""
             LEFT JOIN worst_event e ON e.well_id = w.well_id''')})"""
 
 _SNAPSHOT_OUT = f"SELECT * REPLACE (CAST(risk_snapshot_date AS VARCHAR) AS risk_snapshot_date) FROM"
+#: Key, day, two numbers and texts of each table, as in the registry's common layout.
+_LAYOUT = {
+    "wells": ("wells", "well_id", "NULL", "latitude", "longitude", "source_dh_no location_name aquifer_name management_area coastal_flag"),
+    "licences": ("licences", "licence_id", "licence_start_date", "annual_allocation_ml", "compliance_limit_pct", "management_area licence_end_date"),
+    "readings": ("readings", "well_id", "reading_date", "water_level_mbgl", "tds_mg_per_l", "pumping_event data_quality_flag"),
+    "rainfall": ("rainfall", "station_id", "obs_date", "rainfall_mm", "NULL", "station_name management_area data_quality_flag"),
+    "extraction": ("extraction", "well_id", "reading_month", "extraction_ml", "NULL", "coverage_days data_quality_flag"),
+    "anomalies": ("events", "event_id", "event_date", "threshold_value", "actual_value", "well_id anomaly_type severity detail alert_sent"),
+    "snapshots": ("snapshots", "well_id", "risk_snapshot_date", "risk_score", "NULL", "risk_status risk_drivers recommended_action"),
+}
+
+
+def _all_rows(name: str) -> str:
+    table, key, day, x, y, texts = _LAYOUT[name]
+    joined = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in texts.split())
+    return (
+        f"SELECT '{table}' AS table_name, CAST({key} AS VARCHAR) AS row_key, CAST(CAST({day} AS DATE) AS VARCHAR) AS day, "
+        f"round(CAST({x} AS DOUBLE), 6) AS x, round(CAST({y} AS DOUBLE), 6) AS y, {joined} AS texts FROM {name}"
+    )
+
+
 _EVENT_OUT = "SELECT * REPLACE (CAST(event_date AS VARCHAR) AS event_date) FROM"
 
 
@@ -453,7 +474,7 @@ CTES["surface"] = """
 
 ORACLES: dict[str, str] = {
     # sources and sinks
-    "read_tables": "SELECT * REPLACE (CAST(reading_date AS VARCHAR) AS reading_date) FROM readings",
+    "read_tables": " UNION ALL ".join(_all_rows(n) for n in ("wells", "readings", "rainfall", "licences", "extraction")),
     "read_optional": "SELECT well_id, CAST(0 AS BIGINT) AS predictions FROM wells",
     "normalise_wells": """
         SELECT source_dh_no, location_name, latitude, longitude,
@@ -480,8 +501,8 @@ ORACLES: dict[str, str] = {
         SELECT CASE WHEN x < 0 OR x > 300 THEN 'suspect' ELSE 'measured' END AS data_quality_flag, count(*) AS readings
         FROM (SELECT water_level_mbgl * 8 - 20 AS x FROM readings) GROUP BY 1""",
     "collect_all": """
-        SELECT management_area, count(*) AS "rows", count(*) FILTER (station_id LIKE '%-0') AS named_rows
-        FROM rainfall GROUP BY 1""",
+        SELECT station_id, station_name, management_area, CAST(obs_date AS VARCHAR) AS obs_date, rainfall_mm,
+               CASE WHEN rainfall_mm < 0 THEN 'suspect' ELSE 'measured' END AS data_quality_flag FROM rainfall""",
     "history_window": """
         SELECT well_id, CAST(reading_date AS VARCHAR) AS reading_date, water_level_mbgl
         FROM readings, as_of WHERE reading_date BETWEEN d - 365 AND d""",
@@ -502,11 +523,8 @@ ORACLES: dict[str, str] = {
         SELECT * REPLACE (CAST(event_date AS VARCHAR) AS event_date,
                           CASE severity WHEN 'CRITICAL' THEN 'INFO' ELSE severity END AS severity),
                CAST(0 AS BIGINT) AS alert_sent FROM detected""",
-    "reload_all": """
-        SELECT 'wells' AS table_name, count(*) AS "rows" FROM wells UNION ALL SELECT 'licences', count(*) FROM licences
-        UNION ALL SELECT 'readings', count(*) FROM readings UNION ALL SELECT 'rainfall', count(*) FROM rainfall
-        UNION ALL SELECT 'events', count(*) FROM anomalies UNION ALL SELECT 'extraction', count(*) FROM extraction
-        UNION ALL SELECT 'snapshots', count(*) FROM snapshots UNION ALL SELECT 'broken references', CAST(0 AS BIGINT)""",
+    "reload_all": " UNION ALL ".join(map(_all_rows, ("wells", "licences", "readings", "rainfall", "anomalies", "extraction", "snapshots")))
+    + " UNION ALL SELECT 'broken references', NULL, NULL, 0e0, NULL, NULL",
     "audit_append": "SELECT 'readings' AS pipeline_name, 'run-1' AS run_id, 'Failed' AS status FROM (SELECT count(*) FROM lineitem)",
     "zero_row_load_check": """
         SELECT 'rainfall' AS source, count(*) AS "rows", 'Succeeded' AS status FROM rainfall
@@ -752,8 +770,8 @@ ORACLES: dict[str, str] = {
         FROM anomalies e LEFT JOIN alerts a ON a.event_id = e.event_id""",
     "daily_detection_stream": f"{_EVENT_OUT} detected",
     "ingest_stream": f"""
-        SELECT site_id, metric_name, count(*) AS "rows", {ts("max(reading_datetime)")} AS last_reading,
-               max(metric_value) AS highest FROM surface GROUP BY 1, 2""",
+        SELECT site_id, site_id AS site_name, {ts("reading_datetime")} AS reading_datetime, metric_name,
+               CAST(metric_value AS DECIMAL(12, 3))::DOUBLE AS metric_value, 'measured' AS data_quality_flag FROM surface""",
     "telemetry_window": f"""
         SELECT {ts("w")} AS window_start, {ts("w + INTERVAL 5 MINUTE")} AS window_end, well_id, field, count(*) AS n,
                {r("avg(value)", 6)} AS mean_value

@@ -70,12 +70,43 @@ def _bores(t: StarTables) -> DataFrame:
 # sources and sinks -----------------------------------------------------------
 
 
+#: Columns of each table in the common layout of whole-table comparisons: key, day, two numbers, texts.
+_LAYOUT = {
+    "wells": ("well_id", None, "latitude", "longitude", ["source_dh_no", "location_name", "aquifer_name", "management_area", "coastal_flag"]),
+    "licences": ("licence_id", "licence_start_date", "annual_allocation_ml", "compliance_limit_pct", ["management_area", "licence_end_date"]),
+    "readings": ("well_id", "reading_date", "water_level_mbgl", "tds_mg_per_l", ["pumping_event", "data_quality_flag"]),
+    "rainfall": ("station_id", "obs_date", "rainfall_mm", None, ["station_name", "management_area", "data_quality_flag"]),
+    "extraction": ("well_id", "reading_month", "extraction_ml", None, ["coverage_days", "data_quality_flag"]),
+    "events": ("event_id", "event_date", "threshold_value", "actual_value", ["well_id", "anomaly_type", "severity", "detail", "alert_sent"]),
+    "snapshots": ("well_id", "risk_snapshot_date", "risk_score", None, ["risk_status", "risk_drivers", "recommended_action"]),
+}
+
+
+def _all_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every row of the tables in one layout."""
+    none = F.lit(None)
+
+    def rows(name: str, df: DataFrame) -> DataFrame:
+        key, day, x, y, texts = _LAYOUT[name]
+        return df.select(
+            F.lit(name).alias("table_name"), F.col(key).cast("string").alias("row_key"),
+            (F.col(day).cast("date").cast("string") if day else none.cast("string")).alias("day"),
+            F.round(F.col(x).cast("double"), 6).alias("x"),
+            (F.round(F.col(y).cast("double"), 6) if y else none.cast("double")).alias("y"),
+            F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in texts]).alias("texts"),
+        )
+
+    return constraints._union([rows(name, df) for name, df in tables.items()])
+
+
 @query
 def read_tables(t: StarTables) -> DataFrame:
-    """Readings written as CSV with a header and read back under the declared schema."""
+    """Five tables written as CSV with their columns in reverse and a column nobody asked for, read back by name."""
     folder = new_folder(t.spark, "csv")
-    store.write_output(t.readings, folder)
-    return landed.read_tables(t.spark, {"readings": folder})["readings"]
+    frames = {"wells": t.wells, "readings": t.readings, "rainfall": t.rainfall, "licences": t.licences, "extraction": t.extraction}
+    for name, df in frames.items():
+        store.write_output(df.select(F.lit("x").alias("note"), *reversed(df.columns)), f"{folder}/{name}")
+    return _all_rows(landed.read_tables(t.spark, {name: f"{folder}/{name}" for name in frames}))
 
 
 @query
@@ -145,13 +176,20 @@ def flag_quality(t: StarTables) -> DataFrame:
 
 @query
 def collect_all(t: StarTables) -> DataFrame:
-    """Rainfall delivered as one frame per station parity, collected and counted per area."""
-    frames = [
-        t.rainfall.filter(F.col("station_id").endswith(suffix)).drop(*extra)
-        for suffix, extra in (("-0", ()), ("-1", ("station_name",)))
-    ]
-    return landed.collect_all(t.spark, frames, schemas.RAINFALL).groupBy("management_area").agg(
-        F.count(F.lit(1)).alias("rows"), F.count("station_name").alias("named_rows")
+    """Rainfall landed as CSV, a folder a station, under two headers; collected in one read with the stations' settings."""
+    folder = new_folder(t.spark, "stations")
+    day, mm = F.date_format("obs_date", "d/M/yyyy"), F.col("rainfall_mm").cast("string")
+    odd = F.col("station_id").endswith("-1")
+    plain = t.rainfall.filter(~odd).select("station_id", day.alias("Date"), mm.alias("Rain"))
+    other = t.rainfall.filter(odd).select("station_id", F.lit("a, b").alias("Note"), mm.alias("Daily_Rain"), day.alias("Date2"))
+    for df in (plain, other):
+        df.write.mode("append").option("header", True).partitionBy("station_id").csv(folder)
+    settings = t.rainfall.select("station_id", "station_name", "management_area").distinct()
+    lines = landed.csv_lines(t.spark.read, folder, ("station_id",))
+    raw = landed.by_header(lines, landed.RAIN_COLUMNS).join(settings, "station_id")
+    rows = landed.normalise_rainfall(raw, *[F.col(c) for c in settings.columns])
+    return rows.select(
+        *settings.columns, "obs_date", F.col("rainfall_mm").cast("double").alias("rainfall_mm"), "data_quality_flag"
     )
 
 
@@ -218,14 +256,9 @@ def reload_all(t: StarTables) -> DataFrame:
     }
     folder = new_folder(t.spark, "tables")
     tables = {name: KeyedTable.named(t.spark, folder, name) for name in frames}
-    broken = store.reload_all(tables, frames).agg(F.count(F.lit(1)).alias("broken_references"))
-    counts = constraints._union([
-        table.read().agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"))
-        for name, table in tables.items()
-    ])
-    return counts.unionByName(broken.select(
-        F.lit("broken references").alias("table_name"), F.col("broken_references").alias("rows")
-    ))
+    broken = store.reload_all(tables, frames).agg(F.count(F.lit(1)).cast("double").alias("x"))
+    rows = _all_rows({name: table.read() for name, table in tables.items()})
+    return rows.unionByName(broken.withColumn("table_name", F.lit("broken references")), allowMissingColumns=True)
 
 
 def _load_outcomes(t: StarTables) -> tuple[DataFrame, str]:
@@ -806,25 +839,23 @@ def daily_detection_stream(t: StarTables) -> DataFrame:
 
 @query
 def ingest_stream(t: StarTables) -> DataFrame:
-    """Surface readings landed as text files, normalised and upserted by a stream."""
+    """Surface readings landed under two headers, normalised and upserted by a stream."""
     folder = new_folder(t.spark, "ingest")
-    source = f"{folder}/source"
-    raw = t.surface.select(
-        F.date_format("reading_datetime", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("Timestamp"),
-        F.col("metric_value").cast("string").alias("Value"), "site_id", "metric_name",
-    )
-    raw.write.option("header", True).csv(source)
+    moment = F.date_format("reading_datetime", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    value, odd = F.col("metric_value").cast("string"), F.crc32("metric_name") % 2 == 1
+    plain = t.surface.filter(~odd).select(moment.alias("Timestamp"), value.alias("Value"), "site_id", "metric_name")
+    other = t.surface.filter(odd).select("metric_name", F.lit("n").alias("Note"), "site_id", value.alias("VALUE"), moment.alias("Date"))
+    for i, df in enumerate((plain, other)):
+        df.write.option("header", True).csv(f"{folder}/source/part={i}")
     target = KeyedTable.named(t.spark, folder, "surface")
-    stream = jobs.file_stream(t.spark, source, raw.schema, "csv", header="true")
+    wanted = landed.SURFACE_COLUMNS | {"site_id": (("site_id",), None), "metric_name": (("metric_name",), None)}
+    site = F.col("site_id")
     jobs.start_ingest(
-        stream,
-        lambda batch: landed.normalise_surface(batch, F.col("site_id"), F.col("site_id"), F.col("metric_name")),
+        landed.csv_lines(t.spark.readStream, f"{folder}/source"),
+        lambda lines: landed.normalise_surface(landed.by_header(lines, wanted), site, site, F.col("metric_name")),
         target, f"{folder}/checkpoint",
     ).awaitTermination()
-    return target.read().groupBy("site_id", "metric_name").agg(
-        F.count(F.lit(1)).alias("rows"), F.max("reading_datetime").alias("last_reading"),
-        F.max("metric_value").cast("double").alias("highest"),
-    )
+    return target.read().withColumn("metric_value", F.col("metric_value").cast("double"))
 
 
 @query

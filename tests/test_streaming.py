@@ -160,23 +160,22 @@ def test_ingest_takes_the_last_arrival_and_repeats(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
     (source / "a.csv").write_text("Timestamp,Value\n2024-01-01 00:00:00,1.0\n2024-01-02 00:00:00,2.0\n")
-    schema = "Timestamp string, Value string"
     target = KeyedTable.named(spark, str(tmp_path), "surface")
 
+    def normalise(lines):
+        return landed.normalise_surface(landed.by_header(lines, landed.SURFACE_COLUMNS), "S", "Site", "level_m")
+
     def run():
-        stream = jobs.file_stream(
-            spark, str(source), spark.createDataFrame([], schema).schema, "csv", header="true"
-        )
-        jobs.start_ingest(
-            stream, lambda batch: landed.normalise_surface(batch, "S", "Site", "level_m"), target, str(tmp_path / "c")
-        ).awaitTermination()
+        stream = landed.csv_lines(spark.readStream, str(source))
+        jobs.start_ingest(stream, normalise, target, str(tmp_path / "c")).awaitTermination()
 
     run()
     import os
     import time
 
     for name, value in (("b.csv", "5.0"), ("c.csv", "7.0")):
-        (source / name).write_text(f"Timestamp,Value\n2024-01-02 00:00:00,{value}\n")
+        # Another order, another column, and a header of its own in every file.
+        (source / name).write_text(f"Note,{name[0]},VALUE,Date\nx,y,{value},2024-01-02 00:00:00\n")
     later = time.time() + 100
     os.utime(source / "c.csv", (later, later))
     run()
