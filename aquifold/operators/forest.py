@@ -3,16 +3,21 @@
 A tree needs only a small fixed-size sample, so fitting moves at most
 ``trees * sample_size`` rows however large the table is; each tree grows in its
 own group. Scoring is a vectorised column function over the full table.
+
+Every draw is the md5 of what it is drawn for: a row's key for the samples, the
+node for its split. So the same table gives the same forest on any engine, and
+the path lengths are whole numbers of a billionth, whose sums have no order.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -20,12 +25,26 @@ from aquifold import schemas
 from aquifold.functions.quantiles import unit_quantile
 from aquifold.session import Staging, stage
 
-_TREE_SCHEMA = "tree int, feature array<int>, threshold array<double>, path array<double>"
+_TREE_SCHEMA = "tree int, feature array<int>, threshold array<double>, path array<bigint>"
+_SETTINGS_SCHEMA = "features array<string>, sample_size int, threshold double"
 _OVERSAMPLING = 1.5
+_UNIT = 10**9
+_DIGITS = 13
+
+
+def _draws(*parts: str | Column) -> Column:
+    """Number in [0, 1) drawn for the parts."""
+    text = F.concat_ws("|", *[p if isinstance(p, Column) else F.lit(p) for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, _DIGITS), 16, 10).cast("double") / float(16**_DIGITS)
+
 
+def _draw(*parts: object) -> float:
+    text = "|".join(map(str, parts))
+    return int(hashlib.md5(text.encode()).hexdigest()[:_DIGITS], 16) / 16**_DIGITS
 
-def _unit_hash(*columns: Column) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(1 << 52)) / float(1 << 52)
+
+def row_key(keys: list[str]) -> Column:
+    return F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
 
 
 def tree_samples(
@@ -39,19 +58,16 @@ def tree_samples(
     wanted = min(1.0, _OVERSAMPLING * sample_size / rows)
     keep = min(1.0, wanted * trees)
     per_tree = wanted / keep
-    key = [F.col(k) for k in keys]
-    candidates = df.filter(_unit_hash(*key, F.lit(seed)) < keep) if keep < 1.0 else df
-    chosen = F.filter(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda tree: _unit_hash(*key, F.lit(seed + 1), tree) < per_tree,
-    )
-    lowest = Window.partitionBy("tree").orderBy("draw", *keys)
+    keyed = df.withColumn("key", row_key(keys))
+    candidates = keyed.filter(_draws(str(seed), F.col("key")) < keep) if keep < 1.0 else keyed
+    lowest = Window.partitionBy("tree").orderBy("draw", "key")
     return (
-        candidates.withColumn("tree", F.explode(chosen))
-        .withColumn("draw", _unit_hash(*key, F.lit(seed + 2), F.col("tree")))
+        candidates.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        .withColumn("draw", _draws(str(seed), F.col("tree").cast("string"), F.col("key")))
+        .filter(F.col("draw") < per_tree)
         .withColumn("place", F.row_number().over(lowest))
         .filter(F.col("place") <= sample_size)
-        .drop("draw", "place")
+        .drop("draw", "place", "key")
     )
 
 
@@ -64,16 +80,16 @@ def _expected_path(n: int) -> float:
     return 2.0 * (math.log(n - 1.0) + np.euler_gamma) - 2.0 * (n - 1.0) / n
 
 
-def _grow(points: np.ndarray, depth_limit: int, rng: np.random.Generator):
+def _grow(points: np.ndarray, depth_limit: int, seed: int, tree: int):
     """One tree as a complete binary layout: inner splits plus path length per bottom slot.
 
-    A branch that ends early keeps an infinite threshold, so every row reaches
+    A split takes one of the varying features, and a place between its ends, as drawn for the node. A branch that ends early keeps an infinite threshold, so every row reaches
     the bottom level by the same number of steps.
     """
     inner, slots = 2**depth_limit - 1, 2**depth_limit
     feature = np.zeros(inner, dtype=np.int32)
     threshold = np.full(inner, np.inf)
-    path = np.zeros(slots)
+    path = np.zeros(slots, dtype=np.int64)
     pending = [(0, 0, points)]
     while pending:
         node, depth, rows = pending.pop()
@@ -81,10 +97,10 @@ def _grow(points: np.ndarray, depth_limit: int, rng: np.random.Generator):
         varying = np.flatnonzero(high > low)
         if depth == depth_limit or len(rows) <= 1 or not len(varying):
             slot = (node + 1) * 2 ** (depth_limit - depth) - slots
-            path[slot] = depth + _expected_path(len(rows))
+            path[slot] = round((depth + _expected_path(len(rows))) * _UNIT)
             continue
-        chosen = int(rng.choice(varying))
-        cut = rng.uniform(low[chosen], high[chosen])
+        chosen = int(varying[int(_draw(seed, tree, node, "feature") * len(varying))])
+        cut = low[chosen] + _draw(seed, tree, node, "cut") * (high[chosen] - low[chosen])
         right = rows[:, chosen] > cut
         feature[node], threshold[node] = chosen, cut
         pending.append((2 * node + 1, depth + 1, rows[~right]))
@@ -119,13 +135,13 @@ class IsolationForestModel:
             base = np.arange(len(points)) * width
             inner = feature.shape[1]
             depth = (inner + 1).bit_length() - 1
-            total = np.zeros(len(points))
+            total = np.zeros(len(points), dtype=np.int64)
             for f, t, p in zip(feature, threshold, path):
                 node = np.zeros(len(points), dtype=np.int64)
                 for _ in range(depth):
                     node = 2 * node + 1 + (flat[base + f[node]] > t[node])
                 total += p[node - inner]
-            return pd.Series(np.exp2(-total / len(path) / scale))
+            return pd.Series(np.exp2(-(total / _UNIT) / len(path) / scale))
 
         return F.round(score(*[F.col(name).cast("double") for name in self.features]), 9)
 
@@ -141,6 +157,19 @@ class IsolationForestModel:
     def transform(self, df: DataFrame) -> DataFrame:
         return self.judged(df.withColumn("raw", self.raw_score(df)))
 
+    def save(self, folder: str) -> None:
+        """Write trees and settings as files that ``load`` reads back to the same scores."""
+        self.trees.write.mode("overwrite").parquet(f"{folder}/trees")
+        settings = [(self.features, self.sample_size, self.threshold)]
+        frame = self.trees.sparkSession.createDataFrame(settings, _SETTINGS_SCHEMA)
+        frame.write.mode("overwrite").parquet(f"{folder}/settings")
+
+    @classmethod
+    def load(cls, spark: SparkSession, folder: str) -> IsolationForestModel:
+        trees = spark.read.schema(_TREE_SCHEMA).parquet(f"{folder}/trees")
+        settings = spark.read.schema(_SETTINGS_SCHEMA).parquet(f"{folder}/settings").first()
+        return cls(trees, list(settings["features"]), settings["sample_size"], settings["threshold"])
+
 
 def fit_trees(
     df: DataFrame,
@@ -157,12 +186,10 @@ def fit_trees(
     size = min(max_samples, rows)
     depth_limit = max(1, math.ceil(math.log2(size))) if size > 1 else 1
     samples = tree_samples(df.select(*keys, *features), list(keys), trees, size, rows, seed)
-    order = list(keys)
-
     def grow(group: pd.DataFrame) -> pd.DataFrame:
         tree = int(group["tree"].iloc[0])
-        points = group.sort_values(order)[features].to_numpy(dtype=float)
-        feature, threshold, path = _grow(points, depth_limit, np.random.default_rng([seed, tree]))
+        points = group[features].to_numpy(dtype=float)
+        feature, threshold, path = _grow(points, depth_limit, seed, tree)
         return pd.DataFrame({
             "tree": [tree], "feature": [feature], "threshold": [threshold], "path": [path],
         })
@@ -182,14 +209,21 @@ def fit_isolation_forest(
     return model
 
 
-def isolation_forest_score(
+def fit_and_score(
     df: DataFrame, features: list[str], contamination: float = 0.01, **options
-) -> DataFrame:
-    """Every row of the feature table with its score and flag; each row is scored once."""
+) -> tuple[IsolationForestModel, DataFrame]:
+    """The model with its threshold, and every row with score and flag; each row is scored once."""
     model = fit_trees(df, features, **options)
     scored = stage(df.withColumn("raw", model.raw_score(df)), "forest_scores")
     model.threshold = unit_quantile(scored, "raw", 1 - contamination)
-    return model.judged(scored).select(*schemas.names(schemas.SCORES))
+    return model, model.judged(scored).select(*schemas.names(schemas.SCORES))
+
+
+def isolation_forest_score(
+    df: DataFrame, features: list[str], contamination: float = 0.01, **options
+) -> DataFrame:
+    """Every row of the feature table with its score and flag."""
+    return fit_and_score(df, features, contamination, **options)[1]
 
 
 def top_anomalies(scores: DataFrame, top: int = 10) -> DataFrame:

@@ -94,6 +94,11 @@ def licence_compliance_view(licences: DataFrame, wells: DataFrame, extraction: D
 
 def unsent_critical_events(events: DataFrame, wells: DataFrame) -> DataFrame:
     """CRITICAL events nobody was alerted to yet, newest first."""
+    return critical_events_to_send(events, wells).orderBy(F.col("event_date").desc())
+
+
+def critical_events_to_send(events: DataFrame, wells: DataFrame) -> DataFrame:
+    """The same events in no order, as a sink takes them."""
     return (
         events.filter((F.col("severity") == "CRITICAL") & (F.col("alert_sent") == 0))
         .join(wells.select("well_id", "location_name", "management_area"), "well_id")
@@ -101,7 +106,6 @@ def unsent_critical_events(events: DataFrame, wells: DataFrame) -> DataFrame:
             "event_id", "well_id", "location_name", "management_area", "event_date",
             "anomaly_type", "severity", "actual_value", "detail",
         )
-        .orderBy(F.col("event_date").desc())
     )
 
 

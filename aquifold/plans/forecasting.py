@@ -54,11 +54,34 @@ def save_forecast(run: ForecastRun, folder: str) -> None:
     write_output(run.metrics, f"{folder}/forecast_metrics", "json")
 
 
+@dataclass
+class AnomalyRun:
+    model: forest.IsolationForestModel
+    scores: DataFrame
+
+
+def run_anomalies(wells: DataFrame, readings: DataFrame, rainfall: DataFrame, **forest_options) -> AnomalyRun:
+    """Isolation forest over every reading with complete features, and its scores; each row is scored once."""
+    with Staging(readings.sparkSession) as staging:
+        rain = _daily_rain(rainfall, staging)
+        frame = staging.write(features.anomaly_features(wells, drop_suspect(readings), rain), "anomaly_features")
+        model, scores = forest.fit_and_score(frame, features.ANOMALY_FEATURES, **forest_options)
+        return AnomalyRun(model, scores)
+
+
+def save_anomalies(run: AnomalyRun, folder: str, top: int = 10) -> None:
+    """Persist the forest, all scores, and the worst rows as CSV."""
+    run.model.save(f"{folder}/anomaly_model")
+    write_output(run.scores, f"{folder}/anomaly_scores", "parquet")
+    write_output(forest.top_anomalies(run.scores, top), f"{folder}/top_anomalies")
+
+
+def save_sweep(sweep: DataFrame, folder: str) -> None:
+    write_output(sweep, f"{folder}/forecast_horizon_sweep")
+
+
 def score_anomalies(
     wells: DataFrame, readings: DataFrame, rainfall: DataFrame, **forest_options
 ) -> DataFrame:
     """Isolation-forest score of every reading with complete features."""
-    with Staging(readings.sparkSession) as staging:
-        rain = _daily_rain(rainfall, staging)
-        frame = staging.write(features.anomaly_features(wells, drop_suspect(readings), rain), "anomaly_features")
-        return forest.isolation_forest_score(frame, features.ANOMALY_FEATURES, **forest_options)
+    return run_anomalies(wells, readings, rainfall, **forest_options).scores

@@ -110,6 +110,8 @@ BORE_SUMMARIES = _struct(
     ("event_date", _DATE), ("before", _DBL), ("shallowest", _DBL),
 )
 
+MESSAGES = _struct(("event_id", _LONG), ("subject", _STR), ("body", _STR), ("chat_text", _STR))
+
 # Last value of every tag of a bore.
 TAG_STATE = _struct(
     ("well_id", _INT), ("location", _STR), ("level", _DBL), ("tds", _DBL), ("pump", _DBL), ("valve", _DBL),

@@ -55,13 +55,15 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str], keep_old: bool
 
 class KeyedTable:
     def __init__(
-        self, spark: SparkSession, root: str, schema: T.StructType, keys: list[str], month_of: str | None = None
+        self, spark: SparkSession, root: str, schema: T.StructType, keys: list[str], month_of: str | None = None,
+        part: Column | None = None,
     ) -> None:
+        """``part`` splits the table by another text than the month; like that, it must follow from the key."""
         # A key must always fall into the same month, else its old row would survive a load.
         if month_of and month_of not in keys:
             raise ValueError(f"{month_of} must be one of the keys {keys}")
         self.spark, self.root, self.schema, self.keys = spark, root.rstrip("/"), schema, keys
-        self._part = F.date_format(month_of, "yyyy-MM") if month_of else F.lit("all")
+        self._part = F.date_format(month_of, "yyyy-MM") if month_of else F.lit("all") if part is None else part
 
     @classmethod
     def named(cls, spark: SparkSession, folder: str, name: str) -> KeyedTable:

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from aquifold.operators import views
 from aquifold.plans import detection
 from aquifold.plans.ingest import load
 from aquifold.sources import landed
+from aquifold.sources.alerts import AlertQueue
 from aquifold.sources.store import KeyedTable
 from aquifold.sources.summaries import SummarisedStore
 from aquifold.streaming import tags as tag_ops
@@ -46,37 +46,13 @@ def start_telemetry_windows(
     )
 
 
-def alert_table(spark: SparkSession, root: str) -> KeyedTable:
-    schema = T.StructType([
-        T.StructField("event_id", T.LongType()), T.StructField("subject", T.StringType()),
-        T.StructField("body", T.StringType()), T.StructField("chat_text", T.StringType()),
-    ])
-    return KeyedTable(spark, root, schema, ["event_id"])
-
-
-def send_alerts(events: KeyedTable, wells: DataFrame, alerts: KeyedTable) -> int:
-    """Write messages for unsent CRITICAL events, then mark those events as sent.
-
-    If the run stops in between, the next one writes the same rows again.
-    """
-    stored = events.read()
-    messages = views.alert_messages(views.unsent_critical_events(stored, wells))
-    sent = alerts.upsert(messages)
-    if sent:
-        written = alerts.read().select("event_id")
-        touched = stored.filter(F.col("alert_sent") == 0).join(written, "event_id", "left_semi")
-        events.upsert(views.mark_alerted(touched, written))
-    return sent
-
-
 def start_alerts(
-    event_stream: DataFrame, events: KeyedTable, wells: DataFrame, alerts: KeyedTable, checkpoint: str,
-    trigger: dict | None = None,
+    event_stream: DataFrame, alerts: AlertQueue, wells: DataFrame, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
     """Store arriving events and alert on unsent critical ones, every 15 minutes by default."""
     def apply(batch: DataFrame, _: int) -> None:
-        events.insert_new(batch)
-        send_alerts(events, wells, alerts)
+        alerts.insert(batch)
+        alerts.send(wells)
 
     return _start(event_stream, apply, checkpoint, "append", trigger or {"processingTime": "15 minutes"})
 

@@ -246,8 +246,7 @@ CTES |= {
         SELECT well_id, reading_date, target_date, level_now, target AS actual,
                round(level_roll_mean_7, 6) AS predicted FROM features""",
     "scores": """
-        SELECT *, anomaly_score > 0 AS is_anomaly
-        FROM (SELECT *, round(abs(level_z) - 3, 6) AS anomaly_score FROM anomaly_rows)""",
+        SELECT * EXCLUDE (raw, cut), round(raw - cut, 9) AS anomaly_score, raw > cut AS is_anomaly FROM forest_raw, forest_cut""",
     "status_now": """
         SELECT w.well_id, CASE WHEN c IS NULL THEN 'Normal' WHEN c THEN 'Critical' ELSE 'Watch' END AS status
         FROM wells w LEFT JOIN (SELECT well_id, bool_or(severity = 'CRITICAL') AS c FROM anomalies, as_of
@@ -325,6 +324,66 @@ CTES["snapshot"] = f"""
             LEFT JOIN worst_event e ON e.well_id = w.well_id''')})"""
 
 _SNAPSHOT_OUT = f"SELECT * REPLACE (CAST(risk_snapshot_date AS VARCHAR) AS risk_snapshot_date) FROM"
+# The isolation forest: 300 trees of 256 rows, whose draws are md5 numbers.
+
+
+def _drawn(text: str) -> str:
+    return f"(('0x' || substr(md5({text}), 1, 13))::BIGINT::DOUBLE / 4503599627370496e0)"
+
+
+_MEAN_PATH = "CASE WHEN n <= 1 THEN 0e0 WHEN n = 2 THEN 1e0 ELSE 2e0 * (ln(n - 1e0) + 0.5772156649015329e0) - 2e0 * (n - 1e0) / n END"
+
+CTES["forest_rows"] = """
+    SELECT well_id, reading_date, water_level_mbgl, tds_mg_per_l, x[1] AS level_z, x[2] AS tds_z,
+           x, well_id || '|' || reading_date AS k
+    FROM (SELECT *, [""" + ", ".join(r(c, 6) for c in ("level_z", "tds_z", "level_diff", "tds_diff", "rain_sum_7")) + """] AS x
+          FROM anomaly_rows)"""
+CTES["forest_size"] = """
+    SELECT least(1e0, wanted * 300) AS keep, wanted / least(1e0, wanted * 300) AS per_tree
+    FROM (SELECT least(1e0, 1.5e0 * 256 / count(*)) AS wanted FROM forest_rows)"""
+CTES["forest_samples"] = f"""
+    SELECT tree, x FROM (
+      SELECT tree, x, row_number() OVER (PARTITION BY tree ORDER BY draw, k) AS place FROM (
+        SELECT t.tree, x, k, per_tree, {_drawn("'0|' || t.tree || '|' || k")} AS draw
+        FROM forest_rows, forest_size, range(300) AS t(tree) WHERE {_drawn("'0|' || k")} < keep)
+      WHERE draw < per_tree) WHERE place <= 256"""
+_CHOSEN = f"""
+    SELECT *, lo[f] + {_drawn("'0|' || tree || '|' || node || '|cut'")} * (hi[f] - lo[f]) AS cut FROM (
+      SELECT *, varying[1 + floor({_drawn("'0|' || tree || '|' || node || '|feature'")} * len(varying))::INT] AS f FROM (
+        SELECT *, list_filter([1, 2, 3, 4, 5], lambda i: hi[i] > lo[i]) AS varying FROM ({{source}})))"""
+_ENDS = [f"{end}(x[{i}])" for end in ("min", "max") for i in range(1, 6)]
+_LOW, _HIGH = (", ".join(e + "{over}" for e in _ENDS[:5]), ", ".join(e + "{over}" for e in _ENDS[5:]))
+CTES["forest_nodes"] = """
+    SELECT tree, 0 AS node, 0 AS depth, x FROM forest_samples
+    UNION ALL
+    SELECT tree, 2 * node + 1 + (x[f] > cut)::INT, depth + 1, x FROM (""" + _CHOSEN.format(source=f"""
+        SELECT *, [{_LOW.format(over=" OVER w")}] AS lo, [{_HIGH.format(over=" OVER w")}] AS hi FROM forest_nodes
+        WINDOW w AS (PARTITION BY tree, node)""") + ") WHERE depth < 8 AND len(varying) > 0"
+CTES["forest_splits"] = _CHOSEN.format(source=f"""
+    SELECT tree, node, depth, count(*) AS n, [{_LOW.format(over="")}] AS lo, [{_HIGH.format(over="")}] AS hi
+    FROM forest_nodes GROUP BY tree, node, depth""")
+CTES["forest_trees"] = f"""
+    SELECT tree, fs, cuts, paths FROM (
+      SELECT t.tree, list(coalesce(f, 1) ORDER BY i) AS fs, list(coalesce(cut, 'infinity'::DOUBLE) ORDER BY i) AS cuts
+      FROM range(300) AS t(tree) CROSS JOIN range(255) AS n(i)
+      LEFT JOIN (SELECT * FROM forest_splits WHERE depth < 8 AND len(varying) > 0) s ON s.tree = t.tree AND s.node = n.i GROUP BY t.tree)
+    JOIN (
+      SELECT t.tree, list(coalesce(path, 0) ORDER BY i) AS paths FROM range(300) AS t(tree) CROSS JOIN range(256) AS n(i)
+      LEFT JOIN (SELECT tree, (node + 1) * (1 << (8 - depth)) - 256 AS slot, round((depth + {_MEAN_PATH}) * 1e9)::BIGINT AS path
+                 FROM forest_splits WHERE depth = 8 OR len(varying) = 0) s ON s.tree = t.tree AND s.slot = n.i GROUP BY t.tree) USING (tree)"""
+_WALK = "SELECT k, x, fs, cuts, paths, 0 AS node FROM forest_rows, forest_trees"
+for _ in range(8):
+    _WALK = f"SELECT k, x, fs, cuts, paths, 2 * node + 1 + (x[fs[node + 1]] > cuts[node + 1])::INT AS node FROM ({_WALK})"
+CTES["forest_raw"] = f"""
+    SELECT r.* EXCLUDE (x, k), raw FROM forest_rows r JOIN (
+      SELECT k, round(pow(2e0, -(sum(paths[node - 254])::DOUBLE / 1e9) / 300 / (2e0 * (ln(255e0) + 0.5772156649015329e0) - 2e0 * 255 / 256)), 9) AS raw
+      FROM ({_WALK}) GROUP BY k) USING (k)"""
+CTES["forest_cut"] = """
+    SELECT low + (high - low) * (p - floor(p)) AS cut FROM (
+      SELECT 0.99e0 * (n - 1) AS p, max(raw) FILTER (place = floor(0.99e0 * (n - 1))) AS low,
+             max(raw) FILTER (place = least(floor(0.99e0 * (n - 1)) + 1, n - 1)) AS high
+      FROM (SELECT raw, row_number() OVER (ORDER BY raw) - 1 AS place, count(*) OVER () AS n FROM forest_raw) GROUP BY n)"""
+
 #: Key, day, two numbers and texts of each table, as in the registry's common layout.
 _LAYOUT = {
     "wells": ("wells", "well_id", "NULL", "latitude", "longitude", "source_dh_no location_name aquifer_name management_area coastal_flag"),
@@ -722,6 +781,7 @@ ORACLES: dict[str, str] = {
         SELECT well_id, CAST(reading_date AS VARCHAR) AS reading_date,
                {", ".join(f"{r(c, 6)} AS {c}" for c in ("level_z", "tds_z", "level_diff", "tds_diff", "rain_sum_7"))}
         FROM anomaly_rows""",
+    "isolation_forest_score": "SELECT * REPLACE (CAST(reading_date AS VARCHAR) AS reading_date, CAST(is_anomaly AS BIGINT) AS is_anomaly) FROM scores",
     "top_anomalies": """
         SELECT well_id, CAST(reading_date AS VARCHAR) AS reading_date, anomaly_score FROM (
           SELECT * FROM scores WHERE is_anomaly ORDER BY anomaly_score DESC, well_id, reading_date LIMIT 10)""",
@@ -766,7 +826,11 @@ ORACLES: dict[str, str] = {
     "tag_health": f"SELECT CAST(count(*) > 0 AS BIGINT) AS connected, {ts('max(last_update)')} AS last_update, count(level) AS tag_count FROM tag_state",
     "alert_stream": """
         SELECT e.event_id, e.severity, CASE WHEN e.severity = 'CRITICAL' THEN 1 ELSE e.alert_sent END AS alert_sent,
-               'CRITICAL groundwater alert: ' || a.anomaly_type || ' at ' || a.location_name AS subject
+               'CRITICAL groundwater alert: ' || a.anomaly_type || ' at ' || a.location_name AS subject,
+               '<p><b>Management area:</b> ' || a.management_area || '</p><p><b>Event date:</b> '
+                 || CAST(a.event_date AS VARCHAR) || '</p><p><b>Detail:</b> ' || a.detail || '</p>' AS body,
+               'CRITICAL: ' || a.anomaly_type || ' detected at ' || a.location_name || ' (' || a.management_area || '). '
+                 || a.detail AS chat_text
         FROM anomalies e LEFT JOIN alerts a ON a.event_id = e.event_id""",
     "daily_detection_stream": f"{_EVENT_OUT} detected",
     "ingest_stream": f"""
@@ -778,6 +842,8 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, time_bucket(INTERVAL 5 MINUTE, ts) AS w FROM tags) GROUP BY w, well_id, field""",
 }
 
+#: Tables that cost too much to be computed at each mention.
+_ONCE = {"anomaly_rows", "forest_rows", "forest_samples", "forest_splits", "forest_trees", "forest_raw"}
 _WORD = re.compile(r"[a-z_0-9]+")
 
 
@@ -793,8 +859,8 @@ def _collect(sql: str, seen: set[str], order: list[str]) -> None:
 def _complete(sql: str) -> str:
     order: list[str] = []
     _collect(sql, set(), order)
-    tables = ",\n".join(f"{name} AS ({CTES[name]})" for name in order)
-    return f"WITH {tables}\n{sql}" if order else sql
+    tables = ",\n".join(f"{name} AS {'MATERIALIZED ' if name in _ONCE else ''}({CTES[name]})" for name in order)
+    return f"WITH RECURSIVE {tables}\n{sql}" if order else sql
 
 
 def oracle_sql() -> dict[str, str]:

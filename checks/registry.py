@@ -16,6 +16,7 @@ from aquifold.operators import (
 from aquifold.plans import detection, ingest
 from aquifold.session import new_folder
 from aquifold.sources import landed, store
+from aquifold.sources.alerts import AlertQueue
 from aquifold.sources.store import KeyedTable
 from aquifold.sources.summaries import SummarisedStore
 from aquifold.streaming import jobs, tag_state, tags
@@ -699,7 +700,7 @@ def anomaly_features(t: StarTables) -> DataFrame:
 
 @query
 def isolation_forest_score(t: StarTables) -> DataFrame:
-    return forest.isolation_forest_score(t.anomaly_frame, features.ANOMALY_FEATURES)
+    return t.scores
 
 
 @query
@@ -812,15 +813,11 @@ def alert_stream(t: StarTables) -> DataFrame:
     folder = new_folder(t.spark, "alerts")
     source = f"{folder}/source"
     t.events.write.parquet(source)
-    events = KeyedTable.named(t.spark, folder, "events")
-    alerts = jobs.alert_table(t.spark, f"{folder}/messages")
+    alerts = AlertQueue(t.spark, folder)
     stream = jobs.file_stream(t.spark, source, t.events.schema)
-    jobs.start_alerts(
-        stream, events, t.wells, alerts, f"{folder}/checkpoint", {"availableNow": True}
-    ).awaitTermination()
+    jobs.start_alerts(stream, alerts, t.wells, f"{folder}/checkpoint", {"availableNow": True}).awaitTermination()
     return (
-        events.read().select("event_id", "severity", "alert_sent")
-        .join(alerts.read().select("event_id", "subject"), "event_id", "left")
+        alerts.events.read().select("event_id", "severity", "alert_sent").join(alerts.outbox.read(), "event_id", "left")
     )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aquifold.functions import as_double, latest_date
-from aquifold.operators import curated, features, forecast, risk
+from aquifold.operators import curated, features, forecast, forest, risk
 from aquifold.plans import detection
 from aquifold.session import stage
 
@@ -235,11 +235,11 @@ class StarTables:
 
     @cached_property
     def scores(self) -> DataFrame:
-        """Score rows whose score is how far the level is beyond three deviations."""
-        return self.anomaly_frame.select(
-            "well_id", "reading_date", "water_level_mbgl", "tds_mg_per_l", "level_z", "tds_z",
-            F.round(F.abs("level_z") - 3, 6).alias("anomaly_score"),
-        ).withColumn("is_anomaly", F.col("anomaly_score") > 0)
+        """Scores of the isolation forest at its default size, on features rounded to six digits."""
+        names = features.ANOMALY_FEATURES
+        frame = self.anomaly_frame.withColumns({c: F.round(F.round(c, 9), 6) for c in names})
+        scores = forest.isolation_forest_score(frame, names)
+        return stage(scores.withColumn("anomaly_score", F.round("anomaly_score", 9)), "scores")
 
     @cached_property
     def tag_events(self) -> DataFrame:

@@ -8,9 +8,11 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from aquifold import schemas
 from aquifold.functions.quantiles import unit_quantile
 from aquifold.operators import features, forecast, forest
 from aquifold.plans import forecasting
+from aquifold.sources import landed
 
 START = dt.date(2023, 6, 9)
 DAYS, BORES = 1095, 6
@@ -161,9 +163,10 @@ def test_persistence_matches_the_feature_frames(data):
 # isolation forest -------------------------------------------------------------------
 
 
-def test_planted_bores_are_flagged(data):
+def test_planted_bores_are_flagged(spark, data, tmp_path):
     wells, readings, rain = data
-    scores = forecasting.score_anomalies(wells, readings, rain, trees=100)
+    run = forecasting.run_anomalies(wells, readings, rain, trees=100)
+    scores = run.scores
     total, flagged = scores.count(), scores.filter("is_anomaly").count()
     assert 0.005 * total < flagged <= math.ceil(0.01 * total)
     planted = wells.filter("well_id in (1, 5)")
@@ -171,6 +174,20 @@ def test_planted_bores_are_flagged(data):
     worst = forest.top_anomalies(scores, 10).collect()
     assert len(worst) == 10 and worst[0].anomaly_score >= worst[-1].anomaly_score > 0
 
+    forecasting.save_anomalies(run, str(tmp_path))
+    again = forest.IsolationForestModel.load(spark, f"{tmp_path}/anomaly_model")
+    assert (again.features, again.sample_size, again.threshold) == (run.model.features, run.model.sample_size, run.model.threshold)
+    points = features.anomaly_features(wells, readings, rain.drop("station_id", "data_quality_flag"))
+    keys = ["well_id", "reading_date", "anomaly_score", "is_anomaly"]
+    assert {tuple(r) for r in again.transform(points).select(keys).collect()} == {tuple(r) for r in scores.select(keys).collect()}
+    stored = spark.read.parquet(f"{tmp_path}/anomaly_scores")
+    assert {tuple(r) for r in stored.select(keys).collect()} == {tuple(r) for r in scores.select(keys).collect()}
+    top = landed.read_csv_by_name(spark, f"{tmp_path}/top_anomalies", schemas.SCORES)
+    assert [r.well_id for r in top.orderBy(F.desc("anomaly_score"), "well_id", "reading_date").collect()] == [r.well_id for r in worst]
+    sweep = spark.createDataFrame([(7, 0.1, 0.2, 50.0)], "horizon_days int, model_mae_m double, baseline_mae_m double, improvement_pct double")
+    forecasting.save_sweep(sweep, str(tmp_path))
+    assert landed.read_csv_by_name(spark, f"{tmp_path}/forecast_horizon_sweep", sweep.schema).collect() == sweep.collect()
+
 
 def test_forest_separates_an_outlier_and_repeats(spark):
     rng = np.random.default_rng(1)
@@ -198,7 +215,7 @@ def test_scores_against_a_row_by_row_walk(spark):
             while node < len(tree.feature):
                 node = 2 * node + (2 if row[2 + tree.feature[node]] > tree.threshold[node] else 1)
             lengths.append(tree.path[node - len(tree.feature)])
-        return round(2 ** (-np.mean(lengths) / scale), 9)
+        return round(2 ** (-np.mean(lengths) / 1e9 / scale), 9)
 
     got = {r.well_id: r.raw for r in df.select("well_id", model.raw_score(df).alias("raw")).collect()}
     assert got == pytest.approx({p[0]: walk(p) for p in points}, abs=2e-9)

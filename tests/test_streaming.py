@@ -3,12 +3,14 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from aquifold import schemas
 from aquifold.plans import detection
 from aquifold.sources import landed
-from aquifold.sources.store import KeyedTable, insert_new_events
+from aquifold.sources.alerts import AlertQueue
+from aquifold.sources.store import KeyedTable
 from aquifold.sources.summaries import SummarisedStore
 from aquifold.streaming import jobs, tag_state, tags
 
@@ -126,34 +128,71 @@ def test_telemetry_windows_close_after_the_delay(spark, tmp_path):
     assert closed == {(0, 2, 5.0), (5, 1, 9.0)}
 
 
+def events_of(spark, *rows):
+    """Events (id, bore, date, type, severity, sent) as stored rows."""
+    at = dt.datetime(2024, 1, 2)
+    full = [(i, w, at, day, kind, severity, 1.0, 2.0, "d", sent) for i, w, day, kind, severity, sent in rows]
+    return spark.createDataFrame(full, "event_id long, well_id int, detected_at timestamp, event_date date, anomaly_type string, "
+                                 "severity string, threshold_value double, actual_value double, detail string, alert_sent int")
+
+
+WELLS = "well_id int, location_name string, management_area string"
+
+
 def test_alerts_are_written_once_and_marked(spark, tmp_path):
-    wells = spark.createDataFrame([(1, "One", "A")], "well_id int, location_name string, management_area string")
-    events = KeyedTable.named(spark, str(tmp_path), "events")
-    alerts = jobs.alert_table(spark, str(tmp_path / "alerts"))
-    detected = spark.createDataFrame(
-        [(1, dt.date(2024, 1, 1), "A", "CRITICAL", 1.0, 2.0, "d"), (1, dt.date(2024, 1, 1), "B", "WARNING", 1.0, 2.0, "d")],
-        schemas.DETECTED_EVENTS,
-    )
-    insert_new_events(events, detected)
-    assert jobs.send_alerts(events, wells, alerts) == 1
-    assert jobs.send_alerts(events, wells, alerts) == 0
-    assert alerts.read().count() == 1
-    assert {(r.severity, r.alert_sent) for r in events.read().collect()} == {("CRITICAL", 1), ("WARNING", 0)}
-
-
-def test_alert_run_that_died_before_marking_is_finished(spark, tmp_path):
-    wells = spark.createDataFrame([(1, "One", "A")], "well_id int, location_name string, management_area string")
-    events = KeyedTable.named(spark, str(tmp_path), "events")
-    alerts = jobs.alert_table(spark, str(tmp_path / "alerts"))
-    insert_new_events(events, spark.createDataFrame(
-        [(1, dt.date(2024, 1, 1), "A", "CRITICAL", 1.0, 2.0, "d")], schemas.DETECTED_EVENTS
-    ))
-    from aquifold.operators import views
-
-    alerts.upsert(views.alert_messages(views.unsent_critical_events(events.read(), wells)))
-    jobs.send_alerts(events, wells, alerts)
-    assert alerts.read().count() == 1
-    assert events.read().first().alert_sent == 1
+    wells = spark.createDataFrame([(1, "One", "A")], WELLS)
+    day = dt.date(2024, 1, 1)
+    alerts = AlertQueue(spark, str(tmp_path))
+    batch = events_of(spark, (1, 1, day, "A", "CRITICAL", 0), (2, 1, day, "B", "WARNING", 0), (3, 9, day, "A", "CRITICAL", 0), (4, 1, day, "C", "CRITICAL", 1))
+    assert alerts.insert(batch) == 4
+    assert alerts.send(wells) == 1 and alerts.send(wells) == 0
+    # The same events delivered again are neither stored nor sent again; the unknown bore's waits until it is known.
+    assert alerts.insert(batch) == 0 and alerts.send(wells) == 0
+    assert [r.event_id for r in alerts.outbox.read().collect()] == [1]
+    assert {(r.event_id, r.alert_sent) for r in alerts.events.read().collect()} == {(1, 1), (2, 0), (3, 0), (4, 1)}
+    assert alerts.send(wells.union(spark.createDataFrame([(9, "Nine", "B")], WELLS))) == 1
+    assert {r.event_id: r.subject for r in alerts.outbox.read().collect()}[3].endswith("A at Nine")
+    assert alerts.unsent.read().count() == 0
+
+
+@pytest.mark.parametrize("broken", ["events", "unsent"])
+def test_alert_run_that_died_is_finished(spark, tmp_path, monkeypatch, broken):
+    """The poll stops before it marks the events, or before it empties the queue."""
+    wells = spark.createDataFrame([(1, "One", "A")], WELLS)
+    alerts = AlertQueue(spark, str(tmp_path))
+    alerts.insert(events_of(spark, (1, 1, dt.date(2024, 1, 1), "A", "CRITICAL", 0)))
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(getattr(alerts, broken), "upsert" if broken == "events" else "overwrite", fail)
+        with pytest.raises(OSError):
+            alerts.send(wells)
+    alerts.send(wells)
+    assert alerts.outbox.read().count() == 1 and alerts.unsent.read().count() == 0
+    assert alerts.events.read().first().alert_sent == 1
+
+
+def test_a_poll_reads_no_history(spark, tmp_path, monkeypatch):
+    wells = spark.createDataFrame([(1, "One", "A")], WELLS)
+    alerts = AlertQueue(spark, str(tmp_path))
+    history = [(i, 1, dt.date(2020 + i // 12, i % 12 + 1, 1), "A", "CRITICAL", 0) for i in range(36)]
+    alerts.insert(events_of(spark, *history))
+    assert alerts.send(wells) == 36
+    read, whole = [], KeyedTable.read
+
+    def watched(self, parts=None, since=None):
+        rows = whole(self, parts, since)
+        if self.root != alerts.unsent.root:
+            read.append((self.root.rsplit("/", 1)[-1], parts))
+        return rows
+
+    monkeypatch.setattr(KeyedTable, "read", watched)
+    alerts.insert(events_of(spark, (100, 1, dt.date(2024, 5, 2), "A", "CRITICAL", 0)))
+    assert alerts.send(wells) == 1
+    assert {name for name, _ in read} == {"events", "outbox"}
+    assert all(parts == ({"2024-05"} if name == "events" else {"0"}) for name, parts in read)
 
 
 def test_ingest_takes_the_last_arrival_and_repeats(spark, tmp_path):
