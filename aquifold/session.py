@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -93,6 +95,26 @@ class Staging:
         delete_folder(self._spark, self.folder)
 
 
+#: Folders of the tables staged since a ``recorded_stages`` block was entered, innermost block last.
+_RECORDS: list[list[str]] = []
+
+
+@contextmanager
+def recorded_stages() -> Iterator[list[str]]:
+    """The folders that ``stage`` fills inside the block, so that their owner can remove them once nothing reads them."""
+    folders: list[str] = []
+    _RECORDS.append(folders)
+    try:
+        yield folders
+    finally:
+        _RECORDS.pop()
+        if _RECORDS:
+            _RECORDS[-1].extend(folders)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Stage one table that stays until the shared folder is cleaned."""
-    return Staging(df.sparkSession).write(df, label)
+    """Stage one table that stays until the shared folder is cleaned, or its recorder removes it."""
+    staging = Staging(df.sparkSession)
+    if _RECORDS:
+        _RECORDS[-1].append(staging.folder)
+    return staging.write(df, label)
