@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from aquifold.session import stage
+
 #: Turns whose prefix sums are taken in one task; blocks of a conversation are summed separately.
 _BLOCK = 64
 
@@ -63,14 +65,16 @@ def numbered_turns(conversations: DataFrame) -> DataFrame:
 def format_windows(conversations: DataFrame, budget: int = 2048, history_turns: int = 4) -> DataFrame:
     """One row per training window: conv_id, first_turn, n_turns, n_context, n_tokens, text, turn_spans, loss_spans.
 
-    The budget is divided: a quarter for repeated history and the system turn, the rest for new
-    turns. Prefix sums of the turns' tokens choose the spans: turns whose sum so far falls into
-    the same half of that rest share a window, so every window stays within its part; a
-    turn that alone exceeds half of it gets a window of its own. A window after the first begins
-    with the conversation's system turn (its first turn, if it has that role) and with up to
-    ``history_turns`` turns before its own that fit the history's share. Each turn is new in
-    exactly one window; the loss covers the texts of new assistant turns only, so repeated
-    targets are masked.
+    The budget is divided: a quarter, or as much as the system turn takes if that is more, for repeated
+    history and the system turn, the rest for new turns. Prefix sums of the turns' tokens choose the
+    spans: turns whose sum so far falls into the same half of that rest share a window, so every
+    window stays within its part; a turn that alone exceeds half of it gets a window of its
+    own. A window after the first begins with the conversation's system turn (its first turn, if it has
+    that role) and with up to ``history_turns`` turns before its own that fit what the system turn
+    leaves of the quarter. Both give way to the new turns: a system turn is repeated only if it takes
+    at most half of the budget and fits beside them (or if one of them exceeds the budget by itself),
+    history only as far as it fits. So a window exceeds the budget only where one new turn does. Each turn is new in exactly one window; the loss
+    covers the texts of new assistant turns only, so repeated targets are masked.
 
     ``text`` is the template's; ``turn_spans`` (start, end) are the new turns and ``loss_spans``
     the learned texts in it, code points, end exclusive. Needs conv_id, turn, role and text;
@@ -78,32 +82,44 @@ def format_windows(conversations: DataFrame, budget: int = 2048, history_turns:
     are ordered by role and text, repeated rows are repeated turns.
     """
     history = budget // 4
-    half = max(1, (budget - history) // 2)
-    turns = numbered_turns(conversations)
-    big = F.col("tokens") > half
+    turns = stage(numbered_turns(conversations), "turns")
+    system = turns.filter("position = 0 and role = 'system'").filter(F.col("tokens") <= budget // 2)
+    system = system.select("conv_id", "position", "role", "text", "tokens")
+    sizes = system.select("conv_id", F.col("tokens").alias("system_tokens"))
+    marked = turns.alias("t").join(sizes.alias("s"), F.col("t.conv_id").eqNullSafe(F.col("s.conv_id")), "left").select(
+        "t.*", F.coalesce("system_tokens", F.lit(0)).alias("system_tokens")
+    )
+    half = F.greatest(F.lit(1), F.floor((budget - F.greatest(F.lit(history), F.col("system_tokens"))) / 2))
     # Windows are named by their first position: the largest position so far at which one starts.
-    marked = turns.withColumn("big", big).withColumn("bin", F.floor(F.col("before") / half))
+    marked = marked.withColumn("big", F.col("tokens") > half).withColumn("bin", F.floor(F.col("before") / half))
     place = F.struct("bin", "big", F.when(F.col("big"), F.col("position")).alias("own"))
     windows = marked.groupBy("conv_id", place.alias("place")).agg(
-        F.min("position").alias("first_turn"), F.min("before").alias("tokens_before")
+        F.min("position").alias("first_turn"), F.min("before").alias("tokens_before"),
+        (budget - F.sum("tokens")).alias("left"), F.first("system_tokens").alias("system_tokens"),
+    )
+    repeats = F.when((F.col("system_tokens") <= F.col("left")) | (F.col("left") < 0), F.col("system_tokens")).otherwise(0)
+    windows = windows.withColumn("system_tokens", repeats).withColumn(
+        "room", F.least(history - F.col("system_tokens"), F.col("left") - F.col("system_tokens"))
     )
     # In one bin a big turn can only be the last, because the next turn's sum is in a later bin.
     new = marked.withColumn("place", place).alias("t").join(
         windows.alias("w"), F.col("t.conv_id").eqNullSafe(F.col("w.conv_id")) & F.col("t.place").eqNullSafe(F.col("w.place"))
     ).select("t.conv_id", "first_turn", F.lit(2).alias("rank"), "position", "role", "t.text", "tokens", F.lit(True).alias("fresh"))
-    later = windows.filter("first_turn > 0").select("conv_id", "first_turn", "tokens_before")
-    system = marked.filter("position = 0 and role = 'system'").select("conv_id", "position", "role", "text", "tokens")
-    kept = later.alias("w").join(system.alias("s"), F.col("w.conv_id").eqNullSafe(F.col("s.conv_id"))).select(
+    later = windows.filter("first_turn > 0").select("conv_id", "first_turn", "tokens_before", "system_tokens", "room")
+    kept = later.filter("system_tokens > 0").alias("w").join(
+        system.alias("s"), F.col("w.conv_id").eqNullSafe(F.col("s.conv_id"))
+    ).select(
         "w.conv_id", "first_turn", F.lit(0).alias("rank"), "position", "role", "text", "tokens", F.lit(False).alias("fresh")
     )
-    wanted = later.select(
-        "conv_id", "first_turn", "tokens_before",
+    wanted = later.filter("room > 0").select(
+        "conv_id", "first_turn", "tokens_before", "room",
         F.explode(F.sequence(F.greatest(F.lit(0), F.col("first_turn") - history_turns), F.col("first_turn") - 1)).alias("position"),
     )
     repeated = wanted.alias("w").join(
         marked.alias("t"),
         F.col("w.conv_id").eqNullSafe(F.col("t.conv_id")) & (F.col("w.position") == F.col("t.position"))
-        & (F.col("t.before") >= F.col("w.tokens_before") - history) & ~((F.col("t.position") == 0) & (F.col("t.role") == "system")),
+        & (F.col("t.before") >= F.col("w.tokens_before") - F.col("w.room"))
+        & ~((F.col("t.position") == 0) & (F.col("t.role") == "system")),
     ).select("w.conv_id", "first_turn", F.lit(1).alias("rank"), "t.position", "role", "text", "tokens", F.lit(False).alias("fresh"))
     pieces = new.unionByName(kept).unionByName(repeated)
     written = F.concat(F.lit("<s>"), _escaped_role(F.col("role")), F.lit("\n"), escaped(F.col("text")), F.lit("</s>"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aquifold.session import stage
+from aquifold.session import delete_folder, recorded_stages, stage
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -25,27 +25,30 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     def state(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    current = stage(canonical(edges), "edges")
-    seen = state(current)
-    for _ in range(max_rounds):
-        if not seen[0]:
-            break
-        # Large star: for each node, its larger neighbours go to the smallest of its neighbours and itself.
-        both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = minima(both, "a", "b").select("of", F.least("of", "low").alias("low"))
-        large = both.filter("b > a").join(low, F.col("a") == F.col("of")).select(F.col("low").alias("a"), "b")
-        large = stage(canonical(large), "edges")
-        # Small star: for each node, its smaller neighbours and itself go to the smallest of them.
-        low = minima(large, "b", "a")
-        small = large.join(low, F.col("b") == F.col("of"))
-        current = stage(
-            canonical(small.select(F.col("low").alias("a"), F.col("a").alias("b")).union(small.select(F.col("low").alias("a"), "b"))),
-            "edges",
-        )
-        before, seen = seen, state(current)
-        if seen == before:
-            break
-    else:
-        raise RuntimeError("components did not settle")
+    with recorded_stages() as written:
+        current = stage(canonical(edges), "edges")
+        seen = state(current)
+        for _ in range(max_rounds):
+            if not seen[0]:
+                break
+            # Large star: for each node, its larger neighbours go to the smallest of its neighbours and itself.
+            both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            low = minima(both, "a", "b").select("of", F.least("of", "low").alias("low"))
+            large = both.filter("b > a").join(low, F.col("a") == F.col("of")).select(F.col("low").alias("a"), "b")
+            large = stage(canonical(large), "edges")
+            # Small star: for each node, its smaller neighbours and itself go to the smallest of them.
+            low = minima(large, "b", "a")
+            small = large.join(low, F.col("b") == F.col("of"))
+            pairs = small.select(F.col("low").alias("a"), F.col("a").alias("b")).union(small.select(F.col("low").alias("a"), "b"))
+            current = stage(canonical(pairs), "edges")
+            before, seen = seen, state(current)
+            # Only the last round is read again.
+            for folder in written[:-1]:
+                delete_folder(edges.sparkSession, folder)
+            del written[:-1]
+            if seen == before:
+                break
+        else:
+            raise RuntimeError("components did not settle")
     roots = current.select(F.col("b").alias("node"), F.col("a").alias("root"))
     return roots.union(current.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from aquifold.llm.common import append_columns, slices, texts_of
 from aquifold.llm.components import components
 from aquifold.llm.decontaminate import words_of
-from aquifold.session import stage
+from aquifold.session import delete_folder, recorded_stages, stage
 
 #: Min-hash positions of a signature.
 POSITIONS = 64
@@ -310,7 +310,11 @@ def _similar(docs: DataFrame, threshold: float, words: int, recall: float = 0.98
         ),
         "classes",
     )
-    candidates = stage(_candidates(classes, threshold, runs_for(threshold, recall)), "candidates")
+    with recorded_stages() as nodes:
+        met = _candidates(classes, threshold, runs_for(threshold, recall))
+    candidates = stage(met, "candidates")
+    for folder in nodes:
+        delete_folder(docs.sparkSession, folder)
     loose = components(candidates)
     sized = loose.join(loose.groupBy("root").agg(F.count("*").alias("size")), "root").withColumnRenamed("node", "key")
     members = stage(sized.join(classes.select("key", "copy_id", "copies"), "key"), "members")
@@ -431,9 +435,13 @@ def keep_one_of_each(docs: DataFrame, threshold: float = 0.8, words: int = 5) ->
     """
     own = F.col("key").isNull() | ((F.col("key") == F.col("lead")) & (F.col("doc_id") == F.col("copy_id")))
     found = stage(_similar(docs, threshold, words).select("doc_id", "key", own.alias("kept")), "similar")
-    gone = found.filter("not kept").select("doc_id", F.col("key").alias("__key")).distinct()
+    # Decisions are ids, written before they meet the texts: Spark knows their size then, and shuffles the texts
+    # only if they are too many to be sent to every executor.
+    gone = stage(found.filter("not kept").select("doc_id", F.col("key").alias("__key")).distinct(), "gone")
     repeated = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    single = docs.join(gone.select("doc_id").union(repeated).distinct(), "doc_id", "left_anti")
+    repeated = stage(repeated, "repeated")
+    decided = stage(gone.select("doc_id").union(repeated).distinct(), "decided")
+    single = docs.join(decided, "doc_id", "left_anti")
     several = _with_keys(docs.join(repeated, "doc_id", "left_semi"), words).join(gone, ["doc_id", "__key"], "left_anti")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     # min_by would pass over rows of null text.

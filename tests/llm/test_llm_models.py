@@ -56,6 +56,27 @@ def test_windows_give_back_every_turn_once(spark):
     assert chat.format_windows(turns.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("system_words", [2, 60, 250, 450, 600, 3000])
+def test_no_window_exceeds_the_budget(spark, system_words):
+    """Whatever the system turn takes, unless one new turn alone does; it is kept while it takes at most half of the budget."""
+    rng = random.Random(system_words)
+    rows = [(1, 0, "system", "word " * system_words)]
+    rows += [(1, i, ("user", "assistant")[i % 2], "word " * rng.choice([1, 5, 40, 90, 200, 500 if i % 9 == 0 else 30])) for i in range(1, 120)]
+    rows += [(None, 0, "system", "word " * system_words), (None, 0, "system", "a tie"), *[(None, i, "user", "word " * 70) for i in range(1, 40)]]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    tokens = {(r.conv_id, r.position): r.tokens for r in chat.numbered_turns(turns).collect()}
+    windows = chat.format_windows(turns, budget=1000).collect()
+    assert sorted(p for r in windows if r.conv_id == 1 for p in range(r.first_turn, r.first_turn + r.n_turns)) == list(range(120))
+    for r in windows:
+        new = sum(tokens[r.conv_id, p] for p in range(r.first_turn, r.first_turn + r.n_turns))
+        system = tokens[r.conv_id, 0]
+        assert r.n_tokens <= (1000 if new <= 1000 else new + system)
+        if r.first_turn and system <= 500 and new + system <= 1000:
+            assert r.text.startswith("<s>system")
+    if system_words == 450:
+        assert any(r.n_tokens > 800 for r in windows)
+
+
 # nearest neighbours ---------------------------------------------------------------------
 
 
@@ -285,4 +306,4 @@ def test_pipeline_stages_keep_the_documents_schema_and_pack_what_is_left(spark):
 def test_registry_names():
     names = list(registry.queries())
     assert [n for n in names if n.startswith("op")] == sorted((n for n in names if n.startswith("op")), key=lambda n: int(n[2:].split("_")[0]))
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11)) and "pipeline" in names
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14)) and "pipeline" in names
