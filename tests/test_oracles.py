@@ -12,7 +12,7 @@ FOLDER = os.environ.get("AQUIFOLD_TEST_DATA", "/root/testdata/sf0.001")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test data not present")
 
-NO_SQL = {"gbt_forecast", "horizon_sweep", "isolation_forest_score", "feature_importance"}
+NO_SQL = {"gbt_forecast", "horizon_sweep", "feature_importance"}
 
 
 def test_every_deterministic_query_has_an_oracle():
