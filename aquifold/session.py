@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+_CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(
@@ -65,6 +66,17 @@ def delete_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside the block leave no shuffle files behind; otherwise those stay until the driver collects garbage."""
+    before = spark.conf.get(_CLEANUP_KEY, "false")
+    spark.conf.set(_CLEANUP_KEY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP_KEY, before)
+
+
 class Staging:
     """Intermediate tables of one job, written to the shared folder.
 
@@ -117,4 +129,5 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     staging = Staging(df.sparkSession)
     if _RECORDS:
         _RECORDS[-1].append(staging.folder)
-    return staging.write(df, label)
+    with freed_shuffles(df.sparkSession):
+        return staging.write(df, label)

@@ -6,11 +6,12 @@ import re
 
 import pytest
 from conftest import day, ripple
+from pyspark.sql import functions as F
 
 from aquifold.functions import latest_date
 from aquifold.operators import curated, detectors, risk, summaries
 from aquifold.plans import detection
-from aquifold.session import Staging, shared_folder
+from aquifold.session import Staging, freed_shuffles, shared_folder, stage
 
 
 @pytest.fixture(scope="module")
@@ -107,3 +108,18 @@ def test_staged_tables_are_removed(spark, readings_of):
         assert files.exists(path)
     assert not files.exists(path)
     assert staging.folder.startswith(shared_folder(spark))
+
+
+def test_staged_writes_leave_no_shuffle_files(spark, tmp_path):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    with freed_shuffles(spark):
+        assert spark.conf.get(key) == "true"
+    with pytest.raises(ZeroDivisionError), freed_shuffles(spark):
+        raise ZeroDivisionError
+    assert spark.conf.get(key) == before
+    counted = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    staged = stage(counted, "counted")
+    assert spark.conf.get(key) == before
+    assert sorted(map(tuple, staged.collect())) == sorted(map(tuple, counted.collect()))
+    assert sorted(map(tuple, stage(counted, "again").collect())) == sorted(map(tuple, counted.collect()))
