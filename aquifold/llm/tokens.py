@@ -1,26 +1,34 @@
 """Token ids of many texts with the tokenizers library, repeated words encoded once.
 
 Both vocabularies used here split a text at white space before they merge, so a
-text's ids are the ids of its chunks in a row. Chunks seen before come from a
-dictionary of bounded size; new chunks are joined into one call of the library.
-A text whose white space is not plain single blanks or line ends goes through
-the library whole, so the ids are always those of ``encode`` on the text.
+text's ids are the ids of its chunks in a row. Arrow splits the texts of a slice
+and numbers their distinct chunks; chunks seen before have their ids in a pool of
+bounded size, new ones are joined into few calls of the library, and NumPy gathers
+the ids of all chunks at once. A text whose white space is not plain single blanks
+or line ends goes through the library whole, so the ids are always those of
+``encode`` on the text.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from aquifold.llm.common import slices
 
 #: Chunks remembered per worker; beyond that only those of the latest slice stay. Results do not depend on it.
 MAX_REMEMBERED = 750_000
 
-_RARE_SPACE = re.compile("[\x01\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Characters of the texts that are split and looked up together.
+SLICE_CHARS = 4_000_000
+
+_RARE_SPACE = (
+    r"[\x01\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
 _MARK = "\x01"
 
 
@@ -30,6 +38,46 @@ def corpus_tokenizer(name: str) -> CorpusTokenizer:
     return CorpusTokenizer(name)
 
 
+class _Pool:
+    """Ids of remembered chunks, one after the other, with each chunk's place and length."""
+
+    def __init__(self, dtype: np.dtype) -> None:
+        self.slots: dict[str, int] = {}
+        self._ids, self._used = np.zeros(1 << 16, dtype), 0
+        self._starts = np.zeros(1 << 14, np.int64)
+        self._lengths = np.zeros(1 << 14, np.int32)
+
+    @staticmethod
+    def _roomy(array: np.ndarray, size: int) -> np.ndarray:
+        if size <= len(array):
+            return array
+        return np.concatenate([array, np.zeros(max(size, 2 * len(array)) - len(array), array.dtype)])
+
+    def add(self, chunks: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        first, end, used = len(self.slots), len(self.slots) + len(chunks), self._used + len(ids)
+        self._ids = self._roomy(self._ids, used)
+        self._starts, self._lengths = self._roomy(self._starts, end), self._roomy(self._lengths, end)
+        self._ids[self._used : used] = ids
+        self._starts[first:end] = self._used + np.cumsum(lengths) - lengths
+        self._lengths[first:end] = lengths
+        self._used = used
+        self.slots.update(zip(chunks, range(first, end), strict=True))
+
+    def gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of these chunks in a row, and where each chunk's begin (one more entry at the end)."""
+        lengths = self._lengths[slots]
+        edges = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+        shift = self._starts[slots] - edges[:-1]
+        return self._ids[np.repeat(shift, lengths) + np.arange(edges[-1])], edges
+
+    def only(self, chunks: list[str]) -> _Pool:
+        """A pool of those of ``chunks`` that this one holds."""
+        kept, out = [c for c in chunks if c in self.slots], _Pool(self._ids.dtype)
+        ids, edges = self.gather(np.fromiter(map(self.slots.__getitem__, kept), np.int64, len(kept)))
+        out.add(kept, ids, np.diff(edges))
+        return out
+
+
 class CorpusTokenizer:
     """Encodes texts to little-endian unsigned ids of ``dtype``; special tokens' strings are ordinary text."""
 
@@ -47,93 +95,130 @@ class CorpusTokenizer:
         self._library.encode_special_tokens = True
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self.dtype = np.dtype("<u2" if self._library.get_vocab_size() <= 65536 else "<u4")
+        size = self._library.get_vocab_size()
+        self.dtype = np.dtype("<u2" if size <= 65536 else "<u4")
         bytewise = spec.get("normalizer") is None and spec["pre_tokenizer"] == {
             "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True,
         }
         wordwise = not bytewise and spec["model"].get("end_of_word_suffix") == "</w>"
-        self._chunks = self._blank_chunks if bytewise else self._word_chunks if wordwise else None
+        self._bytewise, self._by_chunk = bytewise, bytewise or wordwise
         self._lowers = "Lowercase" in json.dumps(spec.get("normalizer"))
-        self._encode_new = self._new_blank_chunks if bytewise else self._new_words
-        self._known: dict[str, bytes] = {}
-        self._separator = self.whole("\n" if bytewise else _MARK) if self._chunks else b""
-        if self._chunks and len(self._separator) != self.dtype.itemsize:
-            self._chunks = None
-
-    def whole(self, text: str) -> bytes:
-        return self._bytes(self._library.encode_batch_fast([text], add_special_tokens=False)[0].ids)
-
-    def _bytes(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype=self.dtype).tobytes()
+        self._pool = _Pool(self.dtype)
+        self._separator = self.whole("\n" if bytewise else _MARK)
+        if len(self._separator) != 1:
+            self._by_chunk = False
+        # Ids that hold a blank (bytewise: a chunk's first id) or end a word (wordwise: a chunk of letters' last id).
+        self._edge = np.zeros(size, bool)
+        for token, i in self._library.get_vocab().items():
+            self._edge[i] = token.startswith("\u0120") if bytewise else token.endswith("</w>")
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self._library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for start, end in slices(texts):
-            if self._chunks is None:
-                for text in texts[start:end]:
-                    yield self.whole(text)
-                continue
-            chunked = [self._chunks(text) for text in texts[start:end]]
-            new: set[str] = set()
-            for chunks in chunked:
-                if chunks is not None:
-                    new.update(chunks)
-            missing = list(new.difference(self._known))
-            if len(self._known) + len(missing) > MAX_REMEMBERED:
-                self._known = {c: self._known[c] for c in new.intersection(self._known)}
-            if missing:
-                self._known.update(self._encode_new(missing))
-            known = self._known.__getitem__
-            for text, chunks in zip(texts[start:end], chunked, strict=True):
-                yield self.whole(text) if chunks is None else b"".join(map(known, chunks))
-
-    # A chunk that starts with a line end stands for itself, one that starts with the mark for the
-    # rest of it (a text's first word), any other for itself after one blank.
-    def _blank_chunks(self, text: str) -> list[str] | None:
-        if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or _RARE_SPACE.search(text):
-            return None
-        chunks = text.replace("\n", " \n").split(" ")
-        if chunks[0]:
-            chunks[0] = _MARK + chunks[0]
+        for start, end in slices(texts, SLICE_CHARS):
+            part = texts[start:end]
+            column = pa.array(part, pa.large_string())
+            plain = self._plain(column) if self._by_chunk else np.zeros(len(part), bool)
+            ids, edges = self._by_chunks(column.filter(pa.array(plain)))
+            bounds = iter(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
+            for text, chunked in zip(part, plain.tolist(), strict=True):
+                if chunked:
+                    a, b = next(bounds)
+                    yield ids[a:b].tobytes()
+                else:
+                    yield self.whole(text).tobytes()
+
+    def _plain(self, column: pa.Array) -> np.ndarray:
+        odd = _RARE_SPACE + (r"|  |\n\n| \n|\n " if self._bytewise else "")
+        plain = pc.and_(pc.invert(pc.match_substring_regex(column, odd)), pc.not_equal(column, ""))
+        return plain.to_numpy(zero_copy_only=False)
+
+    def _by_chunks(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all these texts in a row, and where each text's begin (one more entry at the end)."""
+        if not len(column):
+            return np.zeros(0, self.dtype), np.zeros(1, np.int64)
+        lists = self._chunks(column)
+        coded = lists.flatten().dictionary_encode()
+        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self._pool.slots.get, chunks))
+        missing = [c for c, slot in zip(chunks, found, strict=True) if slot is None]
+        if missing:
+            if len(self._pool.slots) + len(missing) > MAX_REMEMBERED:
+                self._pool = self._pool.only(chunks)
+            for group, ids, lengths in self._encode_new(missing):
+                self._pool.add(group, ids, lengths)
+            found = list(map(self._pool.slots.__getitem__, chunks))
+        slots = np.array(found, np.int64)[coded.indices.to_numpy()]
+        ids, edges = self._pool.gather(slots)
+        return ids, edges[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+
+    # Bytewise, a chunk that starts with a line end stands for itself, one that starts with the mark for
+    # the rest of it (a text's first word), any other for itself after one blank.
+    def _chunks(self, column: pa.Array) -> pa.Array:
+        if self._bytewise:
+            column = pc.replace_substring(column, "\n", " \n")
+            blank = pc.starts_with(column, " ")
+            marked = pc.binary_join_element_wise(pa.scalar(_MARK, column.type), column, pa.scalar("", column.type))
+            column = pc.if_else(blank, pc.utf8_slice_codeunits(column, 1), marked)
         else:
-            del chunks[0]
-        return chunks
-
-    def _new_blank_chunks(self, chunks: list[str]) -> dict[str, bytes]:
-        out = {}
+            column = pc.replace_substring(column, "\n", " ")
+            # A run of signs after a letter is a piece of its own; on its own it shares one entry for all words.
+            column = pc.replace_substring_regex(column, r"(\pL)([.,;:!?#%&*]+)", r"\1 \2")
+            if self._lowers:
+                # The library lower-cases in any case; doing it here lets both spellings share an entry.
+                column = pc.if_else(pc.string_is_ascii(column), pc.ascii_lower(column), column)
+        return pc.split_pattern(column, " ")
+
+    def _encode_new(self, chunks: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+        if not self._bytewise:
+            letters, others = [], []
+            for chunk in chunks:
+                (letters if chunk.isalpha() else others).append(chunk)
+            yield from self._run_on(letters, letters, " ")
+            yield from self._joined(others, others, f" {_MARK} ")
+            return
         plain, lines, first = [], [], []
         for chunk in chunks:
             if chunk in ("", "\n"):
-                out[chunk] = self.whole(chunk or " ")
+                ids = self.whole(chunk or " ")
+                yield [chunk], ids, np.array([len(ids)])
             elif chunk[0] == "\n":
                 lines.append(chunk)
             elif chunk[0] == _MARK:
                 first.append(chunk)
             else:
                 plain.append(chunk)
-        out |= zip(plain, self._joined([" " + c for c in plain], "\n"), strict=True)
-        out |= zip(lines, (self._separator + ids for ids in self._joined([c[1:] for c in lines], "\n")), strict=True)
-        out |= zip(first, self._joined([c[1:] for c in first], "\n"), strict=True)
-        return out
-
-    def _word_chunks(self, text: str) -> list[str] | None:
-        if _RARE_SPACE.search(text):
-            return None
-        # The library lower-cases in any case; doing it here lets both spellings share an entry.
-        return text.lower().split() if self._lowers and text.isascii() else text.split()
+        yield from self._run_on(plain, [" " + c for c in plain], "")
+        yield from self._joined(first, [c[1:] for c in first], "\n")
+        for group, ids, lengths in self._joined(lines, [c[1:] for c in lines], "\n"):
+            yield group, np.insert(ids, np.cumsum(lengths) - lengths, self._separator[0]), lengths + 1
 
-    def _new_words(self, chunks: list[str]) -> dict[str, bytes]:
-        return dict(zip(chunks, self._joined(chunks, f" {_MARK} "), strict=True))
+    def _run_on(self, chunks: list[str], items: list[str], glue: str) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+        """Ids of items encoded in a row, told apart by the ids that begin or end a word."""
+        for at in range(0, len(items), 2000):
+            part, group = items[at : at + 2000], chunks[at : at + 2000]
+            ids = self.whole(glue.join(part))
+            edges = np.flatnonzero(self._edge[ids])
+            if len(edges) != len(part):
+                yield self._singly(group, part)
+            elif self._bytewise:
+                yield group, ids, np.diff(edges, append=len(ids))
+            else:
+                yield group, ids, np.diff(edges, prepend=-1)
 
-    def _joined(self, items: list[str], separator: str) -> Iterator[bytes]:
-        """Ids of every item from calls on many items at once, told apart by the separator's id."""
-        mark = np.frombuffer(self._separator, self.dtype)[0]
+    def _joined(self, chunks: list[str], items: list[str], separator: str) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+        """Ids of items encoded in a row, told apart by the separator's id."""
         for at in range(0, len(items), 2000):
-            part = items[at : at + 2000]
-            ids = np.frombuffer(self.whole(separator.join(part)), self.dtype)
-            cuts = np.flatnonzero(ids == mark)
+            part, group = items[at : at + 2000], chunks[at : at + 2000]
+            ids = self.whole(separator.join(part))
+            cut = ids == self._separator[0]
+            cuts = np.flatnonzero(cut)
             if len(cuts) != len(part) - 1:
-                yield from map(self.whole, part)
-                continue
-            edges = [-1, *cuts.tolist(), len(ids)]
-            for a, b in zip(edges, edges[1:]):
-                yield ids[a + 1 : b].tobytes()
+                yield self._singly(group, part)
+            else:
+                yield group, ids[~cut], np.diff(cuts, prepend=-1, append=len(ids)) - 1
+
+    def _singly(self, chunks: list[str], items: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        each = [self.whole(item) for item in items]
+        return chunks, np.concatenate(each), np.array([len(ids) for ids in each])

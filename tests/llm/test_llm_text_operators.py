@@ -66,6 +66,18 @@ def test_ids_are_those_of_the_library(name, odd_docs, documents):
         assert got == [whole(t) for t in texts]
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_ids_do_not_depend_on_what_is_remembered(name, monkeypatch):
+    monkeypatch.setattr("aquifold.llm.tokens.MAX_REMEMBERED", 40)
+    monkeypatch.setattr("aquifold.llm.tokens.SLICE_CHARS", 300)
+    rng = random.Random(8)
+    parts = ["it's", "Ab,", "c.'s", "ΑΣ.", "don't!?", "e\u0301.", "x.1", "\u65e5\u672c\u3002", "#%a", "a#%'re", "\u0120b", "</w>", "q\nr"]
+    words = [rng.choice(parts) + "".join(rng.choices("abXY.,'é7", k=rng.randint(0, 5))) for _ in range(400)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 12))) for _ in range(200)] + ["", " ", "\n", " a", "a ", "\na", "x" * 5000]
+    encoder, whole = CorpusTokenizer(name), library(name)
+    assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == [whole(t) for t in texts]
+
+
 @pytest.mark.parametrize("size", [0, 1, 63, 64, 1000, 70_001])
 def test_coder_round_trip_and_checksum(size):
     rng = np.random.default_rng(size)
