@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,8 @@ from aquifold.session import stage
 ORDER = 4
 #: Characters of the texts that look up their grams together; a longer text is a chunk of its own.
 CHUNK_CHARS = 8_000_000
+#: Parts in which the chunks are scored; only one part's texts are on their way through a shuffle at a time.
+ROUNDS = 4
 _KEEP = np.uint64((1 << 16) - 1)
 
 
@@ -247,7 +250,11 @@ def _chunks(docs: DataFrame) -> DataFrame:
 
 
 def cross_entropies(model: LanguageModel, docs: DataFrame) -> DataFrame:
-    """``docs`` without ``text``, with ``letters`` (number) and ``entropies`` (nats per character, in the model's order)."""
+    """``docs`` without ``text``, with ``letters`` (number) and ``entropies`` (nats per character, in the model's order).
+
+    Columns of these names are replaced, others pass through; repeated rows are all scored; null text
+    counts as empty; an empty table gives an empty one. The outcome is written to the shared folder.
+    """
     docs = without(docs, "letters", "entropies")
     rest = [c for c in docs.columns if c != "text"]
     width = len(model.languages)
@@ -256,7 +263,7 @@ def cross_entropies(model: LanguageModel, docs: DataFrame) -> DataFrame:
     if width:
         model.prepare()
         priced = model.chances(stage(wanted.select("gram").distinct(), "wanted"))
-        logs = priced.select("gram", F.transform("chance", lambda p: F.log(p).cast("float")).alias("logs"))
+        logs = stage(priced.select("gram", F.transform("chance", lambda p: F.log(p).cast("float")).alias("logs")), "logs")
         known = wanted.join(logs, "gram").select("chunk", "gram", "logs")
     else:
         known = wanted.limit(0).withColumn("logs", F.array().cast("array<float>"))
@@ -285,21 +292,35 @@ def cross_entropies(model: LanguageModel, docs: DataFrame) -> DataFrame:
 
     schema = extended(docs.select(*[F.col(f"`{c}`") for c in rest]).schema, "letters bigint, entropies array<double>")
     texts = chunks.select(F.col("chunk").alias("of"), "docs")
-    return texts.groupBy("of").cogroup(known.groupBy("chunk")).applyInArrow(score, schema)
+    scored = []
+    for part in range(ROUNDS):
+        of_part, known_part = (df.filter(F.pmod(F.xxhash64(key), F.lit(ROUNDS)) == part) for df, key in ((texts, "of"), (known, "chunk")))
+        scored.append(stage(of_part.groupBy("of").cogroup(known_part.groupBy("chunk")).applyInArrow(score, schema), "entropies"))
+    return reduce(DataFrame.union, scored)
 
 
 def identify(
     model: LanguageModel, docs: DataFrame, calibration: DataFrame | None = None, percentile: float = 0.999, sharpness: float = 20.0
 ) -> DataFrame:
-    """``docs`` without text, with lang_pred, score and rejected.
+    """``docs`` without text, with lang_pred, score and rejected as ``judge`` gives them.
+
+    Columns named lang_pred, score, rejected, letters or entropies are replaced; other columns pass
+    through, repeated rows are all kept, and an empty table gives an empty one.
+    """
+    return judge(model, cross_entropies(model, docs), calibration, percentile, sharpness)
+
+
+def judge(
+    model: LanguageModel, scored: DataFrame, calibration: DataFrame | None = None, percentile: float = 0.999, sharpness: float = 20.0
+) -> DataFrame:
+    """Rows of ``cross_entropies`` with lang_pred, score and rejected in place of what they were scored by.
 
     ``lang_pred`` is the language of lowest cross-entropy (ties: first by name), ``und`` for null texts
     and texts without a letter. ``score`` weighs the languages by the entropies' difference over
     ``sharpness`` characters, fewer for shorter texts. ``calibration`` (scored rows with ``lang``, none of
     them learned from) gives each language the cross-entropy that ``percentile`` of its own texts stay under;
-    ``rejected`` is true for ``und`` and above it. Columns of these names are replaced.
+    ``rejected`` is true for ``und`` and above it.
     """
-    scored = docs if "entropies" in docs.columns else cross_entropies(model, docs)
     scored = without(scored, "lang_pred", "score", "rejected")
     names = F.array(*[F.lit(x) for x in model.languages]) if model.languages else F.array().cast("array<string>")
     best = F.array_position("entropies", F.array_min("entropies")).cast("int")
@@ -331,7 +352,7 @@ def identify_held_out(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected: folds 2 to 4 of 5 train, fold 1 calibrates, fold 0 is held out."""
     folded = docs.select("doc_id", F.col("text").cast("string"), F.col("lang").cast("string"), fold("doc_id", 5).alias("fold"))
     model = fit(folded.filter("fold >= 2"))
-    scored = stage(cross_entropies(model, folded), "entropies")
-    return identify(model, scored, scored.filter("fold = 1 and lang is not null")).select(
+    scored = cross_entropies(model, folded)
+    return judge(model, scored, scored.filter("fold = 1 and lang is not null")).select(
         "doc_id", (F.col("fold") == 0).alias("held_out"), "lang_pred", "score", "rejected"
     )

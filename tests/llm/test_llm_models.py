@@ -198,6 +198,16 @@ def test_language_of_odd_rows_and_held_out_documents(spark):
     assert language.identify_held_out(docs.limit(0)).count() == 0
 
 
+def test_language_replaces_clashing_columns_and_keeps_repeated_rows(spark):
+    model = language.fit(spark.createDataFrame([("a", "lorem ipsum dolor"), ("b", "zwölf boxkämpfer jagen")], "lang string, text string"))
+    rows = [(1, "dolor", 7.0, "own", "x"), (1, "dolor", 7.0, "own", "x"), (2, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, entropies double, lang_pred string, note string")
+    got = language.identify(model, docs)
+    assert sorted(got.columns) == ["doc_id", "lang_pred", "note", "rejected", "score"]
+    assert sorted((r.doc_id, r.lang_pred, r.note) for r in got.collect()) == [(1, "a", "x"), (1, "a", "x"), (2, "und", None)]
+    assert language.identify(model, docs.limit(0)).count() == 0
+
+
 # toxicity ------------------------------------------------------------------------------------
 
 
