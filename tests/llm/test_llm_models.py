@@ -259,6 +259,66 @@ def test_planted_toxic_words_are_found_in_unseen_texts(spark):
     assert toxicity.score_documents(network, docs.limit(0)).count() == 0
 
 
+def test_forward_pass_against_a_plain_one():
+    """Scores of whole texts equal a network run word by word, window by window, in plain Python."""
+    network = toxicity.Network.new(np.random.default_rng(3))
+    network.parameters = {k: (v * 3).astype(np.float64) for k, v in network.parameters.items()}
+    p, h = network.parameters, toxicity.HIDDEN
+
+    def sigmoid(x):
+        return 1 / (1 + np.exp(-x))
+
+    def inputs(word):
+        whole, grams, _ = toxicity.word_features([word])
+        return np.concatenate([p["word"][whole[0]], np.mean([p["char"][g] for g in grams], axis=0)])
+
+    def direction(words, name, side):
+        state, states = np.zeros(h), []
+        for word in words:
+            x = (inputs(word) @ p["input"] + p["bias"])[side * 3 * h : (side + 1) * 3 * h]
+            u = state @ p[name]
+            z, r = sigmoid(x[:h] + u[:h]), sigmoid(x[h : 2 * h] + u[h : 2 * h])
+            state = (1 - z) * np.tanh(x[2 * h :] + r * u[2 * h :]) + z * state
+            states.append(state)
+        return states
+
+    def window(words):
+        back = direction(words[::-1], "backward", 1)[::-1]
+        states = [np.concatenate(pair) for pair in zip(direction(words, "forward", 0), back, strict=True)]
+        raw = np.exp([np.tanh(s @ p["attend"]) @ p["focus"] for s in states])
+        return sum(w * s for w, s in zip(raw / raw.sum(), states, strict=True)) @ p["out"] + p["offset"][0]
+
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("abcdé ") for _ in range(n)) for n in (1, 40, 90, 400)]
+    for text, got in zip(texts, toxicity._Scorer(network).score(texts), strict=True):
+        words = toxicity._words(text)
+        starts = range(0, max(1, len(words) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE)
+        want = max((window(words[a : a + toxicity.WINDOW]) for a in starts), default=0) if words else p["offset"][0]
+        assert got == pytest.approx(want, rel=1e-4, abs=1e-4), text
+
+
+def test_evidence_needs_support():
+    """A word of one toxic text among few is weaker evidence than one of many, and a common word is none."""
+    labels = np.array([1] * 20 + [0] * 80)
+    pairs = [(0, 1)] + [(i, 2) for i in range(12)] + [(i, 3) for i in range(100)]
+    docs, buckets = (np.array(x) for x in zip(*pairs, strict=True))
+    once, often, common = toxicity.evidence((docs, buckets), labels, 2)[1:]
+    assert often > once + 1 and often > 2 and common < 0
+
+
+def test_few_labels_of_the_given_table_suffice(spark):
+    """At scale 0.01 some thirty labelled toxic texts are learned from; a fifth of the held-out ones have no toxic word."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    known = labels.filter("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    rows = registry.op10_toxicity(spark, SF).filter("held_out").join(known, "doc_id").dropDuplicates(["doc_id"]).collect()
+    toxic, clean = ([r for r in rows if r.toxic == y] for y in (1, 0))
+    above = np.mean([(a.score > b.score) + 0.5 * (a.score == b.score) for a in toxic for b in clean])
+    assert len(toxic) >= 15
+    assert above >= 0.85
+    assert sum(r.predicted for r in toxic) >= 0.5 * len(toxic)
+    assert sum(r.predicted for r in clean) <= 0.02 * len(clean)
+
+
 def test_toxicity_without_usable_labels(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
