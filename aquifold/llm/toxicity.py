@@ -316,6 +316,7 @@ def train(
     for name, grams in (("word", False), ("char", True)):
         above = evidence(sample.seen(14, grams), sample.labels, 14) - limit
         network.parameters[name][:, 0] += (WARMTH * np.maximum(0, above)).astype(np.float32)
+    del seen
     table_share *= min(1.0, toxic.sum() / enough)
     learned = 0
     for round_ in range(rounds):
