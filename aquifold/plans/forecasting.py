@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aquifold.functions import drop_suspect
 from aquifold.operators import curated, features, forecast, forest
+from aquifold.operators.boosting import BoostedModel
 from aquifold.session import Staging, stage
 from aquifold.sources.store import write_output
 
 
 @dataclass
 class ForecastRun:
-    model: PipelineModel
+    model: BoostedModel
     predictions: DataFrame
     metrics: DataFrame
 
@@ -31,7 +31,7 @@ def run_forecast(
 ) -> ForecastRun:
     """Features, purged split, fit, test predictions and metrics.
 
-    Boosting reads the features once per tree level, so they are written first.
+    Cuts, fit and predictions read the features, so they are written first.
     """
     with Staging(readings.sparkSession) as staging:
         rain = _daily_rain(rainfall, staging)
@@ -49,7 +49,7 @@ def run_forecast(
 
 
 def save_forecast(run: ForecastRun, folder: str) -> None:
-    run.model.write().overwrite().save(f"{folder}/forecast_model")
+    run.model.save(run.predictions.sparkSession, f"{folder}/forecast_model")
     write_output(run.predictions, f"{folder}/forecast_predictions")
     write_output(run.metrics, f"{folder}/forecast_metrics", "json")
 

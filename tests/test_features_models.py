@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from aquifold import schemas
 from aquifold.functions.quantiles import unit_quantile
-from aquifold.operators import features, forecast, forest
+from aquifold.operators import boosting, features, forecast, forest
 from aquifold.plans import forecasting
 from aquifold.sources import landed
 
@@ -242,3 +242,63 @@ def test_quantile_against_numpy(spark, q):
     values[:50] = values[60]
     df = spark.createDataFrame([(float(v),) for v in values], "score double")
     assert unit_quantile(df, "score", q) == pytest.approx(np.quantile(values, q), abs=1e-12)
+
+
+# boosting ---------------------------------------------------------------------------
+
+
+def boosting_rows(spark, n=3000):
+    rng = np.random.default_rng(11)
+    points = [(i, START, float(rng.random()), float(rng.integers(0, 3)), int(i % 2)) for i in range(n)]
+    df = spark.createDataFrame(points, "well_id int, reading_date date, a double, b double, c int")
+    return df.withColumn("target", F.when(F.col("a") > 0.5, 3.0).otherwise(0.0) + F.col("b") - 0.5 * F.col("c"))
+
+
+def test_first_boosted_tree_against_every_split(spark):
+    df = boosting_rows(spark).cache()
+    model = boosting.fit_boosted(df, ["a", "b", "c"], trees=1, learning_rate=1.0, depth=1, subsample=1.0)[0]
+    rows = df.toPandas()
+    best = min(
+        (((side - side.mean()) ** 2).sum() + ((other - other.mean()) ** 2).sum(), name, cut)
+        for name, edges in zip(model.features, model.edges) for cut in edges
+        for side, other in [(rows.target[rows[name] <= cut], rows.target[rows[name] > cut])]
+    )
+    tree = model.trees[0]
+    assert (model.features[tree["feature"][0]], model.edges[tree["feature"][0]][tree["bin"][0]]) == best[1:]
+    left = rows[best[1]] <= best[2]
+    want = np.where(left, rows.target[left].mean(), rows.target[~left].mean())
+    got = model.transform(df).select("predicted").toPandas()["predicted"]
+    np.testing.assert_allclose(got, want, atol=1e-6)
+
+
+def test_boosted_trees_do_not_depend_on_placement(spark, tmp_path):
+    df = boosting_rows(spark)
+    model = boosting.fit_boosted(df, ["a", "b", "c"], trees=62, learning_rate=0.2)[0]
+    again = boosting.fit_boosted(df.orderBy(F.desc("a")).repartition(7), ["a", "b", "c"], trees=62, learning_rate=0.2)[0]
+    assert again.trees == model.trees and again.edges == model.edges
+    error = model.transform(df).agg(F.avg(F.abs(F.col("predicted") - F.col("target")))).first()[0]
+    assert error < 0.05 and sum(model.importances) == pytest.approx(1.0)
+    model.save(spark, str(tmp_path))
+    loaded = boosting.BoostedModel.load(spark, str(tmp_path))
+    assert loaded.transform(df).exceptAll(model.transform(df)).count() == 0
+
+
+def test_models_of_several_targets_grow_in_the_same_jobs(spark):
+    """A job per level of a tree, however many models; each learns from the rows that have its target."""
+    df = boosting_rows(spark, 400).withColumn("early", F.when(F.col("well_id") < 200, F.col("target") * 2))
+    context = spark.sparkContext
+    context.setJobGroup("two-models", "")
+    both = boosting.fit_boosted(df, ["a", "b", "c"], ("target", "early"), trees=9)
+    context.setJobGroup("", "")
+    assert len(context.statusTracker().getJobIdsForGroup("two-models")) <= 3 * 9 + 3
+    assert both[0].trees == boosting.fit_boosted(df, ["a", "b", "c"], trees=9)[0].trees
+    early = df.filter("early is not null").agg(F.avg("early")).first()[0]
+    assert both[1].base == pytest.approx(early, abs=1e-8)
+
+
+def test_boosting_of_a_table_with_nothing_to_learn(spark):
+    df = boosting_rows(spark, 20).withColumn("target", F.lit(2.0))
+    model = boosting.fit_boosted(df, ["a", "b", "c"], trees=3)[0]
+    assert {r.predicted for r in model.transform(df).collect()} == {2.0} and set(model.importances) == {0.0}
+    with pytest.raises(ValueError, match="empty"):
+        boosting.fit_boosted(df.limit(0), ["a"], trees=1)
