@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aquifold import schemas
+from aquifold.functions import with_moments
 from aquifold.functions.quantiles import unit_quantile
 from aquifold.operators import boosting, features, forecast, forest
 from aquifold.plans import forecasting
@@ -119,6 +120,28 @@ def test_features_against_pandas(spark):
         )
 
 
+def test_moments_across_batches(spark):
+    """Rows of a batch look back into the batches before it, never into another bore's rows."""
+    rng = np.random.default_rng(3)
+    df = pd.DataFrame({
+        "well_id": np.repeat([1, 2, 3], [40, 3, 25]), "reading_date": np.arange(68),
+        "v": np.where(rng.random(68) < 0.2, np.nan, rng.normal(50, 9, 68)),
+    })
+    rows = spark.createDataFrame(df.astype(object).where(df.notna(), None), "well_id int, reading_date int, v double")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        of = {("mean_9", "std_9"): ("v", 9, 1, 3), ("mean_4", "std_4"): ("v", 3, 0, 2)}
+        got = with_moments(rows.repartition(2, "well_id"), of).toPandas().sort_values("reading_date")
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    for name, shift, n, k in (("9", 1, 9, 3), ("4", 0, 4, 2)):
+        windows = df.groupby("well_id")["v"].transform
+        for kind in ("mean", "std"):
+            want = windows(lambda s: getattr(s.shift(shift).rolling(n, min_periods=k), kind)())
+            np.testing.assert_allclose(got[f"{kind}_{name}"].astype(float), want, atol=1e-9)
+
+
 def test_anomaly_features_are_finite(data):
     wells, readings, rain = data
     out = features.anomaly_features(wells, readings, rain.drop("station_id", "data_quality_flag"))
