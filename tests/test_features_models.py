@@ -244,6 +244,26 @@ def test_scores_against_a_row_by_row_walk(spark):
     assert got == pytest.approx({p[0]: walk(p) for p in points}, abs=2e-9)
 
 
+@pytest.mark.parametrize("depth", [1, 2, 3, 6])
+def test_path_sums_against_a_walk(depth):
+    """Every depth, below and above the levels that are compared for all rows at once."""
+    rng = np.random.default_rng(depth)
+    columns = [rng.normal(size=50) for _ in range(3)]
+    columns[0][:5] = np.nan
+    inner = 2**depth - 1
+    feature = rng.integers(0, 3, (4, inner)).astype(np.int32)
+    threshold = np.where(rng.random((4, inner)) < 0.2, np.inf, rng.normal(size=(4, inner)))
+    path = rng.integers(0, 10**10, (4, inner + 1))
+    want = np.zeros(50, dtype=np.int64)
+    for row in range(50):
+        for f, t, p in zip(feature, threshold, path):
+            node = 0
+            while node < inner:
+                node = 2 * node + (2 if columns[f[node]][row] > t[node] else 1)
+            want[row] += p[node - inner]
+    assert (forest._path_sums(columns, feature, threshold, path) == want).all()
+
+
 def test_tree_samples_have_the_asked_size(spark):
     df = spark.range(5000).select(F.col("id").cast("int").alias("well_id"), F.lit(START).alias("reading_date"))
     sizes = forest.tree_samples(df, ["well_id", "reading_date"], 20, 64, 5000, 0).groupBy("tree").count().collect()
