@@ -183,6 +183,18 @@ def test_persistence_matches_the_feature_frames(data):
     assert got[30].n_test == 1242 and got[30].baseline_mae_m == pytest.approx(mae, abs=6e-5)
 
 
+def test_sweep_matches_a_fit_per_horizon(data):
+    """The sweep's baselines are those of persistence, and its errors near those of a fit of its own."""
+    wells, readings, rain = data
+    rain = rain.drop("station_id", "data_quality_flag")
+    got = {r.horizon_days: r for r in forecast.horizon_sweep(wells, readings, rain, (7, 30), trees=4, learning_rate=0.4).collect()}
+    naive = {r.horizon_days: r.baseline_mae_m for r in forecast.persistence_baseline(readings, (7, 30)).collect()}
+    assert {h: r.baseline_mae_m for h, r in got.items()} == pytest.approx(naive, abs=2e-4)
+    train, test, _ = features.purged_time_split(features.forecast_features(wells, readings, rain, 30))
+    alone = forecast.forecast_metrics(forecast.predict(forecast.fit_forecast(train, trees=4, learning_rate=0.4), test)).first()
+    assert got[30].model_mae_m == pytest.approx(alone.model_mae_m, rel=0.1)
+
+
 # isolation forest -------------------------------------------------------------------
 
 
