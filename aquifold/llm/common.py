@@ -38,7 +38,7 @@ def extended(schema: T.StructType, ddl: str) -> T.StructType:
     return T.StructType(schema.fields + T.StructType.fromDDL(ddl).fields)
 
 
-def slices(texts: list[str], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
+def slices(texts: list[str] | list[bytes], limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
     """Index ranges of consecutive texts that hold about ``limit`` characters together."""
     start = held = 0
     for i, text in enumerate(texts):

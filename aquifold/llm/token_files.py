@@ -21,12 +21,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from aquifold.llm.common import texts_of
+from aquifold.llm.common import slices
 from aquifold.llm.tokens import corpus_tokenizer
 from aquifold.session import new_folder, stage
 
@@ -37,6 +38,7 @@ _LOW = np.uint64(1 << 32)
 _MASK = np.uint64((1 << _BITS) - 1)
 _WORD = np.uint64(32)
 _SHIFT = np.uint64(_BITS)
+_COUNTED_BYTES = 4_000_000
 
 
 def scaled_frequencies(counts: np.ndarray) -> np.ndarray:
@@ -143,7 +145,7 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         encoder = corpus_tokenizer(tokenizer)
         end = np.array([end_id], encoder.dtype).tobytes()
         for batch in batches:
-            ids = [x + end for x in encoder.encode(texts_of(batch))]
+            ids = [x + end for x in encoder.encode_column(batch.column("text"))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array([encoder.dtype.itemsize] * len(ids), pa.int32())],
                 names=["doc_id", "ids", "width"],
@@ -160,11 +162,15 @@ def _id_counts(staged: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for ids, width in zip(batch.column("ids").to_pylist(), batch.column("width").to_pylist(), strict=True):
-                found = np.bincount(np.frombuffer(ids, f"<u{width}"))
-                if len(found) > len(counts):
-                    counts = np.concatenate([counts, np.zeros(len(found) - len(counts), np.int64)])
-                counts[: len(found)] += found
+            ids, widths = batch.column("ids"), batch.column("width")
+            for width in pc.unique(widths).to_pylist():
+                rows = ids.filter(pc.equal(widths, width)).to_pylist()
+                # A count makes an array of all ids, so many texts share one.
+                for start, end in slices(rows, _COUNTED_BYTES):
+                    found = np.bincount(np.frombuffer(b"".join(rows[start:end]), f"<u{width}"))
+                    if len(found) > len(counts):
+                        counts = np.concatenate([counts, np.zeros(len(found) - len(counts), np.int64)])
+                    counts[: len(found)] += found
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], names=["id", "n"])
 

@@ -3,8 +3,8 @@
 Both vocabularies used here split a text at white space before they merge, so a
 text's ids are the ids of its chunks in a row. Arrow splits the texts of a slice
 and numbers their distinct chunks; chunks seen before have their ids in a pool of
-bounded size, new ones are joined into few calls of the library, and NumPy gathers
-the ids of all chunks at once. A text whose white space is not plain single blanks
+bounded size, which keeps those that come again, new ones are joined into few calls
+of the library, and NumPy gathers the ids of all chunks at once. A text whose white space is not plain single blanks
 or line ends goes through the library whole, so the ids are always those of
 ``encode`` on the text.
 """
@@ -18,18 +18,21 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from aquifold.llm.common import slices
+#: Chunks remembered per worker; beyond that only those that came again stay. Results do not depend on it.
+MAX_REMEMBERED = 300_000
 
-#: Chunks remembered per worker; beyond that only those of the latest slice stay. Results do not depend on it.
-MAX_REMEMBERED = 750_000
+#: Characters (UTF-8 bytes) of the texts that are split and looked up together.
+SLICE_CHARS = 2_000_000
 
-#: Characters of the texts that are split and looked up together.
-SLICE_CHARS = 4_000_000
+#: Chunks joined for one call of the library.
+_GROUP = 500
 
 _RARE_SPACE = (
-    r"[\x01\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    r"[\x01\x02\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
-_MARK = "\x01"
+_MARK, _REST = "\x01", "\x02"
+# Letters that any version of Unicode takes for letters.
+_LETTER = r"[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{17f}]"
 
 
 @lru_cache(maxsize=2)
@@ -46,6 +49,7 @@ class _Pool:
         self._ids, self._used = np.zeros(1 << 16, dtype), 0
         self._starts = np.zeros(1 << 14, np.int64)
         self._lengths = np.zeros(1 << 14, np.int32)
+        self._again = np.zeros(1 << 14, bool)
 
     @staticmethod
     def _roomy(array: np.ndarray, size: int) -> np.ndarray:
@@ -57,6 +61,7 @@ class _Pool:
         first, end, used = len(self.slots), len(self.slots) + len(chunks), self._used + len(ids)
         self._ids = self._roomy(self._ids, used)
         self._starts, self._lengths = self._roomy(self._starts, end), self._roomy(self._lengths, end)
+        self._again = self._roomy(self._again, end)
         self._ids[self._used : used] = ids
         self._starts[first:end] = self._used + np.cumsum(lengths) - lengths
         self._lengths[first:end] = lengths
@@ -70,11 +75,15 @@ class _Pool:
         shift = self._starts[slots] - edges[:-1]
         return self._ids[np.repeat(shift, lengths) + np.arange(edges[-1])], edges
 
-    def only(self, chunks: list[str]) -> _Pool:
-        """A pool of those of ``chunks`` that this one holds."""
-        kept, out = [c for c in chunks if c in self.slots], _Pool(self._ids.dtype)
-        ids, edges = self.gather(np.fromiter(map(self.slots.__getitem__, kept), np.int64, len(kept)))
-        out.add(kept, ids, np.diff(edges))
+    def came_again(self, slots: np.ndarray) -> None:
+        self._again[slots] = True
+
+    def shrunk(self, room: int) -> _Pool:
+        """A pool of the chunks that came again since they were added, the latest ``room`` of them; they have to come again to stay."""
+        kept, out = np.flatnonzero(self._again[: len(self.slots)])[-room:] if room > 0 else np.zeros(0, np.int64), _Pool(self._ids.dtype)
+        ids, edges = self.gather(kept)
+        chunks = list(self.slots)
+        out.add([chunks[i] for i in kept.tolist()], ids, np.diff(edges))
         return out
 
 
@@ -116,18 +125,24 @@ class CorpusTokenizer:
         return np.array(self._library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=self.dtype)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for start, end in slices(texts, SLICE_CHARS):
-            part = texts[start:end]
-            column = pa.array(part, pa.large_string())
-            plain = self._plain(column) if self._by_chunk else np.zeros(len(part), bool)
-            ids, edges = self._by_chunks(column.filter(pa.array(plain)))
+        return self.encode_column(pa.array(texts, pa.large_string()))
+
+    def encode_column(self, column: pa.Array) -> Iterator[bytes]:
+        """Ids of every text, null as the empty text; only texts that go through the library whole become Python's."""
+        # A slice ends with the text that fills it.
+        filled = np.cumsum(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) // SLICE_CHARS
+        ends = [*(np.flatnonzero(np.diff(filled)) + 1).tolist(), len(column)]
+        for start, end in zip([0, *ends[:-1]], ends, strict=True):
+            part = column.slice(start, end - start).cast(pa.large_string()).fill_null("")
+            plain = self._plain(part) if self._by_chunk else np.zeros(len(part), bool)
+            ids, edges = self._by_chunks(part.filter(pa.array(plain)))
             bounds = iter(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
-            for text, chunked in zip(part, plain.tolist(), strict=True):
+            for i, chunked in enumerate(plain.tolist()):
                 if chunked:
                     a, b = next(bounds)
                     yield ids[a:b].tobytes()
                 else:
-                    yield self.whole(text).tobytes()
+                    yield self.whole(part[i].as_py()).tobytes()
 
     def _plain(self, column: pa.Array) -> np.ndarray:
         odd = _RARE_SPACE + (r"|  |\n\n| \n|\n " if self._bytewise else "")
@@ -143,9 +158,11 @@ class CorpusTokenizer:
         chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         found = list(map(self._pool.slots.get, chunks))
         missing = [c for c, slot in zip(chunks, found, strict=True) if slot is None]
+        self._pool.came_again(np.array([slot for slot in found if slot is not None], np.int64))
         if missing:
             if len(self._pool.slots) + len(missing) > MAX_REMEMBERED:
-                self._pool = self._pool.only(chunks)
+                self._pool = self._pool.shrunk((MAX_REMEMBERED - len(missing)) * 3 // 4)
+                missing = [c for c in chunks if c not in self._pool.slots]
             for group, ids, lengths in self._encode_new(missing):
                 self._pool.add(group, ids, lengths)
             found = list(map(self._pool.slots.__getitem__, chunks))
@@ -153,11 +170,13 @@ class CorpusTokenizer:
         ids, edges = self._pool.gather(slots)
         return ids, edges[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
 
-    # Bytewise, a chunk that starts with a line end stands for itself, one that starts with the mark for
-    # the rest of it (a text's first word), any other for itself after one blank.
+    # Bytewise, a chunk that starts with a line end stands for itself, one that starts with a mark for the rest of
+    # it (a text's first word, or signs after a letter and what follows them), any other for itself after one blank.
     def _chunks(self, column: pa.Array) -> pa.Array:
         if self._bytewise:
             column = pc.replace_substring(column, "\n", " \n")
+            # A run of signs after a letter is a piece of its own; on its own it shares one entry for all words.
+            column = pc.replace_substring_regex(column, f"({_LETTER})([.,;:!?#%&*$]+)", rf"\1 {_REST}\2")
             blank = pc.starts_with(column, " ")
             marked = pc.binary_join_element_wise(pa.scalar(_MARK, column.type), column, pa.scalar("", column.type))
             column = pc.if_else(blank, pc.utf8_slice_codeunits(column, 1), marked)
@@ -185,7 +204,7 @@ class CorpusTokenizer:
                 yield [chunk], ids, np.array([len(ids)])
             elif chunk[0] == "\n":
                 lines.append(chunk)
-            elif chunk[0] == _MARK:
+            elif chunk[0] in (_MARK, _REST):
                 first.append(chunk)
             else:
                 plain.append(chunk)
@@ -196,8 +215,8 @@ class CorpusTokenizer:
 
     def _run_on(self, chunks: list[str], items: list[str], glue: str) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
         """Ids of items encoded in a row, told apart by the ids that begin or end a word."""
-        for at in range(0, len(items), 2000):
-            part, group = items[at : at + 2000], chunks[at : at + 2000]
+        for at in range(0, len(items), _GROUP):
+            part, group = items[at : at + _GROUP], chunks[at : at + _GROUP]
             ids = self.whole(glue.join(part))
             edges = np.flatnonzero(self._edge[ids])
             if len(edges) != len(part):
@@ -209,8 +228,8 @@ class CorpusTokenizer:
 
     def _joined(self, chunks: list[str], items: list[str], separator: str) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
         """Ids of items encoded in a row, told apart by the separator's id."""
-        for at in range(0, len(items), 2000):
-            part, group = items[at : at + 2000], chunks[at : at + 2000]
+        for at in range(0, len(items), _GROUP):
+            part, group = items[at : at + _GROUP], chunks[at : at + _GROUP]
             ids = self.whole(separator.join(part))
             cut = ids == self._separator[0]
             cuts = np.flatnonzero(cut)

@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,6 +79,39 @@ def test_ids_do_not_depend_on_what_is_remembered(name, monkeypatch):
     assert [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode(texts)] == [whole(t) for t in texts]
 
 
+def test_words_that_come_again_stay_remembered(monkeypatch):
+    monkeypatch.setattr("aquifold.llm.tokens.MAX_REMEMBERED", 60)
+    monkeypatch.setattr("aquifold.llm.tokens.SLICE_CHARS", 1)
+    encoder = CorpusTokenizer(FILES[0])
+    words = [a + b for a in "bcdfghklmn" for b in ("ax", "ey", "oz")]
+    for text in (["x often b"] * 2 + [f"x {' '.join(words)}", f"x {' '.join(w + 'q' for w in words)}"]):
+        list(encoder.encode([text]))
+    assert "often" in encoder._pool.slots and words[0] not in encoder._pool.slots
+
+
+def test_words_before_signs_share_an_entry():
+    encoder = CorpusTokenizer(FILES[0])
+    list(encoder.encode(["x one two"]))
+    known = len(encoder._pool.slots)
+    list(encoder.encode(["x one, two! one. two; one,b"]))
+    assert len(encoder._pool.slots) - known == 5  # the signs, and the one that a letter follows
+
+
+def test_columns_of_texts_with_nulls():
+    for name in FILES:
+        encoder, whole = CorpusTokenizer(name), library(name)
+        texts = [None, "", "one, two", "a  b", None, "caf\u00e9!", "a.\x02b", "\x02"]
+        got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode_column(pa.array(texts))]
+        assert got == [whole(t) for t in texts]
+        assert not list(encoder.encode_column(pa.array([], pa.string())))
+
+
+def test_ids_are_counted_across_texts_of_both_widths(spark):
+    rows = [(np.array([i % 3, 70_000], "<u4").tobytes(), 4) for i in range(30)] + [(np.array([5], "<u2").tobytes(), 2)]
+    counts = token_files._id_counts(spark.createDataFrame(rows, "ids binary, width int").coalesce(1))
+    assert {int(i): int(counts[i]) for i in np.flatnonzero(counts)} == {0: 10, 1: 10, 2: 10, 5: 1, 70_000: 30}
+
+
 @pytest.mark.parametrize("size", [0, 1, 63, 64, 1000, 70_001])
 def test_coder_round_trip_and_checksum(size):
     rng = np.random.default_rng(size)
