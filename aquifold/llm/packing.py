@@ -16,7 +16,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aquifold.llm.common import texts_of
 from aquifold.llm.tokens import corpus_tokenizer
 
 _NO_COST = (float("inf"), -1)
@@ -158,8 +157,7 @@ def pack(
             first, held, tokens = first + opened, [], 0
 
         for batch in batches:
-            texts = texts_of(batch)
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode_column(batch.column("text")), strict=True):
                 held.append((doc_id, ids + end))
                 tokens += len(ids) // width + 1
                 if tokens >= group_tokens:
