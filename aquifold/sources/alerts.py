@@ -41,7 +41,7 @@ class AlertQueue:
         keys = schemas.MERGE_KEYS["events"]
         stored = self.events.read(self.events.months_of(events))
         waiting = stored.filter((F.col("severity") == "CRITICAL") & (F.col("alert_sent") == 0))
-        return self.unsent.upsert(waiting.join(events.select(*keys), keys, "left_semi"))
+        return self.unsent.upsert(waiting.join(events.select(*keys).hint("merge"), keys, "left_semi"))
 
     def send(self, wells: DataFrame) -> int:
         """Write the queued events' messages and mark them as sent; events of unknown bores stay queued."""
@@ -50,7 +50,7 @@ class AlertQueue:
             messages = staging.write(views.alert_messages(views.critical_events_to_send(waiting, wells)), "messages")
             sent = self.outbox.upsert(messages)
             if sent:
-                done = messages.select("event_id")
+                done = messages.select("event_id").hint("merge")
                 self.events.upsert(views.mark_alerted(waiting.join(done, "event_id", "left_semi"), done))
                 self.unsent.overwrite(waiting.join(done, "event_id", "left_anti"))
             return sent

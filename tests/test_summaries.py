@@ -7,10 +7,11 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from test_plans import plan
 
 from aquifold import schemas
-from aquifold.operators import summaries
+from aquifold.operators import detectors, summaries, views
 from aquifold.plans import detection
 from aquifold.session import Staging
 from aquifold.sources.store import KeyedTable
@@ -122,3 +123,20 @@ def test_newest_lists_merge(spark, older, newer, want):
     merged = df.select(summaries.merged_newest(df.a, df.b)).first()[0]
     days = [r["reading_date"] for r in merged]
     assert len(days) == want and days == sorted(days, reverse=True)
+
+
+def test_tables_that_grow_with_the_bores_are_not_broadcast(spark, tmp_path):
+    wells = spark.createDataFrame(
+        [(1, "b", 1, "area 1")], "well_id int, location_name string, coastal_flag int, management_area string"
+    )
+    bores = summaries.summarise(spark.createDataFrame([reading(random.Random(1), 1, i) for i in range(40)], READINGS))
+    newest = summaries.as_readings(bores, wells)
+    seen = bores.select("well_id", F.col("levels").alias("observations"))
+    events = spark.createDataFrame([], schemas.EVENTS)
+    for frame in (
+        bores, newest, summaries.last_days(bores, wells), detectors.rapid_level_change(newest, observations=seen),
+        detectors.salinity_intrusion(newest, observations=seen), views.critical_events_to_send(events, wells),
+        views.mark_alerted(events, events.select("event_id")),
+    ):
+        text = plan(frame)
+        assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
