@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 from pathlib import Path
 
 import pytest
@@ -279,3 +280,11 @@ def test_outputs_read_back(spark, tmp_path, fmt):
     store.write_output(df, str(tmp_path / fmt), fmt)
     assert landed.read_table(spark, str(tmp_path / fmt), "readings", fmt).count() == 2 if fmt != "parquet" else True
     assert spark.read.format(fmt).option("header", True).load(str(tmp_path / fmt)).count() == 2
+
+
+def test_merge_sorts_rows_after_the_shuffle_only(spark):
+    table = spark.createDataFrame([], schemas.TABLES["readings"])
+    merged = store.merge(table, table, schemas.MERGE_KEYS["readings"])
+    text = merged._sc._jvm.PythonSQLUtils.explainString(merged._jdf.queryExecution(), "simple")
+    assert text.count("Exchange ") == 1 and len(re.findall(r"\bSort \[", text)) == 1
+    assert text.index("SortAggregate") < text.index("Sort [") < text.index("Exchange ")
