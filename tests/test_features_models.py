@@ -357,3 +357,16 @@ def test_boosting_of_a_table_with_nothing_to_learn(spark):
     assert {r.predicted for r in model.transform(df).collect()} == {2.0} and set(model.importances) == {0.0}
     with pytest.raises(ValueError, match="empty"):
         boosting.fit_boosted(df.limit(0), ["a"], trees=1)
+
+
+def test_one_rolling_mean_without_the_other_features(spark):
+    wells = spark.createDataFrame([(1, 1, "a"), (2, 0, "b")], "well_id int, coastal_flag int, management_area string")
+    days = [(w, dt.date(2024, 1, 1) + dt.timedelta(days=i), None if i % 9 == w else 5.0 + (i * 7 % 11) / 3, 500.0 + i, "measured") for w in (1, 2) for i in range(90)]
+    readings = spark.createDataFrame(days, "well_id int, reading_date date, water_level_mbgl double, tds_mg_per_l double, data_quality_flag string")
+    rain = spark.createDataFrame([("a", dt.date(2024, 1, 3), 4.0)], "management_area string, obs_date date, rainfall_mm double")
+    few = features.forecast_features(wells, readings, rain, 7, only=["level_roll_mean_7"])
+    whole = features.forecast_features(wells, readings, rain, 7)
+    names = ["well_id", "reading_date", "target_date", "level_now", "target", "level_roll_mean_7"]
+    assert sorted(map(tuple, few.select(names).collect())) == sorted(map(tuple, whole.select(names).collect()))
+    assert few.count() > 50 and "rain_sum_7" not in few.columns
+    assert "Join" not in few._sc._jvm.PythonSQLUtils.explainString(few._jdf.queryExecution(), "simple")
