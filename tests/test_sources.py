@@ -259,6 +259,15 @@ def test_reload_all_reports_broken_references(spark, tmp_path):
     assert [tuple(r) for r in store.reload_all(tables, frames).collect()] == [("readings", "well_id->wells", 1)]
 
 
+def test_reload_all_writes_every_row_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store.Staging, "write", lambda *_: pytest.fail("staged"))
+    tables = {n: KeyedTable.named(spark, str(tmp_path), n) for n in ("wells", "readings")}
+    wells = spark.createDataFrame([(1, "D1", "n", 1.0, 1.0, "a", "b", 0)], schemas.names(schemas.WELLS))
+    loaded = readings(spark, (1, "2024-01-01", 5.0), (1, "2024-02-01", 6.0))
+    assert store.reload_all(tables, {"wells": wells, "readings": loaded}).isEmpty()
+    assert tables["readings"].read().count() == 2
+
+
 def test_sources_fail_independently_and_empty_is_visible(spark, tmp_path):
     def broken() -> int:
         raise RuntimeError("portal is down")
