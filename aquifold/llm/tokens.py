@@ -13,16 +13,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Chunks remembered per worker; beyond that only those that came again stay. Results do not depend on it.
-MAX_REMEMBERED = 300_000
+MAX_REMEMBERED = 400_000
 
 #: Characters (UTF-8 bytes) of the texts that are split and looked up together.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 4_000_000
 
 #: Chunks joined for one call of the library.
 _GROUP = 500
@@ -57,7 +58,12 @@ class _Pool:
             return array
         return np.concatenate([array, np.zeros(max(size, 2 * len(array)) - len(array), array.dtype)])
 
-    def add(self, chunks: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+    def find(self, chunks: list[str]) -> np.ndarray:
+        """Slots of these chunks, -1 for those not remembered."""
+        return np.fromiter(map(self.slots.get, chunks, repeat(-1)), np.int64, len(chunks))
+
+    def add(self, chunks: list[str], ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Remember these chunks; returns their slots."""
         first, end, used = len(self.slots), len(self.slots) + len(chunks), self._used + len(ids)
         self._ids = self._roomy(self._ids, used)
         self._starts, self._lengths = self._roomy(self._starts, end), self._roomy(self._lengths, end)
@@ -67,6 +73,7 @@ class _Pool:
         self._lengths[first:end] = lengths
         self._used = used
         self.slots.update(zip(chunks, range(first, end), strict=True))
+        return np.arange(first, end)
 
     def gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of these chunks in a row, and where each chunk's begin (one more entry at the end)."""
@@ -136,6 +143,8 @@ class CorpusTokenizer:
             part = column.slice(start, end - start).cast(pa.large_string()).fill_null("")
             plain = self._plain(part) if self._by_chunk else np.zeros(len(part), bool)
             ids, edges = self._by_chunks(part.filter(pa.array(plain)))
+            # Arrow keeps the freed arrays of a slice for later ones, far more than a slice needs at once.
+            pa.default_memory_pool().release_unused()
             bounds = iter(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
             for i, chunked in enumerate(plain.tolist()):
                 if chunked:
@@ -156,17 +165,18 @@ class CorpusTokenizer:
         lists = self._chunks(column)
         coded = lists.flatten().dictionary_encode()
         chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        found = list(map(self._pool.slots.get, chunks))
-        missing = [c for c, slot in zip(chunks, found, strict=True) if slot is None]
-        self._pool.came_again(np.array([slot for slot in found if slot is not None], np.int64))
-        if missing:
-            if len(self._pool.slots) + len(missing) > MAX_REMEMBERED:
-                self._pool = self._pool.shrunk((MAX_REMEMBERED - len(missing)) * 3 // 4)
-                missing = [c for c in chunks if c not in self._pool.slots]
-            for group, ids, lengths in self._encode_new(missing):
-                self._pool.add(group, ids, lengths)
-            found = list(map(self._pool.slots.__getitem__, chunks))
-        slots = np.array(found, np.int64)[coded.indices.to_numpy()]
+        found = self._pool.find(chunks)
+        new = np.flatnonzero(found < 0)
+        self._pool.came_again(found[found >= 0])
+        if len(new):
+            if len(self._pool.slots) + len(new) > MAX_REMEMBERED:
+                self._pool = self._pool.shrunk((MAX_REMEMBERED - len(new)) * 3 // 4)
+                found = self._pool.find(chunks)
+                new = np.flatnonzero(found < 0)
+            missing = [chunks[i] for i in new.tolist()]
+            for places, ids, lengths in self._encode_new(missing):
+                found[new[places]] = self._pool.add([missing[i] for i in places], ids, lengths)
+        slots = found[coded.indices.to_numpy()]
         ids, edges = self._pool.gather(slots)
         return ids, edges[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
 
@@ -189,47 +199,50 @@ class CorpusTokenizer:
                 column = pc.if_else(pc.string_is_ascii(column), pc.ascii_lower(column), column)
         return pc.split_pattern(column, " ")
 
-    def _encode_new(self, chunks: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+    def _encode_new(self, chunks: list[str]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+        """Places of chunks in the list, their ids in a row and how many each has, a group at a time."""
         if not self._bytewise:
             letters, others = [], []
-            for chunk in chunks:
-                (letters if chunk.isalpha() else others).append(chunk)
-            yield from self._run_on(letters, letters, " ")
-            yield from self._joined(others, others, f" {_MARK} ")
+            for i, chunk in enumerate(chunks):
+                (letters if chunk.isalpha() else others).append(i)
+            yield from self._run_on(letters, chunks, "")
+            yield from self._joined(others, [chunks[i] for i in others], f" {_MARK} ")
             return
         plain, lines, first = [], [], []
-        for chunk in chunks:
+        for i, chunk in enumerate(chunks):
+            head = chunk[:1]
             if chunk in ("", "\n"):
                 ids = self.whole(chunk or " ")
-                yield [chunk], ids, np.array([len(ids)])
-            elif chunk[0] == "\n":
-                lines.append(chunk)
-            elif chunk[0] in (_MARK, _REST):
-                first.append(chunk)
+                yield [i], ids, np.array([len(ids)])
+            elif head == "\n":
+                lines.append(i)
+            elif head == _MARK or head == _REST:
+                first.append(i)
             else:
-                plain.append(chunk)
-        yield from self._run_on(plain, [" " + c for c in plain], "")
-        yield from self._joined(first, [c[1:] for c in first], "\n")
-        for group, ids, lengths in self._joined(lines, [c[1:] for c in lines], "\n"):
+                plain.append(i)
+        yield from self._run_on(plain, chunks, " ")
+        yield from self._joined(first, [chunks[i][1:] for i in first], "\n")
+        for group, ids, lengths in self._joined(lines, [chunks[i][1:] for i in lines], "\n"):
             yield group, np.insert(ids, np.cumsum(lengths) - lengths, self._separator[0]), lengths + 1
 
-    def _run_on(self, chunks: list[str], items: list[str], glue: str) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
-        """Ids of items encoded in a row, told apart by the ids that begin or end a word."""
-        for at in range(0, len(items), _GROUP):
-            part, group = items[at : at + _GROUP], chunks[at : at + _GROUP]
-            ids = self.whole(glue.join(part))
+    def _run_on(self, places: list[int], chunks: list[str], lead: str) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+        """Ids of the chunks at these places encoded in a row with blanks between, told apart by the ids that begin or end a word."""
+        for at in range(0, len(places), _GROUP):
+            group = places[at : at + _GROUP]
+            part = [chunks[i] for i in group]
+            ids = self.whole(lead + " ".join(part))
             edges = np.flatnonzero(self._edge[ids])
             if len(edges) != len(part):
-                yield self._singly(group, part)
+                yield self._singly(group, [lead + c for c in part])
             elif self._bytewise:
                 yield group, ids, np.diff(edges, append=len(ids))
             else:
                 yield group, ids, np.diff(edges, prepend=-1)
 
-    def _joined(self, chunks: list[str], items: list[str], separator: str) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+    def _joined(self, places: list[int], items: list[str], separator: str) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
         """Ids of items encoded in a row, told apart by the separator's id."""
         for at in range(0, len(items), _GROUP):
-            part, group = items[at : at + _GROUP], chunks[at : at + _GROUP]
+            part, group = items[at : at + _GROUP], places[at : at + _GROUP]
             ids = self.whole(separator.join(part))
             cut = ids == self._separator[0]
             cuts = np.flatnonzero(cut)
@@ -238,6 +251,6 @@ class CorpusTokenizer:
             else:
                 yield group, ids[~cut], np.diff(cuts, prepend=-1, append=len(ids)) - 1
 
-    def _singly(self, chunks: list[str], items: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    def _singly(self, places: list[int], items: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
         each = [self.whole(item) for item in items]
-        return chunks, np.concatenate(each), np.array([len(ids) for ids in each])
+        return places, np.concatenate(each), np.array([len(ids) for ids in each])

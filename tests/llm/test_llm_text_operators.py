@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -97,6 +101,48 @@ def test_words_before_signs_share_an_entry():
     assert len(encoder._pool.slots) - known == 5  # the signs, and the one that a letter follows
 
 
+def test_chunks_are_looked_up_once_a_slice():
+    encoder = CorpusTokenizer("byte_bpe_50k.json")
+    asked = []
+
+    class Slots(dict):
+        def get(self, chunk, other=None):
+            asked.append(chunk)
+            return super().get(chunk, other)
+
+        def __getitem__(self, chunk):
+            asked.append(chunk)
+            return super().__getitem__(chunk)
+
+    encoder._pool.slots = Slots()
+    words = ["".join(p) for p in itertools.product("abcdef", repeat=3)]
+    text = " ".join(words)
+    found = list(encoder.encode([text, text]))
+    assert found == [np.array(encoder._library.encode(text, add_special_tokens=False).ids, "<u2").tobytes()] * 2
+    assert len(asked) == len(set(asked))
+
+
+def test_freed_arrays_of_a_slice_go_back():
+    """In a process of its own, so that nothing else counts: memory left after texts of 30 MB with few words."""
+    code = """
+import re
+import pyarrow as pa
+from aquifold.llm.tokens import CorpusTokenizer
+def held():
+    return int(re.search(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+encoder = CorpusTokenizer("word_bpe_49k.json")
+words = [a + b + c for a in "bdfghklmnprst" for b in ("a", "en", "o") for c in ("ri", "so", "tu")]
+column = pa.array([" ".join(words[i % 50 :] * 20) + "," for i in range(3200)])
+pa.default_memory_pool().release_unused()
+before = held()
+for _ in encoder.encode_column(column):
+    pass
+print(held() - before)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=Path(__file__).parents[2])
+    assert float(out.stdout) < 20
+
+
 def test_columns_of_texts_with_nulls():
     for name in FILES:
         encoder, whole = CorpusTokenizer(name), library(name)
