@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from aquifold.llm.tokens import corpus_tokenizer
 
+#: Pieces handed on together; each may hold a whole sequence of ids.
+_YIELDED = 500
 _NO_COST = (float("inf"), -1)
 
 
@@ -140,8 +142,8 @@ def pack(
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal first, held, tokens
             pieces, opened = assign([len(ids) // width for _, ids in held], capacity, linear, quadratic)
-            for at in range(0, len(pieces), 5000):
-                part = pieces[at : at + 5000]
+            for at in range(0, len(pieces), _YIELDED):
+                part = pieces[at : at + _YIELDED]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([held[p[0]][0] for p in part], pa.int64()),
                     pa.array([p[1] for p in part], pa.int64()),

@@ -17,7 +17,7 @@ from aquifold.llm.jaccard_join import keep_one_of_each
 from aquifold.llm.packing import pack
 from aquifold.llm.personal_data import redact
 from aquifold.llm.quality import keep_good
-from aquifold.session import delete_folder, recorded_stages, stage
+from aquifold.session import arrow_rows, delete_folder, recorded_stages, stage
 
 
 #: Intermediate tables of the last stage that ran, by application.
@@ -69,9 +69,12 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 @_clean_after
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs).select(
+    pieces = pack(docs).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+    # Staged, for the batches are set when a plan runs; without the ids a piece is a few numbers.
+    with arrow_rows(spark, 1000):
+        return stage(pieces, "pieces")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

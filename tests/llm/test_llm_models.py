@@ -7,11 +7,12 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from aquifold.llm import chat, language, prefix_forest, quality, registry, toxicity
+from aquifold.llm import chat, language, packing, prefix_forest, quality, registry, toxicity
 
 SF = "/root/testdata/sf0.01"
 
@@ -373,6 +374,24 @@ def test_pipeline_stages_keep_the_documents_schema_and_pack_what_is_left(spark):
     assert docs.filter(F.col("text").rlike(r"[a-z]@[a-z]+\d?\.example")).isEmpty()
 
 
+def test_packing_hands_few_texts_at_once_to_python(spark, monkeypatch):
+    def sizes(docs):
+        def run(batches):
+            for batch in batches:
+                n = pa.array([batch.num_rows], pa.int64())
+                yield pa.RecordBatch.from_arrays([n] * 6 + [pa.array([b""], pa.binary())], names=[c.split()[0] for c in packing.PIECES.split(", ")])
+
+        return docs.mapInArrow(run, packing.PIECES)
+
+    monkeypatch.setattr(corpus_pipeline, "pack", sizes)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.range(0, 4500, 1, 1).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    found = [r.doc_id for r in corpus_pipeline.packing(spark, docs, SF).collect()]
+    assert sum(found) == 4500 and max(found) <= 1000
+    assert spark.conf.get(key) == before
+
+
 def test_registry_names():
     names = list(registry.queries())
     assert [n for n in names if n.startswith("op")] == sorted((n for n in names if n.startswith("op")), key=lambda n: int(n[2:].split("_")[0]))
