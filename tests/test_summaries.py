@@ -83,6 +83,20 @@ def test_a_repeated_load_changes_nothing(spark, tmp_path):
     assert stored.bores.read().collect() == before
 
 
+def test_a_load_stages_its_rows_once(spark, tmp_path, monkeypatch):
+    rng = random.Random(2)
+    stored = SummarisedStore(spark, str(tmp_path))
+    written = []
+    write = Staging.write
+    monkeypatch.setattr(Staging, "write", lambda self, df, label: written.append(label) or write(self, df, label))
+    stored.load_readings(spark.createDataFrame([reading(rng, 1, i) for i in range(60)], READINGS))
+    assert written == ["arrived", "merged", "months", "merged", "merged"]  # readings twice, their months, bores twice
+    written.clear()
+    # Replaced rows that turn suspect leave the summary short, so that it is refilled from the stored bores' months.
+    stored.load_readings(spark.createDataFrame([(*reading(rng, 1, i)[:5], "suspect") for i in range(40, 60)], READINGS))
+    assert written.count("upsert") == 1 and written.count("months") == 1
+
+
 def test_daily_load_reads_only_touched_months(spark, tmp_path, monkeypatch):
     rng = random.Random(5)
     wells = spark.createDataFrame([(w, 0, "area 0") for w in range(1, 4)], "well_id int, coastal_flag int, management_area string")
