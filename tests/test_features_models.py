@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import math
 
 import numpy as np
@@ -195,6 +196,57 @@ def test_sweep_matches_a_fit_per_horizon(data):
     assert got[30].model_mae_m == pytest.approx(alone.model_mae_m, rel=0.1)
 
 
+def test_rows_in_files_and_in_the_cache_grow_the_same_trees(spark, monkeypatch):
+    """Targets with gaps, a column of one value, more shares than one, more trees than the cache is refreshed after."""
+    rng = np.random.default_rng(11)
+    rows = [
+        (i, START, float(rng.normal()), float(rng.integers(0, 3)), 7.0, float(rng.normal()) if i % 5 else None, float(i % 11))
+        for i in range(400)
+    ]
+    columns = "well_id int, reading_date date, a double, b double, c double, near double, far double"
+    train = spark.createDataFrame(rows, columns).repartition(3)
+    grown = []
+    for folder in (boosting._opened_folder, lambda _: None):
+        monkeypatch.setattr(boosting, "_opened_folder", folder)
+        grown.append(boosting.fit_boosted(train, ["a", "b", "c"], ("near", "far"), trees=9, learning_rate=0.3))
+    for mapped, cached in zip(*grown):
+        assert len(mapped.trees) == 9 and mapped.trees == cached.trees and mapped.base == cached.base
+    # The first tree's root, counted row by row: the best cut of all rows drawn for it.
+    frame, model = train.toPandas(), grown[0][1]
+    draw = train.select("well_id", F.expr("xxhash64(well_id, reading_date, 0) & 4294967295L").alias("d")).toPandas()
+    word = int.from_bytes(hashlib.md5(b"0|0").digest()[:4], "little") | 1
+    frame = frame.merge(draw, on="well_id")
+    frame = frame[(frame["d"] * word % 2**32) < int(0.8 * 2**32)]
+    gains = {}
+    for f, name in enumerate(model.features):
+        for cut, edge in enumerate(model.edges[f]):
+            left = frame[name] <= edge
+            r = frame["far"] - model.base
+            if 0 < left.sum() < len(left):
+                gains[f, cut] = r[left].sum() ** 2 / left.sum() + r[~left].sum() ** 2 / (~left).sum() - r.sum() ** 2 / len(r)
+    assert (model.trees[0]["feature"][0], model.trees[0]["bin"][0]) == max(gains, key=gains.get)
+
+
+def test_a_share_that_is_read_again_finds_what_it_started_from(tmp_path):
+    """The first job of a tree writes its residuals beside those it started from, so its task may run twice."""
+    layout, rng = boosting._Layout([4, 3]), np.random.default_rng(2)
+    codes = layout.codes(np.stack([rng.integers(0, 4, 50), rng.integers(0, 3, 50)]).astype(np.uint8))
+    draw, residuals = rng.integers(0, 2**32, 50, dtype=np.uint32), rng.integers(-99, 99, (2, 50)).astype(np.int32)
+    residuals[1, 12:17] = boosting._UNUSED
+    (tmp_path / "rows").write_bytes(draw.tobytes() + residuals.tobytes() + codes.tobytes())
+    share, name = [(str(tmp_path / "rows"), 50, 10, 45)], str(tmp_path / "0")
+    steps = [[([0], [1], np.array([5, -3], dtype=np.int32))], [([1], [0], np.array([1, 2], dtype=np.int32))]]
+    want = residuals[:, 10:45]
+    for tree in (1, 2, 3, 4):
+        want = boosting._advanced(layout, codes[:, 10:45], want, steps)
+        for grown in (steps, steps, []):
+            (block,) = boosting._mapped(layout, 2, name, share, tree, grown)
+            assert (block[0] == draw[10:45]).all() and (block[1] == codes[:, 10:45]).all() and (block[2] == want).all()
+    right = layout.codes(np.array([[3], [2]], dtype=np.uint8))
+    assert list(layout.node(right, [0, 1, 1], [2, 0, 1])) == [3] and (want[1, 2:7] == boosting._UNUSED).all()
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["0-3", "0-4", "rows"]
+
+
 # isolation forest -------------------------------------------------------------------
 
 
