@@ -227,6 +227,17 @@ def test_rows_in_files_and_in_the_cache_grow_the_same_trees(spark, monkeypatch):
     assert (model.trees[0]["feature"][0], model.trees[0]["bin"][0]) == max(gains, key=gains.get)
 
 
+def test_few_partial_quantiles_meet_in_one_task(spark, monkeypatch):
+    """However many partitions the rows come in; the cuts are those of the rows."""
+    train = spark.range(4000).select(F.col("id").alias("well_id"), F.lit(START).alias("reading_date"), F.col("id").cast("double").alias("a"))
+    train = train.withColumn("target", F.col("a") % 7).repartition(40)
+    partitions, agg = [], type(train).agg
+    monkeypatch.setattr(type(train), "agg", lambda self, *c: partitions.append(self.rdd.getNumPartitions()) or agg(self, *c))
+    (model,) = boosting.fit_boosted(train, ["a"], trees=1)
+    assert partitions == [max(32, spark.sparkContext.defaultParallelism)]
+    assert model.edges == [[float(-(-4000 * i // 32) - 1) for i in range(1, 32)]]
+
+
 def test_a_share_that_is_read_again_finds_what_it_started_from(tmp_path):
     """The first job of a tree writes its residuals beside those it started from, so its task may run twice."""
     layout, rng = boosting._Layout([4, 3]), np.random.default_rng(2)
