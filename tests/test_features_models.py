@@ -258,15 +258,16 @@ def test_a_share_that_is_read_again_finds_what_it_started_from(tmp_path):
     assert sorted(p.name for p in tmp_path.iterdir()) == ["0-3", "0-4", "rows"]
 
 
-def test_sweep_stages_its_history_alone(data, monkeypatch):
-    """Training rows are read from the history, with the cutoffs found once, and no second table is written."""
+def test_sweep_finds_its_cutoffs_once(data, monkeypatch):
+    """Test rows are filtered by a date at hand, not by a query over the history for each reader."""
     wells, readings, rain = data
-    written, write = [], forecast.Staging.write
-    monkeypatch.setattr(forecast.Staging, "write", lambda self, df, label: written.append(label) or write(self, df, label))
-    got = forecast.horizon_sweep(wells, readings, rain.drop("station_id", "data_quality_flag"), (14,), trees=2, learning_rate=0.4).first()
-    assert written == ["history"] and got.baseline_mae_m == pytest.approx(
-        forecast.persistence_baseline(readings, (14,)).first().baseline_mae_m, abs=2e-4
+    plans, predict = [], forecast.predict
+    monkeypatch.setattr(
+        forecast, "predict", lambda model, test: plans.append(test._jdf.queryExecution().toString()) or predict(model, test)
     )
+    got = forecast.horizon_sweep(wells, readings, rain.drop("station_id", "data_quality_flag"), (14,), trees=2, learning_rate=0.4).first()
+    assert len(plans) == 1 and "subquery" not in plans[0].lower()
+    assert got.baseline_mae_m == pytest.approx(forecast.persistence_baseline(readings, (14,)).first().baseline_mae_m, abs=2e-4)
 
 
 # isolation forest -------------------------------------------------------------------
